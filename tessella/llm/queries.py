@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from . import mixing, tokens
+from . import mixing, packing, quality, syncmers, tokens, warc
 
 
 def queries() -> dict:
-    return {"op2_tokens": tokens.op2_tokens, "op7_mixing": mixing.op7_mixing}
+    return {
+        "op1_warc": warc.op1_warc,
+        "op2_tokens": tokens.op2_tokens,
+        "op3_packing": packing.op3_packing,
+        "op4_quality": quality.op4_quality,
+        "op7_mixing": mixing.op7_mixing,
+        "op9_fingerprints": syncmers.op9_fingerprints,
+    }
 
 
 def oracle_sql() -> dict:
-    return {"op7_mixing": mixing.OP7_SQL}
+    return {"op1_warc": warc.OP1_SQL, "op7_mixing": mixing.OP7_SQL}
