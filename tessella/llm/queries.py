@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, quality, syncmers, tokens, warc
+from . import jaccard, mixing, packing, quality, syncmers, tokens, warc
 
 
 def queries() -> dict:
@@ -11,10 +11,11 @@ def queries() -> dict:
         "op2_tokens": tokens.op2_tokens,
         "op3_packing": packing.op3_packing,
         "op4_quality": quality.op4_quality,
+        "op5_jaccard": jaccard.op5_jaccard,
         "op7_mixing": mixing.op7_mixing,
         "op9_fingerprints": syncmers.op9_fingerprints,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op1_warc": warc.OP1_SQL, "op7_mixing": mixing.OP7_SQL}
+    return {"op1_warc": warc.OP1_SQL, "op5_jaccard": jaccard.OP5_SQL, "op7_mixing": mixing.OP7_SQL}
