@@ -184,14 +184,15 @@ def sliding(x: np.ndarray, w: int, pick=np.minimum) -> np.ndarray:
 
 
 def minimizers(x: np.ndarray, row: np.ndarray, w: int) -> np.ndarray:
-    """Where x is smallest in some w consecutive values of one row (all ties).
+    """Where x is smallest in some w consecutive values of one row (all ties); row is that of each
+    symbol, of which the first of x spans the first few.
 
     Equal stretches of w values choose equal places, whatever surrounds them.
     """
     if len(x) < w:
         return np.zeros(0, np.int64)
     m = sliding(x, w).copy()
-    m[row[: len(m)] != row[w - 1 :]] = 0
+    m[row[: len(m)] != row[len(row) - len(m) :]] = 0
     pad = np.zeros(w - 1, np.uint64)
     best = sliding(np.concatenate([pad, m, pad]), w, np.maximum)
     return np.flatnonzero((best == x) & (best != 0))

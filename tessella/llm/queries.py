@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard, mixing, packing, quality, syncmers, tokens, warc
+from . import jaccard, mixing, packing, quality, rlz, syncmers, tokens, warc
 
 
 def queries() -> dict:
@@ -14,8 +14,9 @@ def queries() -> dict:
         "op5_jaccard": jaccard.op5_jaccard,
         "op7_mixing": mixing.op7_mixing,
         "op9_fingerprints": syncmers.op9_fingerprints,
+        "op10_substrings": rlz.op10_substrings,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op1_warc": warc.OP1_SQL, "op5_jaccard": jaccard.OP5_SQL, "op7_mixing": mixing.OP7_SQL}
+    return {"op1_warc": warc.OP1_SQL, "op5_jaccard": jaccard.OP5_SQL, "op7_mixing": mixing.OP7_SQL, "op10_substrings": rlz.OP10_SQL}
