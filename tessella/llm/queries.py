@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard, mixing, packing, quality, rlz, syncmers, tokens, warc
+from . import jaccard, mixing, packing, quality, rlz, syncmers, tokens, topk, warc
 
 
 def queries() -> dict:
@@ -13,10 +13,11 @@ def queries() -> dict:
         "op4_quality": quality.op4_quality,
         "op5_jaccard": jaccard.op5_jaccard,
         "op7_mixing": mixing.op7_mixing,
+        "op8_topk": topk.op8_topk,
         "op9_fingerprints": syncmers.op9_fingerprints,
-        "op10_substrings": rlz.op10_substrings,
+        "op8_topk": topk.OP8_SQL, "op10_substrings": rlz.op10_substrings,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op1_warc": warc.OP1_SQL, "op5_jaccard": jaccard.OP5_SQL, "op7_mixing": mixing.OP7_SQL, "op10_substrings": rlz.OP10_SQL}
+    return {"op1_warc": warc.OP1_SQL, "op5_jaccard": jaccard.OP5_SQL, "op7_mixing": mixing.OP7_SQL, "op8_topk": topk.OP8_SQL, "op10_substrings": rlz.OP10_SQL}
