@@ -181,9 +181,9 @@ def _signed(n: int, least: int, of: int):
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by signature, those that ask first: the members of each bucket that has
-    two sets and one that asks, beside its first member, the hub. One row is carried over."""
-    out = pa.schema([("sig", pa.int64()), ("v", pa.int64()), ("hub", pa.int64())])
-    held: tuple | None = None  # signature, hub, whether it has been given out
+    two sets and one that asks. One row is carried over from batch to batch."""
+    out = pa.schema([("sig", pa.int64()), ("v", pa.int64())])
+    held: tuple | None = None  # signature, first member, whether it has been given out
     for batch in batches:
         sig, v = (batch.column(i).to_numpy() for i in (0, 1))
         if not len(sig):
@@ -194,16 +194,17 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sig, v = np.append(held[0], sig), np.append(held[1], v)
         first = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
         size = np.diff(np.append(first, len(sig)))
-        hub = v[first]
+        head = v[first]
         # equal rows (one set met in two tasks) are no bucket
-        varied = np.maximum.reduceat((v & -2) != np.repeat(hub & -2, size), first)
-        keep = np.repeat((hub & 1 == 0) & varied, size)
+        varied = np.maximum.reduceat((v & -2) != np.repeat(head & -2, size), first)
+        keep = np.repeat((head & 1 == 0) & varied, size)
         if hidden:
             keep[0] = False
+            keep[1 : size[0]] = True
         given = bool(keep[first[-1]]) or (hidden and len(first) == 1)
-        held = (sig[-1], hub[-1], given)
+        held = (sig[-1], head[-1], given)
         if keep.any():
-            yield pa.RecordBatch.from_arrays([pa.array(sig[keep]), pa.array(v[keep]), pa.array(np.repeat(hub, size)[keep])], schema=out)
+            yield pa.RecordBatch.from_arrays([pa.array(sig[keep]), pa.array(v[keep])], schema=out)
 
 
 def _arrays(n: int):
@@ -234,21 +235,76 @@ def _pair(x, y) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def linked_sets(docs: DataFrame, text_col: str, sized: DataFrame, n: int, least: int, of: int, rounds: int = 3) -> DataFrame:
+def _against_hubs(members: DataFrame, sets: DataFrame, least: int, of: int) -> DataFrame:
+    """Each member beside its buckets' hubs: sizes of what it has more (``a``) and less (``r``) than
+    the hub, the first elements of both, as many as could differ from a linked set and one, and
+    whether the two are linked."""
+    x = sets.select(F.col("id"), F.col("elements").alias("x"))
+    h = sets.select(F.col("id").alias("hub"), F.col("elements").alias("h"))
+    both = members.where("id <> hub").select("id", "hub").distinct().join(x, "id").join(h, "hub")
+    both = both.select("id", "hub", F.size("x").alias("n"), F.size("h").alias("nh"), F.array_except("x", "h").alias("more"), F.array_except("h", "x").alias("fewer"))
+    same = F.col("n") - F.size("more")
+    most = F.floor(F.col("n") * (of - least) / least).cast("int")
+    return both.select(
+        "id",
+        "hub",
+        "n",
+        F.size("more").alias("a"),
+        F.size("fewer").alias("r"),
+        most.alias("most"),
+        F.slice(F.array_sort("more"), F.lit(1), most + 1).alias("more"),
+        F.slice(F.array_sort("fewer"), F.lit(1), most + 1).alias("fewer"),
+        (same * of >= (F.col("n") + F.col("nh") - same) * least).alias("linked"),
+    )
+
+
+def _candidates(beside: DataFrame, labels: DataFrame, least: int, of: int) -> DataFrame:
+    """Pairs ``a, b`` of different components with a common hub that may still be linked.
+
+    Let two sets have A1, A2 more and R1, R2 fewer elements than their hub. They differ in
+    |A1 ^ A2| + |R1 ^ R2| elements, at most k if they are linked. The first is not linked to the hub,
+    so |A1| + |R1| is over k, and the two share an element of the A's or, if they share none of
+    those, |R2| - |A2| is at least |A1| + |R1| - k. Of sets that share an element and differ in at
+    most k, the smallest shared one is among the first k + 1 of each. So the pairs are found by
+    these elements alone, not by pairing what lies in one bucket.
+    """
+    own = labels.select(F.col("node").alias("id"), F.col("root").alias("label"))
+    hubs = labels.select(F.col("node").alias("hub"), F.col("root").alias("hub_label"))
+    named = beside.join(own, "id", "left").join(hubs, "hub", "left").withColumn("label", F.coalesce("label", "id")).withColumn("hub_label", F.coalesce("hub_label", "hub"))
+    cols = ["id", "n", "a", "r", "label", "most"]
+
+    def side(df: DataFrame, elements: str, prefix: str) -> DataFrame:
+        return df.select("hub", F.explode(elements).alias("e"), *[F.col(c).alias(f"{prefix}_{c}") for c in cols])
+
+    far = named.where("label <> hub_label")
+    k = F.floor((F.col("x_n") + F.col("y_n")) * (of - least) / (of + least))
+    close = (F.col("x_label") != F.col("y_label")) & (F.abs(F.col("x_a") - F.col("y_a")) + F.abs(F.col("x_r") - F.col("y_r")) <= k)
+    more = side(far, "more", "x").join(side(named, "more", "y"), ["hub", "e"]).where(close)
+    short = (F.col("y_r") - F.col("y_a")) >= (F.col("x_a") + F.col("x_r") - k)
+    fewer = side(far.where("a <= most"), "fewer", "x").join(side(named.where("r > a"), "fewer", "y"), ["hub", "e"]).where(close & short)
+    return more.select(*_pair("x_id", "y_id")).unionByName(fewer.select(*_pair("x_id", "y_id"))).distinct()
+
+
+def linked_sets(docs: DataFrame, text_col: str, sized: DataFrame, n: int, least: int, of: int, rounds: int = 2) -> DataFrame:
     """``node, root`` for each set that is linked to a different set.
 
-    Every bucket of a signature is first tested from its hub, then, where it still holds several
-    components, for some rounds from one member of each to the hub's component, with members
-    drawn anew in each bucket and round. What remains apart is tested in full: members outside
-    the hub's component against all members of other components. So members of a large group of
-    near copies are compared with a few others each, and yet no link between components is lost.
+    Every bucket of a signature is first tested from its hub, the member whose buckets are
+    largest, which a group of copies has in common. Then, where a bucket still holds several
+    components, one member of each is tested with one of the hub's component for some rounds,
+    drawn anew in each bucket. What remains apart is found through the elements by which
+    the sets differ from their hub (``_candidates``). So no bucket is paired up in full, and yet no
+    link between components is lost.
     """
     sigs = docs.select(F.col(f"`{text_col}`")).mapInArrow(_signed(n, least, of), "sig long, v long")
     n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["sig", F.col("v").bitwiseAND(F.lit(1)), F.col("v").bitwiseXOR(F.col("sig"))]
-    found = sigs.repartition(n_parts, "sig").sortWithinPartitions(*order).mapInArrow(_buckets, "sig long, v long, hub long")
-    found = found.select("sig", F.col("v").bitwiseAND(F.lit(-2)).alias("id"), (F.col("v").bitwiseAND(F.lit(1)) == 0).alias("asks"), F.col("hub").alias("hub"))
-    members = staged(found, "members")
+    found = sigs.repartition(n_parts, "sig").sortWithinPartitions(*order).mapInArrow(_buckets, "sig long, v long")
+    asks = (F.min(F.col("v").bitwiseAND(F.lit(1))) == 0).alias("asks")
+    found = staged(found.groupBy("sig", F.col("v").bitwiseAND(F.lit(-2)).alias("id")).agg(asks), "buckets")
+    sizes = found.groupBy("sig").agg(F.count("*").alias("n"))
+    weight = found.join(sizes, "sig").groupBy("id").agg(F.sum("n").alias("w"))
+    hubs = found.where("asks").join(weight, "id").groupBy("sig").agg(F.max(F.struct("w", "id")).alias("m")).select("sig", F.col("m.id").alias("hub"))
+    members = staged(found.join(hubs, "sig"), "members")
 
     ids = members.select(F.col("id").alias("set_id")).distinct()
     rep = staged(sized.join(ids, "set_id", "left_semi").groupBy("set_id").agg(F.min("doc_id").alias("doc_id")), "representatives")
@@ -258,23 +314,13 @@ def linked_sets(docs: DataFrame, text_col: str, sized: DataFrame, n: int, least:
         texts = texts.unionByName(text.where("doc_id IS NULL"))
     sets = staged(texts.select("text").mapInArrow(_arrays(n), "id long, elements array<bigint>"), "sets")
 
-    tested = members.where("id <> hub").select(*_pair("id", "hub")).distinct()
-    labels = components(similar(tested, sets, least, of))
-
-    def labelled() -> DataFrame:
-        own = labels.select(F.col("node").alias("id"), F.col("root").alias("label"))
-        hubs = labels.select(F.col("node").alias("hub"), F.col("root").alias("hub_label"))
-        return (
-            members.join(own, "id", "left")
-            .join(hubs, "hub", "left")
-            .select("sig", "id", "asks", F.coalesce("label", "id").alias("label"), F.coalesce("hub_label", "hub").alias("hub_label"))
-        )
+    beside = staged(_against_hubs(members, sets, least, of), "beside-hubs")
+    labels = components(beside.where("linked").select(*_pair("id", "hub")))
 
     def merged(more: DataFrame) -> DataFrame | None:
         """Labels after the further links ``a, b`` between components."""
-        names = labels.select(F.col("node"), F.col("root"))
-        ends = more.join(names.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(
-            names.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left"
+        ends = more.join(labels.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(
+            labels.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left"
         )
         links = staged(ends.select("a", "b", F.coalesce("ra", "a").alias("x"), F.coalesce("rb", "b").alias("y")), "links")
         if links.isEmpty():
@@ -287,26 +333,20 @@ def linked_sets(docs: DataFrame, text_col: str, sized: DataFrame, n: int, least:
         return staged(old.unionByName(new), "labels")
 
     for k in range(rounds):
-        apart = labelled()
-        pick = F.xxhash64("id", "sig", F.lit(k))
-        # of each component in a bucket one member that asks if there is one
-        some = apart.groupBy("sig", "label", "hub_label").agg(F.min(F.struct(~F.col("asks"), pick, "id")).alias("m")).select("sig", "label", "hub_label", "m.id", (~F.col("m.col1")).alias("asks"))
-        far = some.where("label <> hub_label").select("sig", F.col("id").alias("far"), F.col("asks").alias("far_asks"))
-        near = some.where("label = hub_label").select("sig", F.col("id").alias("near"))
+        own = labels.select(F.col("node").alias("id"), F.col("root").alias("label"))
+        top = labels.select(F.col("node").alias("hub"), F.col("root").alias("hub_label"))
+        apart = members.join(own, "id", "left").join(top, "hub", "left").select("sig", "id", F.coalesce("label", "id").alias("label"), F.coalesce("hub_label", "hub").alias("hub_label"), "hub")
+        # of each component in a bucket one member, of the hub's another than the hub if there is one
+        some = apart.groupBy("sig", "label", "hub_label").agg(F.min(F.struct((F.col("id") == F.col("hub")).alias("own"), F.xxhash64("id", "sig", F.lit(k)).alias("h"), "id")).alias("m"))
+        far = some.where("label <> hub_label").select("sig", F.col("m.id").alias("far"))
+        near = some.where("label = hub_label AND NOT m.own").select("sig", F.col("m.id").alias("near"))
         pairs = staged(far.join(near, "sig").select(*_pair("far", "near")).distinct(), "pairs")
-        if pairs.isEmpty():
-            return labels
-        after = merged(similar(pairs, sets, least, of))
+        after = None if pairs.isEmpty() else merged(similar(pairs, sets, least, of))
         if after is None:
             break
         labels = after
 
-    apart = staged(labelled(), "labelled")
-    far = apart.where("label <> hub_label").select("sig", F.col("id").alias("far"), F.col("asks").alias("far_asks"), F.col("label").alias("far_label"))
-    rest = apart.select("sig", F.col("id").alias("near"), F.col("asks").alias("near_asks"), F.col("label").alias("near_label"))
-    pairs = far.join(rest, (far["sig"] == rest["sig"]) & (far["far_label"] != rest["near_label"]) & (far["far_asks"] | rest["near_asks"]))
-    pairs = pairs.select(*_pair("far", "near")).distinct()
-    after = merged(similar(pairs, sets, least, of))
+    after = merged(similar(staged(_candidates(beside, labels, least, of), "candidates"), sets, least, of))
     return labels if after is None else after
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,11 +28,11 @@ def _words(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarray
 
 
 def _seeds(window: int, seed: int):
-    out = pa.schema([("seed", pa.int64()), ("rid", pa.int64()), ("at", pa.int32())])
+    out = pa.schema([("seed", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rid = batch.column(0).to_numpy()
+            doc_id = batch.column(0).to_numpy()
             for i, words, row in _words(batch, 1):
                 grams = shingle_hashes(words, seed)
                 if len(grams) <= window - seed:
@@ -40,39 +40,44 @@ def _seeds(window: int, seed: int):
                 at = minimizers(grams, row, window - seed + 1)
                 if len(at):
                     first = np.searchsorted(row, row[at])
-                    yield pa.RecordBatch.from_arrays([pa.array(signed(grams[at])), pa.array(rid[i + row[at]]), pa.array((at - first).astype(np.int32))], schema=out)
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(grams[at])), pa.array(doc_id[i + row[at]]), pa.array((at - first).astype(np.int32))], schema=out)
 
     return run
 
 
+def _tag(raw) -> int:
+    """Tells the texts of rows of equal id apart."""
+    return zlib.crc32(raw)
+
+
 def _windows(window: int, seed: int):
-    """Hashes of the windows around a text's seeds that occur in other texts."""
-    out = pa.schema([("h", pa.int64()), ("doc_id", pa.int64()), ("rid", pa.int64()), ("at", pa.int32())])
+    """Hashes of the windows around a text's seeds that occur in other texts; place and tag in one number."""
+    out = pa.schema([("h", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc_id, rid = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            places = batch.column(3)
-            for i, words, row in _words(batch, 2):
+            doc_id, places = batch.column(0).to_numpy(), batch.column(2)
+            b, offsets = text_bytes(batch.column(1))
+            for i, words, row in _words(batch, 1):
                 n = int(row[-1]) + 1 if len(row) else 0
                 grams = shingle_hashes(words, window)
                 if not len(grams):
                     continue
                 step = np.zeros(len(words) + 1, np.int32)
                 edge = np.searchsorted(row, np.arange(n + 1))
+                tags = np.zeros(n, np.int64)
                 for r in range(n):
                     lo, hi = edge[r], edge[r + 1] - window + 1
                     if hi > lo:
+                        tags[r] = _tag(b[offsets[i + r] : offsets[i + r + 1]])
                         at = lo + places[i + r].values.to_numpy()
-                        np.add.at(step, np.maximum(at - (window - seed), lo), 1)
-                        np.add.at(step, np.maximum(np.minimum(at + 1, hi), lo), -1)
+                        np.add.at(step, np.clip(at - (window - seed), lo, hi), 1)
+                        np.add.at(step, np.clip(at + 1, lo, hi), -1)
                 near = np.flatnonzero(np.cumsum(step[: len(grams)]) > 0)
                 near = near[row[near] == row[near + window - 1]]
                 if len(near):
                     r = row[near]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(signed(grams[near])), pa.array(doc_id[i + r]), pa.array(rid[i + r]), pa.array((near - edge[r]).astype(np.int32))], schema=out
-                    )
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(grams[near])), pa.array(doc_id[i + r]), pa.array((near - edge[r]) << 32 | tags[r])], schema=out)
 
     return run
 
@@ -95,23 +100,24 @@ def parse(at: np.ndarray, ref_doc: np.ndarray, ref_at: np.ndarray, window: int)
     return list(zip(at[first].tolist(), size.tolist(), ref_doc[first].tolist(), ref_at[first].tolist(), strict=True))
 
 
-def duplicate_factors(docs: DataFrame, *, words: int = WORDS, seed: int = SEED) -> DataFrame:
-    """``rid, factors`` of ``doc_id, text, rid``: each text's factors that occur in a text of smaller id.
+def duplicate_windows(docs: DataFrame, *, words: int = WORDS, seed: int = SEED) -> DataFrame:
+    """``doc_id, hits`` of ``doc_id, text`` (no null ids): each document's windows that start in a
+    document of smaller id, with the place of the first.
 
     1. Any ``words``-word window holds the smallest of its ``seed``-word runs, wherever it occurs;
-       windows without a seed that another text has are out, at a fifth of a row a word.
+       windows without a seed that another document has are out, at a fifth of a row a word.
     2. The reference is every window left, indexed by hash in blocks (the shuffle's partitions):
        each entry keeps the first occurrence, of smallest id and place.
-    3. Every text is factored against all blocks at once, by looking its windows up where they are.
+    3. Every text is looked up in all blocks at once, each of its windows where it is indexed.
     """
-    part = docs.select("rid", "text").mapInArrow(_seeds(words, seed), "seed long, rid long, at int")
+    part = docs.mapInArrow(_seeds(words, seed), "seed long, doc_id long, at int")
     same = Window.partitionBy("seed")
-    shared = part.select("rid", "at", F.min("rid").over(same).alias("lo"), F.max("rid").over(same).alias("hi")).where("lo < hi")
-    places = shared.groupBy("rid").agg(F.collect_list("at").alias("places"))
-    near = docs.join(places, "rid").select("doc_id", "rid", "text", "places").mapInArrow(_windows(words, seed), "h long, doc_id long, rid long, at int")
+    shared = part.select("doc_id", "at", F.min("doc_id").over(same).alias("lo"), F.max("doc_id").over(same).alias("hi")).where("lo < hi")
+    places = shared.groupBy("doc_id").agg(F.collect_list("at").alias("places"))
+    near = docs.join(places, "doc_id").select("doc_id", "text", "places").mapInArrow(_windows(words, seed), "h long, doc_id long, at long")
     first = F.min(F.struct("doc_id", "at")).over(Window.partitionBy("h"))
-    hits = near.withColumn("first", first).where("first.doc_id < doc_id").select("rid", F.struct("at", F.col("first.doc_id").alias("ref_doc"), F.col("first.at").alias("ref_at")).alias("hit"))
-    return hits.groupBy("rid").agg(F.collect_set("hit").alias("hits"))
+    hits = near.withColumn("first", first).where("first.doc_id < doc_id")
+    return hits.groupBy("doc_id").agg(F.collect_list(F.struct("at", F.col("first.doc_id").alias("ref_doc"), F.shiftright("first.at", 32).alias("ref_at"))).alias("hits"))
 
 
 FACTORS = "array<struct<start:int,words:int,ref_doc:bigint,ref_start:int>>"
@@ -133,7 +139,9 @@ def _apply(text_at: int, window: int):
                 cover = np.zeros(len(starts) + 1, np.int32)
                 if hits[r].is_valid:
                     h = hits[r].values
-                    found = parse(h.field(0).to_numpy(), h.field(1).to_numpy(), h.field(2).to_numpy(), window)
+                    at = h.field(0).to_numpy()
+                    mine = (at & 0xFFFFFFFF) == _tag(raw)
+                    found = parse(at[mine] >> 32, h.field(1).to_numpy()[mine], h.field(2).to_numpy()[mine], window)
                     for start, size, *_ in found:
                         cover[start] += 1
                         cover[start + size] -= 1
@@ -162,11 +170,12 @@ def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     id are no reference for each other; equal rows are treated alike. Other columns pass through.
     No rows give no rows.
     """
-    keyed = docs.withColumn("rlz_rid", F.xxhash64(F.col(f"`{id_col}`").cast("string"), F.col(f"`{text_col}`")))
-    plain = keyed.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), F.col("rlz_rid").alias("rid"))
-    found = duplicate_factors(plain.where("doc_id IS NOT NULL"), words=words, seed=seed)
-    found = found.select(F.col("rid").alias("rlz_rid2"), F.col("hits").alias("rlz_hits"))
-    both = keyed.join(found, F.col("rlz_rid") == F.col("rlz_rid2"), "left").select(*docs.columns, "rlz_hits")
+    some = docs.where(F.col(f"`{id_col}`").isNotNull())
+    none = docs.where(F.col(f"`{id_col}`").isNull())
+    plain = some.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    found = duplicate_windows(plain, words=words, seed=seed).select(F.col("doc_id").alias("rlz_id"), F.col("hits").alias("rlz_hits"))
+    both = some.join(found, F.col(f"`{id_col}`") == F.col("rlz_id"), "left").drop("rlz_id")
+    both = both.unionByName(none, allowMissingColumns=True)
     out = T.StructType(list(docs.schema.fields) + list(T._parse_datatype_string(f"rlz_words long, rlz_removed long, rlz_kept string, rlz_factors {FACTORS}").fields))
     return both.mapInArrow(_apply(docs.columns.index(text_col), words), out)
 
