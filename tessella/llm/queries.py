@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard, mixing, packing, quality, rlz, syncmers, tokens, topk, warc
+from . import jaccard, mixing, packing, quality, rlz, suffixes, syncmers, tokens, topk, warc
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_packing": packing.op3_packing,
         "op4_quality": quality.op4_quality,
         "op5_jaccard": jaccard.op5_jaccard,
+        "op6_suffixes": suffixes.op6_suffixes,
         "op7_mixing": mixing.op7_mixing,
         "op8_topk": topk.op8_topk,
         "op9_fingerprints": syncmers.op9_fingerprints,
