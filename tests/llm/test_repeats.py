@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessella.llm import jaccard, rlz, suffixes, topk
 
@@ -117,7 +118,7 @@ def test_top_k_equals_brute_force(spark):
     vecs = [(i, [r.uniform(-1, 1) for _ in range(5)]) for i in range(300)]
     vecs += [(300 + i, list(vecs[i][1])) for i in range(40)] + [(400, None), (401, [1.0, None, 0.0, 0.0, 0.0]), (402, [float("nan")] * 5)]
     rows = spark.createDataFrame(vecs, "vec_id long, embedding array<double>")
-    out = topk.voronoi_top_k(rows, rows.vec_id % 20 == 0, k=5, pivots=6).collect()
+    out = topk.voronoi_top_k(rows, F.col("vec_id") % 20 == 0, k=5, pivots=6).collect()
     whole = {i: [int(x * 256 // 1) for x in v] for i, v in vecs if i < 400}
     want = set()
     for q in range(0, 400, 20):
