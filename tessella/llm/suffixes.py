@@ -38,7 +38,13 @@ def cover(length: int) -> tuple[int, np.ndarray]:
 
 
 def _seed(length: int) -> int:
-    return max(4, length * 4 // 25)
+    """Bytes of the runs that tell which stretches go to the sort."""
+    return length // 2
+
+
+def _probe(length: int) -> int:
+    """Bytes of the runs that tell which windows are compared."""
+    return length - length // 11
 
 
 # --- in tasks --------------------------------------------------------------
@@ -195,6 +201,11 @@ def _covered(n: int, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return np.cumsum(step[:-1]) > 0
 
 
+def _stretches(mask: np.ndarray) -> list[list[int]]:
+    """Start and end of each run of true values."""
+    return np.flatnonzero(np.diff(mask.astype(np.int8), prepend=0, append=0)).reshape(-1, 2).tolist()
+
+
 def judge(key: int, at: np.ndarray, to_key: np.ndarray, to_at: np.ndarray, length: int) -> tuple[list, list]:
     """From the sampled places of a text whose triple occurs elsewhere, with the first such place:
     stretches ``key, lo, hi`` surely repeated, here and in partners before this text, and windows
@@ -223,9 +234,8 @@ def judge(key: int, at: np.ndarray, to_key: np.ndarray, to_at: np.ndarray, lengt
     settled |= _covered(n, lo[long & ~back], hi[long & ~back] - length) & ~_covered(n, at[before] - v + 1, at[before])
     open_ = _covered(n, at - v + 1, at) & ~settled
     sure = _covered(n, lo[long], hi[long] - 1)
-    edges = lambda mask: np.flatnonzero(np.diff(mask.astype(np.int8), prepend=0, append=0)).reshape(-1, 2).tolist()
     ask = []
-    for u, w in edges(open_):
+    for u, w in _stretches(open_):
         w -= 1
         ask.append((key, u, w))
         a, b = np.searchsorted(at, (u, w + v))
@@ -237,7 +247,7 @@ def judge(key: int, at: np.ndarray, to_key: np.ndarray, to_at: np.ndarray, lengt
             wanted[q, d] = (min(c, have[0]), max(e, have[1]))
         ask += [(q, c, e) for (q, _), (c, e) in wanted.items()]
     there = zip(y[cut][long & back].tolist(), (lo + z[cut])[long & back].tolist(), (hi + z[cut])[long & back].tolist(), strict=True)
-    return [(key, i, j) for i, j in edges(sure)] + list(there), ask
+    return [(key, i, j) for i, j in _stretches(sure)] + list(there), ask
 
 
 def _judged(length: int):
@@ -254,26 +264,48 @@ def _judged(length: int):
     return run
 
 
+def _asked(batch: pa.RecordBatch, length: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Row, key, bytes, and which windows are asked for."""
+    key, z, size, asked = (batch.column(c) for c in range(4))
+    for r in range(batch.num_rows):
+        b = _unpacked(z[r], size[r])
+        mask = _covered(len(b) - length + 1, *(np.minimum(x, len(b) - length) for x in _fields(asked[r])))
+        yield r, key[r].as_py(), b, mask
+
+
+def _probes(length: int):
+    """The smallest long run of bytes in each window asked for."""
+    out = pa.schema([("seed", pa.int64()), ("key", pa.int64()), ("at", pa.int32())])
+    k = _probe(length)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, key, b, mask in _asked(batch, length):
+                for x, y in _stretches(mask):
+                    for c, d in _chunks(y - x + length - 1, length):
+                        grams = gram_hashes(b[x + c : x + d], k)
+                        at = minimizers(grams, np.zeros(d - c, np.int8), length - k + 1)
+                        yield pa.RecordBatch.from_arrays([pa.array(signed(grams[at])), pa.array(np.full(len(at), key)), pa.array((at + x + c).astype(np.int32))], schema=out)
+
+    return run
+
+
 def _windows(length: int):
-    """Hashes of both halves of the windows asked for."""
+    """Hashes of both halves of the windows asked for that hold a probe with an equal elsewhere."""
     out = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("at", pa.int32())])
-    half = length // 2
+    half, k = length // 2, _probe(length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key, z, size, asked = (batch.column(c) for c in range(4))
-            for r in range(batch.num_rows):
-                b = _unpacked(z[r], size[r])
-                lo, hi = _fields(asked[r])
-                done = -1
-                for x, y in zip(np.maximum(lo, 0).tolist(), np.minimum(hi, len(b) - length).tolist(), strict=True):
-                    x = max(x, done + 1)
-                    for c, d in _chunks(y - x + length, length) if x <= y else ():
+            for r, key, b, mask in _asked(batch, length):
+                at = batch.column(4)[r].values.to_numpy()
+                mask &= _covered(len(mask), at - (length - k), np.minimum(at, len(mask) - 1))
+                for x, y in _stretches(mask):
+                    for c, d in _chunks(y - x + length - 1, length):
                         part = b[x + c : x + d]
                         h = [gram_hashes(part[: len(part) - length + half], half), gram_hashes(part[half:], length - half)]
                         n = len(h[0])
-                        yield pa.RecordBatch.from_arrays([*[pa.array(signed(i)) for i in h], pa.array(np.full(n, key[r].as_py())), pa.array(np.arange(x + c, x + c + n, dtype=np.int32))], schema=out)
-                    done = max(done, y)
+                        yield pa.RecordBatch.from_arrays([*[pa.array(signed(i)) for i in h], pa.array(np.full(n, key)), pa.array(np.arange(x + c, x + c + n, dtype=np.int32))], schema=out)
 
     return run
 
@@ -281,6 +313,13 @@ def _windows(length: int):
 # --- on Spark --------------------------------------------------------------
 
 
+def _repeated(seeds: DataFrame) -> DataFrame:
+    """``key, places`` of ``seed, key, at``: where each text has a seed that is elsewhere too."""
+    place = F.struct("key", "at")
+    shared = seeds.groupBy("seed").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("seed")
+    return seeds.join(shared, "seed").groupBy("key").agg(F.collect_set("at").alias("places"))
+
+
 def repeated_stretches(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """``key, lo, hi`` of ``key, text`` (one key for each text, in any number of rows): stretches
     that are made of strings of ``length`` bytes which start in several places of the distinct texts.
@@ -293,7 +332,8 @@ def repeated_stretches(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     3. The sorting recurses on the names: three names v places apart, 3 v bytes, are sorted, and
        adjacent ones compared, which gives each place the first place with an equal prefix.
     4. The suffixes not sampled are merged in from the sampled places that follow them, all windows
-       of a long run at once; at the ends of runs the windows themselves are compared (``judge``).
+       of a long run at once; at the ends of runs the windows themselves are compared (``judge``),
+       if a shorter run of bytes in them, chosen as in the first step, has an equal.
     """
     spark = texts.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -302,9 +342,7 @@ def repeated_stretches(texts: DataFrame, length: int = LENGTH) -> DataFrame:
 
     seeds = staged(long_ones.mapInArrow(_seeds(length), "seed long, key long, at int"), "seeds")
     place = F.struct("key", "at")
-    shared = seeds.groupBy("seed").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("seed")
-    places = seeds.join(shared, "seed").groupBy("key").agg(F.collect_set("at").alias("places"))
-    near = staged(long_ones.mapInArrow(_packed, "key long, z binary, size long").join(places, "key").select("key", "z", "size", "places"), "near")
+    near = staged(long_ones.mapInArrow(_packed, "key long, z binary, size long").join(_repeated(seeds), "key").select("key", "z", "size", "places"), "near")
 
     def in_order(df: DataFrame) -> DataFrame:
         return df.repartition(n, "sig").sortWithinPartitions("sig", "key", "at")
@@ -318,7 +356,10 @@ def repeated_stretches(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     judged = staged(judged.groupBy("key", "lo", "sure").agg(F.max("hi").alias("hi")), "judged")  # at most a row a byte
 
     asked = judged.where("NOT sure").groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("asked"))
-    windows = near.select("key", "z", "size").join(asked, "key").mapInArrow(_windows(length), "a long, b long, key long, at int")
+    asked = staged(near.select("key", "z", "size").join(asked, "key").select("key", "z", "size", "asked"), "asked")
+    probes = staged(asked.mapInArrow(_probes(length), "seed long, key long, at int"), "probes")
+    places = _repeated(probes)
+    windows = asked.join(places, "key").select("key", "z", "size", "asked", "places").mapInArrow(_windows(length), "a long, b long, key long, at int")
     windows = staged(windows, "windows")
     twice = windows.groupBy("a", "b").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("a", "b")
     equal = windows.join(twice, ["a", "b"]).select("key", F.col("at").alias("lo"), (F.col("at") + length).alias("hi"))
