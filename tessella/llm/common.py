@@ -45,12 +45,21 @@ def scratch(spark: SparkSession, label: str) -> str:
     return path
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage ends there and
-    a lost executor costs no recomputation."""
-    path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    a lost executor costs no recomputation. Spark deletes the write's shuffle files at its end."""
+    spark = df.sparkSession
+    path = scratch(spark, label)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 # --- Arrow strings as bytes ------------------------------------------------

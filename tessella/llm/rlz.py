@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import minimizers, pieces, shingle_hashes, signed, text_bytes, word_hashes, word_spans
+from .common import minimizers, pieces, shingle_hashes, signed, staged, text_bytes, word_hashes, word_spans
 
 WORDS = 13
 SEED = 5
@@ -113,11 +113,12 @@ def duplicate_windows(docs: DataFrame, *, words: int = WORDS, seed: int = SEED)
     part = docs.mapInArrow(_seeds(words, seed), "seed long, doc_id long, at int")
     same = Window.partitionBy("seed")
     shared = part.select("doc_id", "at", F.min("doc_id").over(same).alias("lo"), F.max("doc_id").over(same).alias("hi")).where("lo < hi")
-    places = shared.groupBy("doc_id").agg(F.collect_list("at").alias("places"))
+    places = staged(shared.groupBy("doc_id").agg(F.collect_list("at").alias("places")), "places")
     near = docs.join(places, "doc_id").select("doc_id", "text", "places").mapInArrow(_windows(words, seed), "h long, doc_id long, at long")
     first = F.min(F.struct("doc_id", "at")).over(Window.partitionBy("h"))
     hits = near.withColumn("first", first).where("first.doc_id < doc_id")
-    return hits.groupBy("doc_id").agg(F.collect_list(F.struct("at", F.col("first.doc_id").alias("ref_doc"), F.shiftright("first.at", 32).alias("ref_at"))).alias("hits"))
+    hits = hits.groupBy("doc_id").agg(F.collect_list(F.struct("at", F.col("first.doc_id").alias("ref_doc"), F.shiftright("first.at", 32).alias("ref_at"))).alias("hits"))
+    return staged(hits, "hits")
 
 
 FACTORS = "array<struct<start:int,words:int,ref_doc:bigint,ref_start:int>>"
