@@ -5,7 +5,7 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +17,7 @@ from .components import components
 
 WORDS, LEAST, OF = 5, 80, 100
 REMEMBERED = 200_000
+PASSES = 4  # in which sets are laid beside their hubs: each holds a quarter of the shuffled sets on disk
 
 
 # --- sets ------------------------------------------------------------------
@@ -314,7 +315,9 @@ def linked_sets(docs: DataFrame, text_col: str, sized: DataFrame, n: int, least:
         texts = texts.unionByName(text.where("doc_id IS NULL"))
     sets = staged(texts.select("text").mapInArrow(_arrays(n), "id long, elements array<bigint>"), "sets")
 
-    beside = staged(_against_hubs(members, sets, least, of), "beside-hubs")
+    turn = F.pmod(F.xxhash64("hub"), F.lit(PASSES))
+    parts = [staged(_against_hubs(members.where(turn == i), sets, least, of), "beside-hubs") for i in range(PASSES)]
+    beside = reduce(DataFrame.unionByName, parts)
     labels = components(beside.where("linked").select(*_pair("id", "hub")))
 
     def merged(more: DataFrame) -> DataFrame | None:
