@@ -94,14 +94,22 @@ def _solve(k: int, dim: int):
 
 def _bounds(data: list, queries: list, pivots: np.ndarray, k: int, groups: np.ndarray) -> dict[tuple[int, int], float]:
     """For each group of query cells and each data cell the least distance from the data cell's
-    pivot at which a vector may still be among the k nearest of a query of the group."""
+    pivot at which a vector may still be among the k nearest of a query of the group.
+
+    Of k + 1 different ids one at most is the query's own, so k rows that are its candidates lie
+    within the (k + 1)-th smallest bound of an id, however many rows an id has in whatever cells.
+    """
     apart = np.sqrt(((pivots[:, None, :] - pivots[None, :, :]) ** 2).sum(2))
-    near = {r.cell: np.array(r.nearest) for r in data}
+    near = {r.cell: np.array([x.dist for x in r.nearest]) for r in data}
+    ids = np.concatenate([[x.vec_id for x in r.nearest] for r in data]).astype(np.int64)
     out: dict[tuple[int, int], float] = {}
     for r in queries:
         i, reach = r.cell, r.reach
-        upper = np.sort(np.concatenate([reach + apart[i, j] + d for j, d in near.items()]))
-        theta = upper[k] if len(upper) > k else np.inf  # one more than k: the query itself may be among them
+        upper = np.concatenate([reach + apart[i, j] + d for j, d in near.items()])
+        order = np.argsort(upper, kind="stable")
+        _, least = np.unique(ids[order], return_index=True)  # where each id comes first
+        upper = np.sort(upper[order[least]])
+        theta = upper[k] if len(upper) > k else np.inf
         g = int(groups[i])
         for j in near:
             low = apart[i, j] - reach - theta
@@ -116,11 +124,11 @@ def voronoi_top_k(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id
     Components count as floor(256 * x). Vectors are lifted to a sphere, where the order by
     distance is that by inner product, and dealt to the cells of ``pivots`` pivots (the vectors
     of smallest id hash). Per cell the summaries hold the largest distance of a query and the
-    k + 1 smallest of data, which bound the distance of a query cell's k-th neighbour; a vector
-    goes to a group of queries only if the triangle inequality lets it in. Groups hold about
-    ``GROUP_QUERIES`` queries, and a group's data are split into blocks by id hash, so neither a
-    crowded cell nor a vector that occurs very often meets in one task; the blocks' best k are
-    merged. The driver sees ``pivots`` vectors and as many summary rows.
+    k + 1 smallest of data with different ids, which bound the distance of a query cell's k-th
+    neighbour; a vector goes to a group of queries only if the triangle inequality lets it in.
+    Groups hold about ``GROUP_QUERIES`` queries, and a group's data are split into blocks by a hash
+    of the row's number, so neither a crowded cell nor a row that occurs very often meets in one
+    task; the blocks' best k are merged. The driver sees ``pivots`` vectors and as many summary rows.
 
     Null ids, null vectors, and vectors with null or non-finite components take no part; a
     query meets only vectors of its dimension. Rows with the query's id are not its candidates. Repeated rows
@@ -143,12 +151,14 @@ def _one_dimension(base: DataFrame, is_query: Column, dim: int, top: float, n: i
     pivots = np.unique(_lift(_matrix(chosen.column("v"), dim), top), axis=0)
     schema = "vec_id long, v binary, cell int, dist double"
     own = is_query & F.col("vec_id").isNotNull()
-    data = staged(base.select("vec_id", "v").mapInArrow(_cells(pivots, dim, top, False), schema), "cells")
+    data = base.select("vec_id", "v").mapInArrow(_cells(pivots, dim, top, False), schema)
+    data = staged(data.withColumn("row", F.monotonically_increasing_id()), "cells")
     asked = base.where(own).select("vec_id", "v").distinct().mapInArrow(_cells(pivots, dim, top, True), schema)
     asked = staged(asked.select(F.col("vec_id").alias("query_id"), F.col("v").alias("qv"), F.xxhash64("v").alias("q"), "cell", "dist"), "queries")
 
     by_dist = Window.partitionBy("cell").orderBy("dist")
-    nearest = data.withColumn("r", F.row_number().over(by_dist)).where(F.col("r") <= k + 1).groupBy("cell").agg(F.sort_array(F.collect_list("dist")).alias("nearest"))
+    per_id = data.groupBy("cell", "vec_id").agg(F.min("dist").alias("dist"))
+    nearest = per_id.withColumn("r", F.row_number().over(by_dist)).where(F.col("r") <= k + 1).groupBy("cell").agg(F.collect_list(F.struct("dist", "vec_id")).alias("nearest"))
     reach = asked.groupBy("cell").agg(F.max("dist").alias("reach"), F.count("*").alias("n"))
     data_rows, query_rows = nearest.collect(), sorted(reach.collect(), key=lambda r: r.cell)  # a row for each pivot at most
     groups, g, held = np.zeros(len(pivots), np.int64), 0, 0
@@ -162,7 +172,7 @@ def _one_dimension(base: DataFrame, is_query: Column, dim: int, top: float, n: i
     sent = spark.createDataFrame([(int(j), g, float(low)) for (g, j), low in limits.items()], "cell int, g int, low double")
     named = spark.createDataFrame([(r.cell, int(groups[r.cell])) for r in query_rows], "cell int, g int")
     blocks = max(8, -(-n // BLOCK_ROWS))
-    block = F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int").alias("block")
+    block = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block")
     left = data.join(F.broadcast(sent), "cell").where("dist >= low").select("g", block, "vec_id", "v")
     right = asked.join(F.broadcast(named), "cell").select("g", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "query_id", "q", "qv")
     solved = (

@@ -126,3 +126,18 @@ def test_top_k_equals_brute_force(spark):
             ranked = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q)
             want |= {(q, k + 1, i, -s) for k, (s, i) in enumerate(ranked[:5])}
     assert {(x.query_id, x["rank"], x.vec_id, x.score) for x in out} == want and len(out) == len(want)
+
+
+@pytest.mark.parametrize("own", [[(9.0, 0.25, 0.5)] * 7, [(9.0, a * x, b * y) for a in (1, -1) for b in (1, -1) for x, y in ((0.25, 0.5), (0.5, 0.25))]])
+def test_top_k_of_an_id_in_many_rows(spark, own):
+    """Own rows are no candidates, however many there are and in whatever cells."""
+    r = random.Random(7)
+    vecs = [(20, list(v)) for v in own] + [(1 + i, [r.uniform(-1, 1) for _ in range(3)]) for i in range(12)] + [(50, [0.5, 0.5, 0.5])] * 3
+    rows = spark.createDataFrame(vecs, "vec_id long, embedding array<double>")
+    whole = [(i, tuple(int(x * 256 // 1) for x in v)) for i, v in vecs]
+    want = []
+    for v in {v for i, v in whole if i == 20}:
+        ranked = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in whole if i != 20)
+        want += [(20, n + 1, i, -s) for n, (s, i) in enumerate(ranked[:5])]
+    out = topk.voronoi_top_k(rows, F.col("vec_id") % 20 == 0, k=5, pivots=len(vecs)).collect()
+    assert sorted((x.query_id, x["rank"], x.vec_id, x.score) for x in out) == sorted(want)
