@@ -24,18 +24,23 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by five-word shingles (similarity 0.8 or more) the document of smallest id.
 
-    Documents without words, and those with a null id, are in no group and stay. Rows that
-    repeat the id that stays are copies or rivals for it: one of them stays, that of smallest text.
+    Documents without words are in no group and stay. Null ids come after all others: a group
+    that has no id at all keeps the row of smallest text. Rows that repeat the id that stays are
+    copies or rivals for it: one of them stays, that of smallest text.
     """
-    groups = jaccard.jaccard_components(docs, words=jaccard.WORDS, least=jaccard.LEAST, of=jaccard.OF)
+    sized, sets = jaccard.linked_groups(docs, words=jaccard.WORDS, least=jaccard.LEAST, of=jaccard.OF)
+    groups = jaccard.labelled(sized, sets)
     kept = groups.where("doc_id = component_id").select("doc_id").distinct()
     first = docs.select(*COLUMNS).where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
     again = staged(groups.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id"), "repeated")
-    null = docs.select(*COLUMNS).where("doc_id IS NULL")
+    least = F.min(F.struct("text", "lang", "source", "n_chars")).alias("r")
+    null = jaccard.with_set_id(docs.select(*COLUMNS).where("doc_id IS NULL"), words=jaccard.WORDS)
+    only = null.join(sets.where("component_id IS NULL").select("set_id", "root"), "set_id").groupBy("root").agg(F.min("doc_id").alias("doc_id"), least)
+    null = null.where("set_id IS NULL").select(*COLUMNS).unionByName(only.select("doc_id", "r.*"))
     if again.isEmpty():
         return first.unionByName(null)
     single = first.join(again, "doc_id", "left_anti")
-    rivals = first.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("r"))
+    rivals = first.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(least)
     return single.unionByName(rivals.select("doc_id", "r.*")).unionByName(null)
 
 

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import mix, pieces, shingle_hashes, signed, staged, text_bytes, word_hashes, word_spans
 from .components import components
@@ -364,6 +365,12 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     the smallest; a component of null ids alone has a null ``component_id``. Repeated rows are
     copies. No rows give no rows; other columns are not read.
     """
+    return labelled(*linked_groups(docs, id_col=id_col, text_col=text_col, words=words, least=least, of=of))
+
+
+def linked_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, least: int = LEAST, of: int = OF) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, set_id, n_shingles`` of each row, and ``set_id, root, component_id`` of each set;
+    ``root`` tells apart the components of null ids alone."""
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     sized = staged(docs.mapInArrow(_sized(words), "doc_id long, set_id long, n_shingles long"), "sized")
     labels = linked_sets(docs, "text", sized, words, least, of)
@@ -371,12 +378,27 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     per_set = per_set.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select("set_id", "least_id", F.coalesce("root", "set_id").alias("root"))
     per_set = staged(per_set, "per-set")
     least_of = per_set.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    final = per_set.join(least_of, "root").select("set_id", "component_id")
-    return sized.join(final, "set_id", "left").select(
+    return sized, per_set.join(least_of, "root").select("set_id", "root", "component_id")
+
+
+def labelled(sized: DataFrame, sets: DataFrame) -> DataFrame:
+    return sized.join(sets, "set_id", "left").select(
         "doc_id", "n_shingles", F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )
 
 
+def with_set_id(docs: DataFrame, *, text_col: str = "text", words: int = WORDS) -> DataFrame:
+    """``docs`` with the ``set_id`` of each text, null without words."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [set_id(s) if len(s) else None for _, part in _sets(batch, at, words) for s in part]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.int64())], names=[*batch.schema.names, "set_id"])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("set_id", T.LongType())]))
+
+
 def op5_jaccard(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return jaccard_components(docs, words=3, least=90)

@@ -1,0 +1,23 @@
+"""The stages of the corpus pipeline against plain Python."""
+
+import corpus_pipeline
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def passage(name, n=40):
+    return " ".join(f"{name}{i}" for i in range(n))
+
+
+def documents(spark, rows):
+    return spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], SCHEMA).repartition(3)
+
+
+def test_one_document_of_each_group_stays(spark):
+    a, b, c = passage("a"), passage("b"), passage("c")
+    rows = [(5, a), (3, a + " more"), (None, a), (None, b), (None, b), (None, b + " more"), (7, c), (7, c), (None, None), (None, ""), (8, ""), (None, "word"), (None, "Word")]
+    got = corpus_pipeline.drop_near_duplicates(spark, documents(spark, rows), "").collect()
+    want = [(3, a + " more"), (None, b), (7, c), (None, None), (None, ""), (8, ""), (None, "Word")]
+    assert sorted(map(repr, [(r.doc_id, r.text) for r in got])) == sorted(map(repr, want))
+    assert all(r.lang == "en" and r.source == "s" and r.n_chars == len(r.text or "") for r in got)
+    assert corpus_pipeline.drop_near_duplicates(spark, documents(spark, rows).limit(0), "").count() == 0
