@@ -62,6 +62,12 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete what ``staged`` wrote, once nothing reads it any more."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        _remove(df.sparkSession, folder)
+
+
 # --- Arrow strings as bytes ------------------------------------------------
 
 

@@ -4,18 +4,19 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
-from .common import minimizers, pieces, shingle_hashes, signed, staged, text_bytes, word_hashes, word_spans
+from .common import discard, minimizers, pieces, shingle_hashes, signed, staged, text_bytes, word_hashes, word_spans
 
 WORDS = 13
 SEED = 5
+PASSES = 2  # in which windows are looked up: each holds half of them on disk
 
 
 def _words(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -109,18 +110,35 @@ def duplicate_windows(docs: DataFrame, *, words: int = WORDS, seed: int = SEED)
     2. The reference is every window left, indexed by hash in blocks (the shuffle's partitions):
        each entry keeps the first occurrence, of smallest id and place.
     3. Every text is looked up in all blocks at once, each of its windows where it is indexed.
+
+    What a seed or window has in common is a partial aggregate, joined back as one row a key, so
+    the rows of a hot one combine before the shuffle and its join may be split.
     """
-    part = docs.mapInArrow(_seeds(words, seed), "seed long, doc_id long, at int")
-    same = Window.partitionBy("seed")
-    shared = part.select("doc_id", "at", F.min("doc_id").over(same).alias("lo"), F.max("doc_id").over(same).alias("hi")).where("lo < hi")
+    seeds = docs.mapInArrow(_seeds(words, seed), "seed long, doc_id long, at int")
+    shared = seeds.join(_in_two(seeds, "seed", "seeds"), "seed").select("doc_id", "at")
     places = staged(shared.groupBy("doc_id").agg(F.collect_list("at").alias("places")), "places")
     near = docs.join(places, "doc_id").select("doc_id", "text", "places").mapInArrow(_windows(words, seed), "h long, doc_id long, at long")
-    first = F.min(F.struct("doc_id", "at")).over(Window.partitionBy("h"))
-    hits = near.withColumn("first", first).where("first.doc_id < doc_id")
-    hits = hits.groupBy("doc_id").agg(F.collect_list(F.struct("at", F.col("first.doc_id").alias("ref_doc"), F.shiftright("first.at", 32).alias("ref_at"))).alias("hits"))
+    near = staged(near, "windows")
+    two = near.join(_in_two(near, "h", "repeated"), "h")
+    first = two.where("doc_id = lo").groupBy("h", "lo").agg(F.min("at").alias("ref_at"))
+    first = staged(first, "firsts")
+    hit = F.struct("at", F.col("lo").alias("ref_doc"), F.shiftright("ref_at", 32).alias("ref_at"))
+    turn = F.pmod(F.xxhash64("h"), F.lit(PASSES))
+    parts = []
+    for i in range(PASSES):
+        found = near.where(turn == i).join(first.where(turn == i), "h").where("doc_id > lo")
+        parts.append(staged(found.groupBy("doc_id").agg(F.collect_list(hit).alias("hits")), "some-hits"))
+    discard(near)
+    hits = reduce(DataFrame.unionByName, parts).groupBy("doc_id").agg(F.flatten(F.collect_list("hits")).alias("hits"))
     return staged(hits, "hits")
 
 
+def _in_two(rows: DataFrame, key: str, label: str) -> DataFrame:
+    """``key, lo`` of the keys that occur in two documents at least; ``lo`` is the smallest id."""
+    ends = rows.groupBy(key).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    return staged(ends.where("lo < hi").select(key, "lo"), label)
+
+
 FACTORS = "array<struct<start:int,words:int,ref_doc:bigint,ref_start:int>>"
 
 

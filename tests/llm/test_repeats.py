@@ -141,3 +141,16 @@ def test_top_k_of_an_id_in_many_rows(spark, own):
         want += [(20, n + 1, i, -s) for n, (s, i) in enumerate(ranked[:5])]
     out = topk.voronoi_top_k(rows, F.col("vec_id") % 20 == 0, k=5, pivots=len(vecs)).collect()
     assert sorted((x.query_id, x["rank"], x.vec_id, x.score) for x in out) == sorted(want)
+
+
+def test_hot_seeds_and_windows_combine_before_the_shuffle(spark, monkeypatch):
+    plans = []
+    write = rlz.staged
+    monkeypatch.setattr(rlz, "staged", lambda df, label: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df, label))[1])
+    hot = " ".join(f"w{i}" for i in range(20))
+    rows = spark.createDataFrame([(i, hot) for i in range(30)] + [(None, hot)], "doc_id long, text string")
+    got = rlz.substring_dedup(rows).collect()
+    assert sorted((r.doc_id or 0, r.rlz_removed) for r in got) == [(0, 0), (0, 0)] + [(i, 20) for i in range(1, 30)]
+    assert {tuple(f) for r in got if r.doc_id for f in r.rlz_factors} == {(0, 20, 0, 0)}
+    assert not [p for p in plans if "Window" in p]
+    assert sum("partial_min(doc_id" in p and "partial_max(doc_id" in p for p in plans) == 2
