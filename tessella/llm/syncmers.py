@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 from .common import _powers, mix, sliding, staged
 
 K, S, KEEP = 20, 10, 128
+LOW = 1 << 61  # anchors of smaller hash are kept whatever their number: one in eight
 BLOCK = 1 << 20
 
 
@@ -42,7 +43,8 @@ def anchors(raw: bytes, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]
 
 
 def fingerprint(raw: bytes, k: int = K, s: int = S, keep: int = KEEP) -> str:
-    """The ``keep`` anchors of smallest hash, as hash and first place in hexadecimal.
+    """The anchors of hash below ``LOW``, or the ``keep`` of smallest hash if those are more, as
+    hash and first place in hexadecimal: an eighth of a long text's anchors, however long it is.
 
     Equal texts have equal fingerprints. A text without an anchor (shorter than k, say) has one
     made of the hash of all of it; the empty text's fingerprint is empty.
@@ -52,26 +54,28 @@ def fingerprint(raw: bytes, k: int = K, s: int = S, keep: int = KEEP) -> str:
     h, at = anchors(raw, k, s)
     if not len(h):
         return hashlib.sha256(raw).hexdigest()[:8] + "0" * 8
-    if len(h) > 8 * keep:
-        low = np.argpartition(h, 4 * keep)[: 4 * keep]
-        h2, first = np.unique(h[np.sort(low)], return_index=True)
-        if len(h2) > keep:
-            at = at[np.sort(low)][first]
-        else:
-            h2, first = np.unique(h, return_index=True)
-            at = at[first]
+    low = np.flatnonzero(h < np.uint64(LOW))
+    h2, first = np.unique(h[low], return_index=True)
+    if len(h2) >= keep:
+        at = at[low][first]
     else:
         h2, first = np.unique(h, return_index=True)
-        at = at[first]
-    out = np.empty((min(keep, len(h2)), 2), ">u4")
-    out[:, 0] = (h2[:keep] >> np.uint64(32)).astype(np.uint32)
-    out[:, 1] = at[:keep]
+        h2, at = h2[:keep], at[first][:keep]
+    out = np.empty((len(h2), 2), ">u4")
+    out[:, 0] = (h2 >> np.uint64(32)).astype(np.uint32)
+    out[:, 1] = at
     return out.tobytes().hex()
 
 
+def _whole_to(x: np.ndarray, keep: int) -> int:
+    """The largest hash (its upper half) up to which a fingerprint holds all anchors of its text."""
+    return 0xFFFFFFFF if len(x) < keep else max(int(x[-1, 0]), (LOW >> 32) - 1)
+
+
 def likeness(a: str, b: str, keep: int = KEEP) -> float:
     """0 to 1, from two fingerprints alone: the share of anchors that both texts hold, in the same
-    order (twice the common ones over the sum of both), judged on the smallest of the union.
+    order (twice the common ones over the sum of both), judged on the hashes up to which both
+    fingerprints hold every anchor.
 
     1 for equal fingerprints, two empty ones included; 0 if one alone is empty.
     """
@@ -81,14 +85,12 @@ def likeness(a: str, b: str, keep: int = KEEP) -> float:
         return 0.0
     x = np.frombuffer(bytes.fromhex(a), ">u4").reshape(-1, 2)
     y = np.frombuffer(bytes.fromhex(b), ">u4").reshape(-1, 2)
+    top = min(_whole_to(x, keep), _whole_to(y, keep))
+    x, y = x[x[:, 0] <= top], y[y[:, 0] <= top]
     both, i, j = np.intersect1d(x[:, 0], y[:, 0], return_indices=True)
     if not len(both):
         return 0.0
     union = np.union1d(x[:, 0], y[:, 0])
-    if max(len(x), len(y)) >= keep and len(union) > keep:
-        union = union[:keep]
-        inside = both <= union[-1]
-        both, i, j = both[inside], i[inside], j[inside]
     order = np.argsort(x[i, 1], kind="stable")
     tails: list[int] = []
     for place in y[j[order], 1].tolist():  # the longest run of anchors in the same order

@@ -160,6 +160,23 @@ def test_fingerprints_against_the_plain_definition(spark):
     assert syncmers.fingerprints(spark.createDataFrame([(1, "abcd", "x")], SCHEMA)).first().edited_sha256 == hashlib.sha256(b"abab").hexdigest()
 
 
+def test_fingerprints_of_long_texts_grow():
+    r = random.Random(8)
+    everything = 1 << 40
+    err = []
+    for _ in range(6):
+        shared = " ".join(str(r.randint(0, 10**6)) for _ in range(600))
+        a, b = (f"{' '.join(str(r.randint(0, 10**6)) for _ in range(9400))} {shared}".encode() for _ in range(2))
+        x, y = syncmers.fingerprint(a), syncmers.fingerprint(b)
+        assert len(x) // 16 > len(set(syncmers.anchors(a)[0].tolist())) / 9
+        whole = syncmers.likeness(*(syncmers.fingerprint(t, keep=everything) for t in (a, b)), keep=everything)
+        assert 0.05 < whole < 0.07 and syncmers.likeness(x, y) > 0
+        err.append(abs(syncmers.likeness(x, y) - whole))
+    assert max(err) < 0.015
+    short = b"a short text of fewer anchors than are kept at least, with all of them held"
+    assert len(syncmers.fingerprint(short)) == 16 * len(set(syncmers.anchors(short)[0].tolist()))
+
+
 def test_syncmers_by_definition():
     raw = " ".join(noise(9, 30)).encode()
     h, at = syncmers.anchors(raw, 12, 5)
