@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import atexit
+import hashlib
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # --- staging ---------------------------------------------------------------
 
@@ -19,11 +22,14 @@ _LOCAL: list[str] = []
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster shares (``spark.checkpoint.dir``).
 
-    Only where the setting is absent, as in tests on one machine, is a temporary folder used.
+    Only where the setting is absent and all runs in one process, as in tests, is a temporary
+    folder used; on a cluster its absence is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _LOCAL:
         _LOCAL.append(f"file://{tempfile.mkdtemp(prefix='tessella-')}")
     return _LOCAL[0]
@@ -50,22 +56,44 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage ends there and
-    a lost executor costs no recomputation. Spark deletes the write's shuffle files at its end."""
+    a lost executor costs no recomputation. Spark deletes a write's shuffle files at its end, by
+    a setting that is switched on once for the session, unless the session has set it itself."""
     spark = df.sparkSession
+    if spark.conf.get(CLEANUP, "false") != "true":
+        spark.conf.set(CLEANUP, "true")
     path = scratch(spark, label)
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.staged_at = path
+    return back
 
 
-def discard(df: DataFrame) -> None:
+def discard(*frames: DataFrame | None) -> None:
     """Delete what ``staged`` wrote, once nothing reads it any more."""
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        _remove(df.sparkSession, folder)
+    for df in frames:
+        if df is not None and getattr(df, "staged_at", None):
+            _remove(df.sparkSession, df.staged_at)
+
+
+def refuse_names(columns: Iterable[str], *added: str) -> None:
+    """Raise if a table has a column, in any case, that is to be added to it."""
+    clash = {c.lower() for c in columns} & {c.lower() for c in added}
+    if clash:
+        raise ValueError(f"the table already has {', '.join(sorted(clash))}: rename before")
+
+
+def with_key_of_many(rows: DataFrame, table: DataFrame, keys: list[str], counts: str, *, most: int = 10_000) -> DataFrame:
+    """Inner join of ``rows`` with ``table`` (one row a key, ``counts`` of ``rows`` with it).
+
+    Keys that hold more than one row in ``most`` of all, ``most`` keys at most, are broadcast, so
+    that a key of a third of all rows meets in no task; the others are joined by a shuffle.
+    """
+    total = table.agg(F.sum(counts)).first()[0] or 0
+    is_hot = F.col(counts) > max(1000, -(-total // most))
+    hot, rest = table.where(is_hot), table.where(~is_hot).drop(counts)
+    near = rows.join(F.broadcast(hot.drop(counts)), keys)
+    far = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest, keys)
+    return near.unionByName(far)
 
 
 # --- Arrow strings as bytes ------------------------------------------------
@@ -101,7 +129,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _POW: list[np.ndarray] = []
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i < n, kept between calls up to 4 Mi entries."""
     if not _POW or len(_POW[0]) < n:
         size = max(n, 1 << 16)
@@ -131,7 +159,7 @@ def gram_hashes(b: np.ndarray, k: int) -> np.ndarray:
     """A hash for each run of k bytes of b."""
     if len(b) < k:
         return np.zeros(0, np.uint64)
-    p, q = _powers(len(b) + 1)
+    p, q = powers(len(b) + 1)
     h = np.zeros(len(b) + 1, np.uint64)
     np.cumsum((b.astype(np.uint64) + np.uint64(1)) * p[: len(b)], out=h[1:])
     return mix((h[k:] - h[:-k]) * q[: len(b) - k + 1])
@@ -156,20 +184,34 @@ def word_spans(b: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
-def word_hashes(b: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 20) -> np.ndarray:
-    """A hash for each word, made block by block so that the tables stay small for long texts."""
-    out = np.empty(len(starts), np.uint64)
-    i = 0
-    while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + block, "right")))
-        lo, hi = int(starts[i]), int(ends[j - 1])
-        p, q = _powers(hi - lo + 1)
-        h = np.zeros(hi - lo + 1, np.uint64)
-        np.cumsum((b[lo:hi].astype(np.uint64) + np.uint64(1)) * p[: hi - lo], out=h[1:])
-        s, e = starts[i:j] - lo, ends[i:j] - lo
-        out[i:j] = mix((h[e] - h[s]) * q[s] ^ (e - s).astype(np.uint64) << np.uint64(48))
-        i = j
-    return out
+_LONG_WORD = 64
+_MASK = np.array([(1 << 8 * i) - 1 for i in range(8)] + [(1 << 64) - 1], np.uint64)
+
+
+def word_hashes(b: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash for each word, eight bytes mixed at a time; two seeds give 128 bits.
+
+    Words of over 64 bytes are hashed by BLAKE2.
+    """
+    size = ends - starts
+    h = mix(size.astype(np.uint64) + np.uint64((seed * 2 + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+    if not len(starts):
+        return h
+    held = np.append(b, np.zeros(8, np.uint8))
+    lanes = np.ndarray((len(b) + 1,), "<u8", held, strides=(1,))
+    at = np.flatnonzero(size <= _LONG_WORD)
+    step = 0
+    while len(at):
+        left = size[at] - step
+        h[at] = mix((h[at] ^ (lanes[starts[at] + step] & _MASK[np.minimum(left, 8)])) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(step + 1))
+        step += 8
+        at = at[left > 8]
+    raw = None
+    for i in np.flatnonzero(size > _LONG_WORD).tolist():
+        raw = memoryview(b) if raw is None else raw
+        digest = hashlib.blake2b(raw[starts[i] : ends[i]], digest_size=8, salt=str(seed).encode()).digest()
+        h[i] = int.from_bytes(digest, "little")
+    return h
 
 
 def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:

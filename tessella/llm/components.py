@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import discard, staged
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -25,13 +25,19 @@ def components(edges: DataFrame) -> DataFrame:
         first = both.groupBy("a").agg(F.min(F.struct(F.xxhash64("b", F.lit(k)).alias("h"), F.col("b").alias("to"))).alias("m"))
         own = F.xxhash64("a", F.lit(k))
         chosen = staged(first.select(F.col("a").alias("node"), F.when(own <= F.col("m.h"), F.col("a")).otherwise(F.col("m.to")).alias("to")), "chosen")
+        left = chosen.select(F.col("node").alias("a"), F.col("to").alias("x"))
+        right = chosen.select(F.col("node").alias("b"), F.col("to").alias("y"))
+        fewer = e.join(left, "a").join(right, "b").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        fewer = staged(fewer, "edges")
         if labels is None:
-            labels = chosen.select("node", F.col("to").alias("root"))
+            labels = staged(chosen.withColumnRenamed("to", "root"), "labels")
+            discard(chosen)
+            discard(e)
         else:
             nxt = chosen.select(F.col("node").alias("root"), F.col("to").alias("nxt"))
-            labels = labels.join(nxt, "root", "left").select("node", F.coalesce("nxt", "root").alias("root"))
-        left = chosen.select(F.col("node").alias("a"), F.col("to").alias("x"))
-        right = chosen.select(F.col("node").alias("b"), F.col("to").alias("y"))
-        e = e.join(left, "a").join(right, "b").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        e = staged(e, "edges")
-    return staged(labels, "labels")
+            further = staged(labels.join(nxt, "root", "left").select("node", F.coalesce("nxt", "root").alias("root")), "labels")
+            discard(labels, chosen, e)
+            labels = further
+        e = fewer
+    discard(e)
+    return labels

@@ -2,356 +2,480 @@
 
 from __future__ import annotations
 
-import itertools
-import math
 from collections.abc import Iterator
-from functools import cache, reduce
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import mix, pieces, shingle_hashes, signed, staged, text_bytes, word_hashes, word_spans
+from .common import discard, mix, pieces, shingle_hashes, signed, staged, text_bytes, with_key_of_many, word_hashes, word_spans
 from .components import components
 
 WORDS, LEAST, OF = 5, 80, 100
+THIRDS = 3  # second-level parts of a first-level part, of which a signature leaves one out
 REMEMBERED = 200_000
-PASSES = 4  # in which sets are laid beside their hubs: each holds a quarter of the shuffled sets on disk
-
+ROUNDS = 2  # of tests against hubs, before what is left apart is paired
+HELD_BY_TASK = 1024  # sets that are compared with one other in a task
+IN_BLOCK = 2048  # sets of one signature, of several components, that are paired in a task
 
 # --- sets ------------------------------------------------------------------
 
 
-def shingle_sets(b: np.ndarray, offsets: np.ndarray, n: int) -> list[np.ndarray]:
-    """Of each text the sorted distinct hashes of its n-word shingles (A-Z lower-cased).
+def shingle_sets(b: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct hashes of the n-word shingles (A-Z lower-cased) of all texts, sorted within
+    each; the n + 1 bounds of the texts' sets; and second hashes, from other word hashes.
 
     A text of fewer words has one element for all of them; one without words has none.
     """
     low = b + ((b >= 65) & (b <= 90)).astype(np.uint8) * np.uint8(32)
     starts, ends, row = word_spans(low, offsets)
-    words = word_hashes(low, starts, ends)
-    grams = shingle_hashes(words, n)
     at = np.searchsorted(row, np.arange(len(offsets)))
-    out = []
-    for i, j in itertools.pairwise(at.tolist()):
-        if j - i >= n:
-            out.append(np.unique(grams[i : j - n + 1]))
-        elif j > i:
-            out.append(mix(shingle_hashes(words[i:j], j - i) + np.uint64(j - i)))
-        else:
-            out.append(words[:0])
-    return out
-
-
-def set_id(hashes: np.ndarray) -> int:
-    """62 bits of a set, from the sum of its elements' scrambled hashes; the lowest bit is free.
-
-    Sets are told apart by this number: two different ones share it with a chance of n**2 / 2**63
-    for n sets (about 3e-9 for 256,000).
-    """
-    total = int(mix(hashes ^ np.uint64(0xA0761D6478BD642F)).sum(dtype=np.uint64))
-    return int(mix(np.array([total ^ len(hashes)], np.uint64))[0] & np.uint64(0x7FFFFFFFFFFFFFFE))
+    count = np.diff(at)
+    hashes = []
+    for seed in (0, 1):
+        words = word_hashes(low, starts, ends, seed)
+        grams = np.zeros(len(words), np.uint64)
+        grams[: max(0, len(words) - n + 1)] = shingle_hashes(words, n)
+        for r in np.flatnonzero((count > 0) & (count < n)).tolist():
+            grams[at[r]] = mix(shingle_hashes(words[at[r] : at[r + 1]], int(count[r])) + np.uint64(count[r]))[0]
+        hashes.append(grams)
+    place = np.arange(len(row)) - at[row]
+    keep = np.flatnonzero((place + n <= count[row]) | ((place == 0) & (count[row] < n)))
+    x, y, r = hashes[0][keep], hashes[1][keep], row[keep]
+    order = np.lexsort((x, r))
+    x, y, r = x[order], y[order], r[order]
+    new = np.ones(len(x), bool)
+    new[1:] = (x[1:] != x[:-1]) | (r[1:] != r[:-1])
+    return x[new], np.searchsorted(r[new], np.arange(len(offsets))), y[new]
+
+
+def _sums(x: np.ndarray, edge: np.ndarray) -> np.ndarray:
+    """Sums modulo 2**64 of the stretches between the edges."""
+    total = np.zeros(len(x) + 1, np.uint64)
+    np.cumsum(x, out=total[1:])
+    return total[edge[1:]] - total[edge[:-1]]
+
+
+def set_ids(x: np.ndarray, edge: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of each set: sums of its elements' scrambled hashes, from independent word hashes."""
+    size = np.diff(edge).astype(np.uint64)
+    return mix(_sums(mix(x ^ np.uint64(0xA0761D6478BD642F)), edge) ^ size), mix(_sums(mix(y ^ np.uint64(0xE7037ED1A0B428DB)), edge) + size)
+
+
+def short_ids(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    """57 bits of a set's id, above six that are free and a sign of 0: a key to join by, not an identity."""
+    return mix(hi ^ lo * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(7) << np.uint64(6)
 
 
 # --- signatures ------------------------------------------------------------
 
 
 @cache
-def _bands(least: int, of: int) -> list[tuple[int, int]]:
-    """Sizes [low, high] such that sets similar enough lie in one band or in two adjacent ones."""
-    out, low = [], 1
-    while low < 1 << 40:
-        out.append((low, low * of // least))
-        low = out[-1][1] + 1
-    return out
+def _bands(least: int, of: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes low to high, inclusive, such that similar sets lie in one band or in two adjacent ones."""
+    low = [1]
+    while low[-1] < 1 << 40:
+        low.append(int(low[-1] * (of / least) ** 1.5) + 1)
+    return np.array(low[:-1]), np.array(low[1:]) - 1
 
 
 @cache
-def _scheme(band: int, least: int, of: int) -> tuple[int, int, int]:
-    """For pairs whose larger set is in ``band`` and whose other is there or one below:
-    most differing elements k, number of parts, and how many parts of a set may be tiny.
+def _scheme(least: int, of: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each band, for pairs whose larger set is in it: the number of first-level parts of the
+    domain, and how many of them are sure to hold at most one of the elements that differ.
 
-    With k + 1 + m parts of the domain at least m + 1 are free of differences, so if the larger
-    set has at most m tiny parts (under two elements), one of the free parts isn't tiny.
+    Similar sets differ in k elements at most, so in at most k // 2 parts by two or more.
     """
-    low, high = _bands(least, of)[band]
+    _, high = _bands(least, of)
     k = 2 * high * (of - least) // (of + least)
-    if k <= 4:
-        return k, k + 4, 0
-    m = 1
-    for _ in range(200):
-        parts = k + 1 + m
-        lam = low / parts
-        q = math.exp(-lam) * (1 + lam)
-        want = math.ceil(parts * q + 3 * math.sqrt(parts * q))
-        if want <= m:
-            break
-        m = min(want, k + 1)
-    return k, k + 1 + m, m
-
+    spare = np.where(k > 0, 1 + k // 7, 0)
+    return k // 2 * (k > 0) + spare, spare
 
-@cache
-def _subsets(parts: int, k: int) -> np.ndarray:
-    return np.array(list(itertools.combinations(range(parts), parts - k)))
 
+def signatures(x: np.ndarray, edge: np.ndarray, least: int, of: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """PartEnum signatures of all sets, the set of each, and for each set how many of its own a
+    similar set has too, at least.
 
-def signatures(hashes: np.ndarray, least: int, of: int) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of a set, and which of them only answer (and don't ask).
+    In the scheme of its own band, and in that of the next if a similar set may lie there, the
+    domain is dealt to first-level parts and each of these to three second-level parts. A
+    signature stands for the elements of two of the three. Similar sets differ by at most one
+    element in ``spare`` first-level parts or more, and share a signature in each of those.
 
-    Two sets that are similar enough share a signature which at least one of them asks with: in
-    the scheme of the larger set's band, for at most four differences, the elements in one of all
-    choices of four parts; for more, the elements in one part. A tiny part only answers, unless
-    its set has more tiny parts than the scheme allows for; sets asking in their own band only
-    answer in the scheme of the band above.
+    Signatures of no element are left out: the t first-level parts that lose one take t from
+    ``spare``. Only a set for which nothing would be sure that way has them all; a pair of two such
+    sets shares these, and any other pair one of the rest.
     """
-    bands = _bands(least, of)
-    own = next(i for i, (_, high) in enumerate(bands) if len(hashes) <= high)
-    sigs, mute = [], []
-    scrambled = mix(hashes ^ np.uint64(0xE7037ED1A0B428DB))
-    for band in (own, own + 1):
-        k, parts, m = _scheme(band, least, of)
-        if k == 0:
+    low, high = _bands(least, of)
+    parts_of, spare_of = _scheme(least, of)
+    n = np.diff(edge)
+    own = np.searchsorted(high, n)
+    scrambled = mix(x ^ np.uint64(0x8EBC6AF09C88C6E3))
+    need = np.full(len(n), 63, np.int64)
+    sigs, sets = [], []
+    for up in (0, 1):
+        band = own + up
+        some = (n > 0) & (parts_of[band] > 0)
+        if up:
+            some &= n * of >= low[band] * least
+        parts = parts_of[band] * some
+        base = np.append(0, np.cumsum(parts))
+        count, held = np.zeros(base[-1] * THIRDS, np.int64), np.zeros(base[-1] * THIRDS, np.uint64)
+        of_set = np.repeat(np.arange(len(n)), n)
+        mine = np.flatnonzero(some[of_set])
+        to = base[of_set[mine]] * THIRDS + ((x[mine] >> np.uint64(20)) % (parts * THIRDS).astype(np.uint64)[of_set[mine]]).astype(np.int64)
+        np.add.at(count, to, 1)
+        np.add.at(held, to, scrambled[mine])
+        count, held = count.reshape(-1, THIRDS), held.reshape(-1, THIRDS)
+        count, held = count.sum(1)[:, None] - count, held.sum(1, dtype=np.uint64)[:, None] - held
+        whose = np.repeat(np.arange(len(n)), parts)
+        lost = np.bincount(whose[(count == 0).any(1)], minlength=len(n))
+        sure = spare_of[band] - lost
+        need = np.where(some, np.minimum(need, np.maximum(sure, 1)), need)
+        given = (count > 0) | (sure < 1)[whose][:, None]
+        name = ((band[whose] << 40) + np.arange(base[-1]) - base[whose])[:, None] * THIRDS + np.arange(THIRDS)
+        sigs.append(mix(held ^ mix(name.astype(np.uint64)))[given])
+        sets.append(np.broadcast_to(whose[:, None], given.shape)[given])
+    return np.concatenate(sigs), np.concatenate(sets), need
+
+
+# --- sketches --------------------------------------------------------------
+
+
+def sketch(x: np.ndarray) -> bytes:
+    """Parities of a set's elements in as many classes as it has elements, a power of two, 64 at least.
+
+    An element in which two sets differ changes one parity, so the sets differ in at least as many
+    elements as their sketches in bits; a longer sketch is folded to the size of a shorter one.
+    """
+    size = max(64, 1 << max(0, int(len(x) - 1).bit_length()))
+    odd = np.bincount((x >> np.uint64(9)).astype(np.int64) & (size - 1), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def apart_by(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """Lower bounds of the numbers of elements in which pairs of sets differ, from their sketches."""
+    out = np.zeros(len(a), np.int64)
+    la, lb = (np.fromiter(map(len, s), np.int64, len(s)) for s in (a, b))
+    for p, q in set(zip(la.tolist(), lb.tolist(), strict=True)):
+        at = np.flatnonzero((la == p) & (lb == q))
+        if max(p, q) > 4 * min(p, q):  # sizes that no similar sets have
+            out[at] = 1 << 40
             continue
-        part = ((hashes >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        sums = np.zeros(len(hashes) + 1, np.uint64)
-        np.cumsum(scrambled[order], out=sums[1:])
-        edge = np.searchsorted(part[order], np.arange(parts + 1))
-        held, count = sums[edge[1:]] - sums[edge[:-1]], np.diff(edge)
-        if m == 0:
-            choice = _subsets(parts, k)
-            value, quiet = held[choice].sum(1, dtype=np.uint64), np.zeros(len(choice), bool)
-        else:
-            value, quiet = held, count < 2
-            if quiet.sum() > m:
-                quiet = np.zeros(parts, bool)
-        sigs.append(mix(value ^ mix(np.arange(len(value), dtype=np.uint64) + np.uint64(band << 40))))
-        mute.append(quiet | (band != own))
-    if not sigs:
-        return np.zeros(0, np.uint64), np.zeros(0, bool)
-    return np.concatenate(sigs), np.concatenate(mute)
+        m = min(p, q)
+        for some in np.array_split(at, max(1, len(at) * max(p, q) >> 22)):
+            x, y = (np.frombuffer(b"".join([s[i] for i in some]), "<u8").reshape(len(some), -1, m // 8) for s in (a, b))
+            out[some] = np.bitwise_count(np.bitwise_xor.reduce(x, 1) ^ np.bitwise_xor.reduce(y, 1)).sum(1, dtype=np.int64)
+    return out
 
 
-# --- on Spark --------------------------------------------------------------
+# --- in tasks --------------------------------------------------------------
 
 
-def _sets(batch: pa.RecordBatch, column: int, n: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+def _batch(schema: pa.Schema, *cols) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+
+
+def _sets(batch: pa.RecordBatch, column: int, n: int) -> Iterator[tuple]:
+    """First row, and sets, of the texts piece by piece."""
     b, offsets = text_bytes(batch.column(column))
     for i, j in pieces(offsets):
-        yield i, shingle_sets(b[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], n)
+        yield i, *shingle_sets(b[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], n)
 
 
 def _sized(n: int):
-    out = pa.schema([("doc_id", pa.int64()), ("set_id", pa.int64()), ("n_shingles", pa.int64())])
+    out = pa.schema([("doc_id", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), ("n_shingles", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s for _, part in _sets(batch, 1, n) for s in part]
-            ids = [set_id(s) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.int64()), pa.array(map(len, sets), pa.int64())], schema=out)
+            for i, x, edge, y in _sets(batch, 1, n):
+                hi, lo = set_ids(x, edge, y)
+                yield _batch(out, batch.column(0).slice(i, len(hi)), signed(hi), signed(lo), np.diff(edge))
 
     return run
 
 
 def _signed(n: int, least: int, of: int):
+    """Each signature with the short id of its set, whose six free bits say how many the set must share."""
     out = pa.schema([("sig", pa.int64()), ("v", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            for _, part in _sets(batch, 0, n):
-                sigs, vs = [], []
-                for s in part:
-                    if not len(s):
-                        continue
-                    v = set_id(s)
-                    if v in seen:
-                        continue
-                    if len(seen) >= REMEMBERED:
-                        seen.clear()
-                    seen.add(v)
-                    sig, mute = signatures(s, least, of)
-                    sigs.append(sig)
-                    vs.append(mute.astype(np.int64) | v)
-                if sigs:
-                    yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(sigs))), pa.array(np.concatenate(vs))], schema=out)
+            for _, x, edge, y in _sets(batch, 0, n):
+                ids = short_ids(*set_ids(x, edge, y))
+                fresh = np.zeros(len(ids), bool)
+                for i, v in enumerate(ids.tolist()):  # most copies within a task are left out
+                    if v not in seen:
+                        if len(seen) >= REMEMBERED:
+                            seen.clear()
+                        seen.add(v)
+                        fresh[i] = True
+                size = np.diff(edge)
+                sig, whose, need = signatures(x[np.repeat(fresh, size)], np.append(0, np.cumsum(size[fresh])), least, of)
+                v = ids[fresh] | np.minimum(need, 63).astype(np.uint64)
+                for lo in range(0, len(sig), 1 << 17):
+                    yield _batch(out, signed(sig[lo : lo + (1 << 17)]), signed(v[whose[lo : lo + (1 << 17)]]))
 
     return run
 
 
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by signature, those that ask first: the members of each bucket that has
-    two sets and one that asks. One row is carried over from batch to batch."""
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by ``sig, v`` the distinct ones whose signature occurs with another ``v``.
+    One row is carried over from batch to batch."""
     out = pa.schema([("sig", pa.int64()), ("v", pa.int64())])
-    held: tuple | None = None  # signature, first member, whether it has been given out
+    last, due = None, False  # the last row, and whether it has still to be given out
     for batch in batches:
         sig, v = (batch.column(i).to_numpy() for i in (0, 1))
+        if last is not None:
+            sig, v = np.append(last[0], sig), np.append(last[1], v)
         if not len(sig):
             continue
-        hidden = False
-        if held is not None:
-            hidden = held[2]
-            sig, v = np.append(held[0], sig), np.append(held[1], v)
-        first = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
-        size = np.diff(np.append(first, len(sig)))
-        head = v[first]
-        # equal rows (one set met in two tasks) are no bucket
-        varied = np.maximum.reduceat((v & -2) != np.repeat(head & -2, size), first)
-        keep = np.repeat((head & 1 == 0) & varied, size)
-        if hidden:
+        new = np.r_[True, (sig[1:] != sig[:-1]) | (v[1:] != v[:-1])]
+        sig, v = sig[new], v[new]
+        same = sig[1:] == sig[:-1]
+        keep = np.r_[False, same] | np.r_[same, False]
+        if last is not None and not due:
             keep[0] = False
-            keep[1 : size[0]] = True
-        given = bool(keep[first[-1]]) or (hidden and len(first) == 1)
-        held = (sig[-1], head[-1], given)
+        open_ = len(sig) == 1 and (last is None or due)
+        due = open_ or (len(sig) > 1 and not keep[-1])
+        last = sig[-1:], v[-1:]
         if keep.any():
-            yield pa.RecordBatch.from_arrays([pa.array(sig[keep]), pa.array(v[keep])], schema=out)
+            yield _batch(out, sig[keep], v[keep])
 
 
-def _arrays(n: int):
-    out = pa.schema([("id", pa.int64()), ("elements", pa.list_(pa.int64()))])
+def _described(n: int):
+    """Ids, size, sketch and compressed text of each set."""
+    out = pa.schema([("hi", pa.int64()), ("lo", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary()), ("z", pa.binary()), ("size", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, part in _sets(batch, 0, n):
-                part = [s for s in part if len(s)]
-                if part:
-                    offsets = np.append(0, np.cumsum([len(s) for s in part])).astype(np.int32)
-                    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(np.concatenate(part))))
-                    yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in part], pa.int64()), lists], schema=out)
+            b, offsets = text_bytes(batch.column(0))
+            for i, x, edge, y in _sets(batch, 0, n):
+                hi, lo = set_ids(x, edge, y)
+                raw = [b[offsets[r] : offsets[r + 1]].tobytes() for r in range(i, i + len(hi))]
+                yield _batch(out, signed(hi), signed(lo), np.diff(edge), [sketch(x[p:q]) for p, q in zip(edge[:-1], edge[1:], strict=True)], [pa.compress(t, "zstd", asbytes=True) for t in raw], [len(t) for t in raw])
 
     return run
 
 
-def similar(pairs: DataFrame, sets: DataFrame, least: int, of: int) -> DataFrame:
-    """Of the pairs ``a, b`` those with ``of * intersection >= least * union``, counted exactly."""
-    x = sets.select(F.col("id").alias("a"), F.col("elements").alias("x"))
-    y = sets.select(F.col("id").alias("b"), F.col("elements").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    counted = pairs.join(x, "a").join(y, "b").select("a", "b", both.alias("i"), (F.size("x") + F.size("y")).alias("n"))
-    return counted.where(F.col("i") * of >= (F.col("n") - F.col("i")) * least).select("a", "b")
+def _near(least: int, of: int):
+    """The pairs whose sketches and sizes do not rule out a link."""
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, x, y, n, m = (batch.column(c) for c in ("a", "b", "x", "y", "n", "m"))
+            most = (n.to_numpy() + m.to_numpy()) * (of - least) // (of + least)
+            at = np.flatnonzero((np.minimum(n, m) * of >= np.maximum(n, m) * least) & (apart_by(x.to_pylist(), y.to_pylist()) <= most))
+            if len(at):
+                yield _batch(out, a.take(pa.array(at)), b.take(pa.array(at)))
+
+    return run
+
+
+def _linked(n: int, least: int, of: int):
+    """Of the sets that follow an anchor (the row without ``b``), those linked to it, by comparing all elements."""
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def elements(z, size) -> np.ndarray:
+        raw = np.frombuffer(pa.decompress(z.as_buffer(), size.as_py(), "zstd"), np.uint8)
+        return shingle_sets(raw, np.array([0, len(raw)]), n)[0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        anchor = None
+        for batch in batches:
+            found = []
+            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for i, z, size in zip(range(len(a)), batch.column(2), batch.column(3), strict=True):
+                x = elements(z, size)
+                if b[i] is None:
+                    anchor = x
+                    continue
+                both = len(np.intersect1d(anchor, x, assume_unique=True))
+                if both * of >= (len(anchor) + len(x) - both) * least:
+                    found.append((a[i], b[i]))
+            if found:
+                yield _batch(out, *map(list, zip(*found, strict=True)))
+
+    return run
 
 
-def _pair(x, y) -> list:
+def _across(least: int, of: int):
+    """Of rows sorted by ``sig, i, j`` the pairs of one group and different labels that sizes and sketches allow."""
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def pairs(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(held)
+        node, label, n = (t.column(c).to_numpy() for c in ("node", "label", "n"))
+        sketches = t.column("sketch").to_pylist()
+        length = np.array([len(x) for x in sketches])
+        bits = {s: np.frombuffer(b"".join(x for x in sketches if len(x) == s), "<u8").reshape(-1, s // 8) for s in set(length.tolist())}
+        for s, small in bits.items():
+            p = np.flatnonzero(length == s)
+            for w in (s, 2 * s, 4 * s):
+                if w not in bits:
+                    continue
+                q = np.flatnonzero(length == w)
+                large = np.bitwise_xor.reduce(bits[w].reshape(len(q), -1, s // 8), 1)
+                for i in range(len(p)):
+                    x, lo = p[i], i + 1 if w == s else 0
+                    at = np.flatnonzero((label[q[lo:]] != label[x]) & (np.minimum(n[q[lo:]], n[x]) * of >= np.maximum(n[q[lo:]], n[x]) * least)) + lo
+                    if len(at):
+                        at = at[np.bitwise_count(large[at] ^ small[i]).sum(1, dtype=np.int64) <= (n[q[at]] + n[x]) * (of - least) // (of + least)]
+                    if len(at):
+                        yield _batch(out, np.minimum(node[q[at]], node[x]), np.maximum(node[q[at]], node[x]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last = [], None
+        for batch in batches:
+            key = np.column_stack([batch.column(c).to_numpy() for c in ("sig", "i", "j")])
+            cut = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist(), len(key)]
+            for i, j in zip(cut[:-1], cut[1:], strict=True):
+                if j > i:
+                    if held and last != key[i].tolist():
+                        yield from pairs(held)
+                        held = []
+                    held.append(batch.slice(i, j - i))
+                    last = key[i].tolist()
+        if held:
+            yield from pairs(held)
+
+    return run
+
+
+# --- on Spark --------------------------------------------------------------
+
+
+def _ordered(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _against_hubs(members: DataFrame, sets: DataFrame, least: int, of: int) -> DataFrame:
-    """Each member beside its buckets' hubs: sizes of what it has more (``a``) and less (``r``) than
-    the hub, the first elements of both, as many as could differ from a linked set and one, and
-    whether the two are linked."""
-    x = sets.select(F.col("id"), F.col("elements").alias("x"))
-    h = sets.select(F.col("id").alias("hub"), F.col("elements").alias("h"))
-    both = members.where("id <> hub").select("id", "hub").distinct().join(x, "id").join(h, "hub")
-    both = both.select("id", "hub", F.size("x").alias("n"), F.size("h").alias("nh"), F.array_except("x", "h").alias("more"), F.array_except("h", "x").alias("fewer"))
-    same = F.col("n") - F.size("more")
-    most = F.floor(F.col("n") * (of - least) / least).cast("int")
-    return both.select(
-        "id",
-        "hub",
-        "n",
-        F.size("more").alias("a"),
-        F.size("fewer").alias("r"),
-        most.alias("most"),
-        F.slice(F.array_sort("more"), F.lit(1), most + 1).alias("more"),
-        F.slice(F.array_sort("fewer"), F.lit(1), most + 1).alias("fewer"),
-        (same * of >= (F.col("n") + F.col("nh") - same) * least).alias("linked"),
-    )
-
-
-def _candidates(beside: DataFrame, labels: DataFrame, least: int, of: int) -> DataFrame:
-    """Pairs ``a, b`` of different components with a common hub that may still be linked.
-
-    Let two sets have A1, A2 more and R1, R2 fewer elements than their hub. They differ in
-    |A1 ^ A2| + |R1 ^ R2| elements, at most k if they are linked. The first is not linked to the hub,
-    so |A1| + |R1| is over k, and the two share an element of the A's or, if they share none of
-    those, |R2| - |A2| is at least |A1| + |R1| - k. Of sets that share an element and differ in at
-    most k, the smallest shared one is among the first k + 1 of each. So the pairs are found by
-    these elements alone, not by pairing what lies in one bucket.
+def _shared_signatures(docs: DataFrame, n: int, least: int, of: int) -> DataFrame:
+    """``sig, v`` of the sets that share enough signatures with others: those with too few go, then
+    the signatures left with one set."""
+    spark = docs.sparkSession
+    sigs = docs.select("text").mapInArrow(_signed(n, least, of), "sig long, v long")
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = staged(sigs.repartition(n_parts, "sig").sortWithinPartitions("sig", "v").mapInArrow(_shared, "sig long, v long"), "shared")
+    enough = found.groupBy("v").count().where(F.col("count") >= F.col("v").bitwiseAND(F.lit(63))).select("v")
+    alive = staged(found.join(enough, "v", "left_semi"), "alive")
+    two = alive.groupBy("sig").agg(F.min("v").alias("p"), F.max("v").alias("q")).where("p <> q").select("sig")
+    out = staged(alive.join(two, "sig", "left_semi").select("sig", F.col("v").bitwiseAND(F.lit(-64)).alias("v")), "shared")
+    discard(found, alive)
+    return out
+
+
+def _described_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """``node, n, sketch, z, size`` of the sets with a wanted ``v``, read again from a document each."""
+    named = staged(classes.join(wanted, "v", "left_semi").select("node", "v", "hi", "lo", "least_id"), "named")
+    ids = named.select(F.col("least_id").alias("doc_id")).distinct()
+    texts = docs.join(ids, "doc_id", "left_semi")
+    if not named.where("least_id IS NULL").isEmpty():
+        texts = texts.unionByName(docs.where("doc_id IS NULL"))
+    seen = texts.select("text").mapInArrow(_described(n), "hi long, lo long, n long, sketch binary, z binary, size long")
+    out = staged(seen.join(named, ["hi", "lo"]).groupBy("node").agg(*[F.first(c).alias(c) for c in ("v", "n", "sketch", "z", "size")]), "sets")
+    discard(named)
+    return out
+
+
+def similar(pairs: DataFrame, sets: DataFrame, words: int, least: int, of: int) -> DataFrame:
+    """Of the pairs ``a, b`` those with ``of * intersection >= least * union``.
+
+    Sizes and sketches rule out most of those that are not linked; of the others all elements are
+    compared, each ``a`` standing before up to ``HELD_BY_TASK`` of its ``b`` in a task.
     """
-    own = labels.select(F.col("node").alias("id"), F.col("root").alias("label"))
-    hubs = labels.select(F.col("node").alias("hub"), F.col("root").alias("hub_label"))
-    named = beside.join(own, "id", "left").join(hubs, "hub", "left").withColumn("label", F.coalesce("label", "id")).withColumn("hub_label", F.coalesce("hub_label", "hub"))
-    cols = ["id", "n", "a", "r", "label", "most"]
-
-    def side(df: DataFrame, elements: str, prefix: str) -> DataFrame:
-        return df.select("hub", F.explode(elements).alias("e"), *[F.col(c).alias(f"{prefix}_{c}") for c in cols])
-
-    far = named.where("label <> hub_label")
-    k = F.floor((F.col("x_n") + F.col("y_n")) * (of - least) / (of + least))
-    close = (F.col("x_label") != F.col("y_label")) & (F.abs(F.col("x_a") - F.col("y_a")) + F.abs(F.col("x_r") - F.col("y_r")) <= k)
-    more = side(far, "more", "x").join(side(named, "more", "y"), ["hub", "e"]).where(close)
-    short = (F.col("y_r") - F.col("y_a")) >= (F.col("x_a") + F.col("x_r") - k)
-    fewer = side(far.where("a <= most"), "fewer", "x").join(side(named.where("r > a"), "fewer", "y"), ["hub", "e"]).where(close & short)
-    return more.select(*_pair("x_id", "y_id")).unionByName(fewer.select(*_pair("x_id", "y_id"))).distinct()
-
-
-def linked_sets(docs: DataFrame, text_col: str, sized: DataFrame, n: int, least: int, of: int, rounds: int = 2) -> DataFrame:
-    """``node, root`` for each set that is linked to a different set.
-
-    Every bucket of a signature is first tested from its hub, the member whose buckets are
-    largest, which a group of copies has in common. Then, where a bucket still holds several
-    components, one member of each is tested with one of the hub's component for some rounds,
-    drawn anew in each bucket. What remains apart is found through the elements by which
-    the sets differ from their hub (``_candidates``). So no bucket is paired up in full, and yet no
-    link between components is lost.
+    n_parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = sets.select(F.col("node").alias("a"), F.col("n"), F.col("sketch").alias("x"))
+    y = sets.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y"))
+    near = staged(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "n", "m").mapInArrow(_near(least, of), "a long, b long"), "near")
+    groups = near.groupBy("a").agg(F.ceil(F.count("*") / HELD_BY_TASK).alias("groups"))
+    salted = near.join(groups, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("groups")))
+    members = salted.join(sets.select(F.col("node").alias("b"), "z", "size"), "b").select("a", "salt", "b", "z", "size")
+    anchors = groups.select("a", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("salt")).join(sets.select(F.col("node").alias("a"), "z", "size"), "a")
+    both = members.unionByName(anchors.withColumn("b", F.lit(None).cast("long")))
+    in_turn = both.repartition(n_parts, "a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+    out = staged(in_turn.select("a", "b", "z", "size").mapInArrow(_linked(words, least, of), "a long, b long"), "linked")
+    discard(near)
+    return out
+
+
+def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``node, root`` after the further links ``a, b``."""
+    if labels is None:
+        return components(links)
+    ends = links.join(labels.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
+    ends = ends.join(labels.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
+    ends = staged(ends.select("a", "b", F.coalesce("ra", "a").alias("x"), F.coalesce("rb", "b").alias("y")), "links")
+    up = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b"))).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    old = labels.join(up, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    single = ends.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(labels, "node", "left_anti")
+    new = single.join(up.withColumnRenamed("root", "node"), "node", "left").select("node", F.coalesce("top", "node").alias("root"))
+    out = staged(old.unionByName(new), "labels")
+    discard(ends, labels)
+    return out
+
+
+def linked_sets(docs: DataFrame, classes: DataFrame, words: int, least: int, of: int) -> DataFrame | None:
+    """``node, root`` of the classes that are linked to others; None if there are none.
+
+    Sets that share signatures are compared with a hub of each signature, the one that stands in
+    most of them, which a group of near copies has in common, so that such a group costs a comparison
+    a member. Signatures whose sets form one component by then are done. For the others other hubs
+    follow, a set of each component left; what is still apart after ``ROUNDS`` is paired up across
+    components only, within a signature and in blocks, and those pairs go on for which sizes and
+    sketches allow a link. No link between components is lost.
     """
-    sigs = docs.select(F.col(f"`{text_col}`")).mapInArrow(_signed(n, least, of), "sig long, v long")
-    n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["sig", F.col("v").bitwiseAND(F.lit(1)), F.col("v").bitwiseXOR(F.col("sig"))]
-    found = sigs.repartition(n_parts, "sig").sortWithinPartitions(*order).mapInArrow(_buckets, "sig long, v long")
-    asks = (F.min(F.col("v").bitwiseAND(F.lit(1))) == 0).alias("asks")
-    found = staged(found.groupBy("sig", F.col("v").bitwiseAND(F.lit(-2)).alias("id")).agg(asks), "buckets")
-    sizes = found.groupBy("sig").agg(F.count("*").alias("n"))
-    weight = found.join(sizes, "sig").groupBy("id").agg(F.sum("n").alias("w"))
-    hubs = found.where("asks").join(weight, "id").groupBy("sig").agg(F.max(F.struct("w", "id")).alias("m")).select("sig", F.col("m.id").alias("hub"))
-    members = staged(found.join(hubs, "sig"), "members")
-
-    ids = members.select(F.col("id").alias("set_id")).distinct()
-    rep = staged(sized.join(ids, "set_id", "left_semi").groupBy("set_id").agg(F.min("doc_id").alias("doc_id")), "representatives")
-    text = docs.select("doc_id", F.col(f"`{text_col}`").alias("text"))
-    texts = text.join(rep.where("doc_id IS NOT NULL").select("doc_id").distinct(), "doc_id", "left_semi")
-    if not rep.where("doc_id IS NULL").isEmpty():
-        texts = texts.unionByName(text.where("doc_id IS NULL"))
-    sets = staged(texts.select("text").mapInArrow(_arrays(n), "id long, elements array<bigint>"), "sets")
-
-    turn = F.pmod(F.xxhash64("hub"), F.lit(PASSES))
-    parts = [staged(_against_hubs(members.where(turn == i), sets, least, of), "beside-hubs") for i in range(PASSES)]
-    beside = reduce(DataFrame.unionByName, parts)
-    labels = components(beside.where("linked").select(*_pair("id", "hub")))
-
-    def merged(more: DataFrame) -> DataFrame | None:
-        """Labels after the further links ``a, b`` between components."""
-        ends = more.join(labels.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(
-            labels.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left"
-        )
-        links = staged(ends.select("a", "b", F.coalesce("ra", "a").alias("x"), F.coalesce("rb", "b").alias("y")), "links")
+    shared = _shared_signatures(docs, words, least, of)
+    sets = _described_sets(docs, classes, shared.select("v").distinct(), words)
+    members = staged(shared.join(sets.select("node", "v"), "v").select("sig", "node"), "members")
+    discard(shared)
+    labels = None
+    for k in range(ROUNDS):
+        sizes = members.groupBy("sig").agg(F.count("*").alias("in_sig"))
+        weight = members.join(sizes, "sig").groupBy("node").agg(F.sum("in_sig").alias("w"))
+        if k == 0:
+            hubs = members.join(weight, "node").groupBy("sig").agg(F.max(F.struct("w", "node")).alias("m")).select("sig", F.col("m.node").alias("hub"))
+            pairs = members.join(hubs, "sig").where("node <> hub").select(*_ordered("node", "hub"))
+        else:
+            own = labels.select("node", F.col("root").alias("label"))
+            named = members.join(own, "node", "left").withColumn("label", F.coalesce("label", "node"))
+            drawn = named.groupBy("sig", "label").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", "sig", F.lit(k)), "node")).alias("m"))
+            drawn = drawn.select("sig", "label", "n", F.col("m.node").alias("node"))
+            first = drawn.groupBy("sig").agg(F.max(F.struct("n", "node", "label")).alias("m")).select("sig", F.col("m.node").alias("hub"), F.col("m.label").alias("hub_label"))
+            pairs = drawn.join(first, "sig").where("label <> hub_label").select(*_ordered("node", "hub"))
+        pairs = staged(pairs.distinct(), "pairs")
+        links = similar(pairs, sets, words, least, of)
+        discard(pairs)
         if links.isEmpty():
-            return None
-        up = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
-        up = up.select(F.col("node").alias("root"), F.col("root").alias("top"))
-        old = labels.join(up, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
-        single = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(labels, "node", "left_anti")
-        new = single.join(up.withColumnRenamed("root", "node"), "node").select("node", F.col("top").alias("root"))
-        return staged(old.unionByName(new), "labels")
-
-    for k in range(rounds):
-        own = labels.select(F.col("node").alias("id"), F.col("root").alias("label"))
-        top = labels.select(F.col("node").alias("hub"), F.col("root").alias("hub_label"))
-        apart = members.join(own, "id", "left").join(top, "hub", "left").select("sig", "id", F.coalesce("label", "id").alias("label"), F.coalesce("hub_label", "hub").alias("hub_label"), "hub")
-        # of each component in a bucket one member, of the hub's another than the hub if there is one
-        some = apart.groupBy("sig", "label", "hub_label").agg(F.min(F.struct((F.col("id") == F.col("hub")).alias("own"), F.xxhash64("id", "sig", F.lit(k)).alias("h"), "id")).alias("m"))
-        far = some.where("label <> hub_label").select("sig", F.col("m.id").alias("far"))
-        near = some.where("label = hub_label AND NOT m.own").select("sig", F.col("m.id").alias("near"))
-        pairs = staged(far.join(near, "sig").select(*_pair("far", "near")).distinct(), "pairs")
-        after = None if pairs.isEmpty() else merged(similar(pairs, sets, least, of))
-        if after is None:
             break
-        labels = after
-
-    after = merged(similar(staged(_candidates(beside, labels, least, of), "candidates"), sets, least, of))
-    return labels if after is None else after
+        labels = _merged(labels, links)
+        discard(links)
+        members, old = _still_apart(members, labels), members
+        discard(old)
+    own = None if labels is None else labels.select("node", F.col("root").alias("label"))
+    named = members.withColumn("label", F.col("node")) if own is None else members.join(own, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = F.ceil(F.col("in_sig") / IN_BLOCK)
+    named = named.join(named.groupBy("sig").agg(F.count("*").alias("in_sig")), "sig").withColumn("x", F.pmod(F.xxhash64("node"), blocks)).withColumn("y", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = named.join(sets.select("node", "n", "sketch"), "node").select("sig", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "node", "label", "n", "sketch")
+    left = rows.repartition(n_parts, "sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(_across(least, of), "a long, b long")
+    left = staged(left.distinct(), "left")
+    links = similar(left, sets, words, least, of)
+    if not links.isEmpty():
+        labels = _merged(labels, links)
+    discard(members, left, links, sets)
+    return labels
+
+
+def _still_apart(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of signatures that hold several components."""
+    own = labels.select("node", F.col("root").alias("label"))
+    named = members.join(own, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = named.groupBy("sig").agg(F.min("label").alias("p"), F.max("label").alias("q")).where("p <> q").select("sig")
+    return staged(members.join(mixed, "sig", "left_semi"), "members")
 
 
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, least: int = LEAST, of: int = OF) -> DataFrame:
@@ -359,7 +483,10 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
     Documents link when ``of * intersection >= least * union`` of their sets of ``words``-word
     shingles; ``component_id`` is the smallest id that links lead to. Texts with equal sets are
-    one set from the start, so a group of copies costs one set, and copies are never paired.
+    one class from the start, so a group of copies costs one set, and copies are never paired.
+    Classes are told apart by 128 bits, from two independent hashes of each word; elements of the
+    two sets of a comparison by 64, so that a comparison of n with m elements errs with a chance of
+    n * m / 2**64 at most.
 
     Null and blank texts have no shingles and stand alone, as does their id. A null id is never
     the smallest; a component of null ids alone has a null ``component_id``. Repeated rows are
@@ -369,34 +496,46 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
 
 def linked_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, least: int = LEAST, of: int = OF) -> tuple[DataFrame, DataFrame]:
-    """``doc_id, set_id, n_shingles`` of each row, and ``set_id, root, component_id`` of each set;
-    ``root`` tells apart the components of null ids alone."""
+    """``doc_id, hi, lo, n_shingles`` of each row, and ``hi, lo, copies, root, component_id`` of each
+    class; ``root`` tells apart the components of null ids alone."""
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    sized = staged(docs.mapInArrow(_sized(words), "doc_id long, set_id long, n_shingles long"), "sized")
-    labels = linked_sets(docs, "text", sized, words, least, of)
-    per_set = sized.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("least_id"))
-    per_set = per_set.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select("set_id", "least_id", F.coalesce("root", "set_id").alias("root"))
-    per_set = staged(per_set, "per-set")
-    least_of = per_set.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    return sized, per_set.join(least_of, "root").select("set_id", "root", "component_id")
+    sized = staged(docs.mapInArrow(_sized(words), "doc_id long, hi long, lo long, n_shingles long"), "sized")
+    grouped = sized.where("n_shingles > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("copies"))
+    grouped = grouped.withColumn("node", F.monotonically_increasing_id())
+    classes = staged(grouped.mapInArrow(_with_short_id, "hi long, lo long, least_id long, copies long, node long, v long"), "classes")
+    labels = linked_sets(docs, classes, words, least, of)
+    if labels is None:
+        return sized, classes.select("hi", "lo", "copies", F.col("node").alias("root"), F.col("least_id").alias("component_id"))
+    rooted = staged(classes.join(labels, "node", "left").select("hi", "lo", "copies", "least_id", F.coalesce("root", "node").alias("root")), "rooted")
+    least_of = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    return sized, staged(rooted.join(least_of, "root").select("hi", "lo", "copies", "root", "component_id"), "components")
+
+
+def _with_short_id(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        hi, lo = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(signed(short_ids(hi, lo)))], names=[*batch.schema.names, "v"])
 
 
-def labelled(sized: DataFrame, sets: DataFrame) -> DataFrame:
-    return sized.join(sets, "set_id", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
-    )
+def labelled(sized: DataFrame, classes: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of each row."""
+    some = with_key_of_many(sized.where("n_shingles > 0"), classes.select("hi", "lo", "copies", "component_id"), ["hi", "lo"], "copies")
+    none = sized.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
+    return some.select("doc_id", "n_shingles", "component_id").unionByName(none.select("doc_id", "n_shingles", "component_id"))
 
 
 def with_set_id(docs: DataFrame, *, text_col: str = "text", words: int = WORDS) -> DataFrame:
-    """``docs`` with the ``set_id`` of each text, null without words."""
+    """``docs`` with the ``hi, lo`` of each text's set, null without words."""
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [set_id(s) if len(s) else None for _, part in _sets(batch, at, words) for s in part]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.int64())], names=[*batch.schema.names, "set_id"])
+            for i, x, edge, y in _sets(batch, at, words):
+                none = np.diff(edge) == 0
+                ids = [pa.array(signed(c), mask=none) for c in set_ids(x, edge, y)]
+                yield pa.RecordBatch.from_arrays([*[c.slice(i, len(none)) for c in batch.columns], *ids], names=[*batch.schema.names, "hi", "lo"])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("set_id", T.LongType())]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("hi", T.LongType()), T.StructField("lo", T.LongType())]))
 
 
 def op5_jaccard(spark, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import _powers, mix, sliding, staged
+from .common import powers, mix, sliding, staged
 
 K, S, KEEP = 20, 10, 128
 LOW = 1 << 61  # anchors of smaller hash are kept whatever their number: one in eight
@@ -28,7 +28,7 @@ def anchors(raw: bytes, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]
         part = b[lo : lo + BLOCK + k - 1]
         if len(part) < k:
             break
-        p, q = _powers(len(part) + 1)
+        p, q = powers(len(part) + 1)
         h = np.zeros(len(part) + 1, np.uint64)
         np.cumsum((part.astype(np.uint64) + np.uint64(1)) * p[: len(part)], out=h[1:])
         inner = mix((h[s:] - h[:-s]) * q[: len(part) - s + 1])
