@@ -28,15 +28,16 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     that has no id at all keeps the row of smallest text. Rows that repeat the id that stays are
     copies or rivals for it: one of them stays, that of smallest text.
     """
-    sized, sets = jaccard.linked_groups(docs, words=jaccard.WORDS, least=jaccard.LEAST, of=jaccard.OF)
-    groups = jaccard.labelled(sized, sets)
+    sized, classes = jaccard.linked_groups(docs, words=jaccard.WORDS, least=jaccard.LEAST, of=jaccard.OF)
+    groups = jaccard.labelled(sized, classes)
     kept = groups.where("doc_id = component_id").select("doc_id").distinct()
     first = docs.select(*COLUMNS).where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
-    again = staged(groups.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id"), "repeated")
+    again = staged(sized.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id"), "repeated")
     least = F.min(F.struct("text", "lang", "source", "n_chars")).alias("r")
     null = jaccard.with_set_id(docs.select(*COLUMNS).where("doc_id IS NULL"), words=jaccard.WORDS)
-    only = null.join(sets.where("component_id IS NULL").select("set_id", "root"), "set_id").groupBy("root").agg(F.min("doc_id").alias("doc_id"), least)
-    null = null.where("set_id IS NULL").select(*COLUMNS).unionByName(only.select("doc_id", "r.*"))
+    alone = classes.where("component_id IS NULL").select("hi", "lo", "root")
+    only = null.join(alone, ["hi", "lo"]).groupBy("root").agg(F.min("doc_id").alias("doc_id"), least)
+    null = null.where("hi IS NULL").select(*COLUMNS).unionByName(only.select("doc_id", "r.*"))
     if again.isEmpty():
         return first.unionByName(null)
     single = first.join(again, "doc_id", "left_anti")
