@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 SPECIAL = "<|endoftext|>"
 SPECIAL_ID = 50256
 CACHE = 400_000
+#: What ``\\s`` matches in the vocabulary's pattern, which leaves out U+001C to U+001F.
+SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Of three characters: only the whole is one piece.
 CONTRACTIONS = ("'re", "'ve", "'ll")
 
@@ -148,11 +150,11 @@ class PrefixCounter:
             ends.append(counts[at])
         return ends
 
-    def _unit(self, unit: str) -> bytes:
-        """Steps of the count at each code point of a unit, as int8."""
+    def _unit(self, unit: str) -> bytes | np.ndarray:
+        """Steps of the count at each code point of a unit, as int8 where they fit."""
         if len(self.state) > 2 * self.most:
             self.state.clear()
-        core = unit.lstrip()
+        core = unit.lstrip(SPACES)
         space = unit[: len(unit) - len(core)]
         if not core:
             counts = self._piece(space)
@@ -171,7 +173,7 @@ class PrefixCounter:
             counts = head + [self._piece(space)[-1]] + [base + x for x in self._word(core)]
         steps = [b - a for a, b in zip([0, *counts], counts, strict=False)]
         if max(steps) > 127 or min(steps) < -128:
-            raise OverflowError("a unit's count changes by more than int8 holds")
+            return np.array(steps, np.int32)
         return bytes(x & 255 for x in steps)
 
     def _word(self, word: str) -> list[int]:
@@ -179,19 +181,25 @@ class PrefixCounter:
             return [1, 2, self._piece(word)[-1]]
         return self._piece(word)
 
-    def _plain(self, text: str) -> bytes:
+    def _plain(self, text: str) -> np.ndarray:
+        """Steps of the count at each code point."""
         rows = self.rows
         out = []
+        plain = True
         for u in self.units.findall(text):
             row = rows.get(u)
             if row is None:
                 row = self._unit(u)
-                if len(u) <= 64:
+                if not isinstance(row, bytes):
+                    plain = False
+                elif len(u) <= 64:
                     if len(rows) > self.most:
                         rows.clear()
                     rows[u] = row
             out.append(row)
-        return b"".join(out)
+        if plain:
+            return np.frombuffer(b"".join(out), np.int8)
+        return np.concatenate([np.frombuffer(x, np.int8) if isinstance(x, bytes) else x for x in out])
 
     def counts(self, text: str) -> np.ndarray:
         """count[i]: tokens of text[:i], for i from 0 to len(text)."""
@@ -201,7 +209,7 @@ class PrefixCounter:
         for i, part in enumerate(parts):
             closed = i < len(parts) - 1
             # the special string, while it is incomplete, is ordinary text
-            part_counts = np.frombuffer(self._plain(part + SPECIAL[:-1] if closed else part), np.int8).cumsum(dtype=np.int32)
+            part_counts = self._plain(part + SPECIAL[:-1] if closed else part).cumsum(dtype=np.int32)
             out[at + 1 : at + 1 + len(part_counts)] = base + part_counts
             if closed:
                 whole = int(part_counts[len(part) - 1]) if part else 0

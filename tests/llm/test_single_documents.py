@@ -40,6 +40,27 @@ def test_prefix_counts_equal_the_library_at_every_prefix(library):
         assert table.counts(text).tolist() == want, text
 
 
+def test_prefix_counts_of_rare_white_space(library):
+    """Characters that Python, the pattern or only one of them takes for white space."""
+    table = tokens.PrefixCounter(PATH)
+    r = random.Random(5)
+    texts = ["\n\n\x1d\t\x1fé", "\x1c a", " \x1f", "\u3000\u2028x"] + ["".join(r.choice("\x1c\x1d\x1e\x1f\x85\u2028\u3000\xa0 \n\taé1'.") for _ in range(r.randint(1, 14))) for _ in range(400)]
+    for text in texts:
+        want = [len(e.ids) for e in library.encode_batch([text[:i] for i in range(len(text) + 1)], add_special_tokens=False)]
+        assert table.counts(text).tolist() == want, text
+
+
+def test_prefix_counts_that_drop_at_once(library):
+    """Steps of the count beyond a signed byte."""
+    table = tokens.PrefixCounter(PATH)
+    for text in ["\n" * 900 + "a", "😀" * 300, "\u3000" * 200 + "é" * 200, " " * 2000, "=" * 999 + "\n\n" + "-" * 300]:
+        got = table.counts(text)
+        for i in [*range(0, len(text), 97), len(text) - 1, len(text)]:
+            assert got[i] == len(library.encode(text[:i], add_special_tokens=False).ids)
+    table._unit = lambda u: np.array([200] + [0] * (len(u) - 2) + [-199], np.int32)
+    assert table.counts("zq wx").tolist() == [0, 200, 1, 201, 201, 2]
+
+
 def test_prefix_counts_with_a_small_cache_are_the_same(library):
     table = tokens.PrefixCounter(PATH, cache=3)
     for text in noise(2, 60):
