@@ -14,9 +14,10 @@ from .common import staged
 
 K = 5
 EVERY = 50
-PIVOTS = 64  # cells, and rows of the summaries that the driver holds
-GROUP_QUERIES = 4096  # queries that are solved together
+PIVOTS = 64, 1024  # cells, and rows of the summaries that the driver holds: the root of the rows, within these
+GROUP_QUERIES = 4096  # queries, on average at most, that are solved together
 BLOCK_ROWS = 16384  # data rows, on average, in a block
+EXACT = 1 << 53  # below this, sums of products are exact as doubles
 
 
 def _vectors():
@@ -30,18 +31,25 @@ def _vectors():
                     continue
                 f = x.values.to_numpy(zero_copy_only=False).astype(np.float64)
                 if np.isfinite(f).all():
+                    f = np.floor(256 * f)
+                    if f @ f >= 2.0**62:
+                        raise OverflowError(f"vector {vec_id} is too long for scores that are whole numbers of 64 bits")
                     ids.append(vec_id)
-                    vs.append(np.floor(256 * f).astype("<i8"))
+                    vs.append(f.astype("<i8"))
             cols = [pa.array(ids, pa.int64()), pa.array([v.tobytes() for v in vs], pa.binary()), pa.array(map(len, vs), pa.int32())]
             yield pa.RecordBatch.from_arrays([*cols, pa.array([int(v @ v) for v in vs], pa.int64())], schema=out)
 
     return run
 
 
-def _matrix(col: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
+def _whole(col: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
-    return np.frombuffer(b"".join(col.to_pylist()), "<i8").reshape(len(col), dim).astype(np.float64)
+    return np.frombuffer(b"".join(col.to_pylist()), "<i8").reshape(len(col), dim)
+
+
+def _matrix(col: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
+    return _whole(col, dim).astype(np.float64)
 
 
 def _lift(x: np.ndarray, top: float) -> np.ndarray:
@@ -68,7 +76,10 @@ def _cells(pivots: np.ndarray, dim: int, top: float, query: bool):
     return run
 
 
-def _solve(k: int, dim: int):
+def _solve(k: int, dim: int, top: float):
+    """The best k of a block for each query; products of doubles where they are exact, else of
+    integers, which are slower."""
+    matrix, none = (_matrix, -np.inf) if top < EXACT else (_whole, np.iinfo(np.int64).min)
     out = pa.schema([("query_id", pa.int64()), ("q", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
     def run(queries: pa.Table, data: pa.Table) -> pa.Table:
@@ -76,15 +87,15 @@ def _solve(k: int, dim: int):
             return out.empty_table()
         ids = data.column("vec_id").to_numpy()
         order = np.argsort(ids, kind="stable")
-        ids, x = ids[order], _matrix(data.column("v"), dim)[order]
-        q_ids, q_keys, q = queries.column("query_id").to_numpy(), queries.column("q").to_numpy(), _matrix(queries.column("qv"), dim)
+        ids, x = ids[order], matrix(data.column("v"), dim)[order]
+        q_ids, q_keys, q = queries.column("query_id").to_numpy(), queries.column("q").to_numpy(), matrix(queries.column("qv"), dim)
         found = []
         for lo in range(0, len(q), 256):
-            scores = q[lo : lo + 256] @ x.T  # whole numbers below 2**53: exact
-            scores[q_ids[lo : lo + 256, None] == ids[None, :]] = -np.inf
+            scores = q[lo : lo + 256] @ x.T
+            scores[q_ids[lo : lo + 256, None] == ids[None, :]] = none
             for r, s in enumerate(scores, lo):
                 at = np.arange(len(s)) if len(s) <= k else np.flatnonzero(s >= np.partition(s, len(s) - k)[len(s) - k])
-                at = at[s[at] > -np.inf]
+                at = at[s[at] > none]
                 at = at[np.argsort(-s[at], kind="stable")[:k]]  # ids ascend among equal scores
                 found.append((np.full(len(at), q_ids[r]), np.full(len(at), q_keys[r]), ids[at], s[at].astype(np.int64)))
         return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], schema=out)
@@ -92,7 +103,7 @@ def _solve(k: int, dim: int):
     return run
 
 
-def _bounds(data: list, queries: list, pivots: np.ndarray, k: int, groups: np.ndarray) -> dict[tuple[int, int], float]:
+def _bounds(data: list, queries: list, pivots: np.ndarray, k: int, groups: np.ndarray, top: float) -> dict[tuple[int, int], float]:
     """For each group of query cells and each data cell the least distance from the data cell's
     pivot at which a vector may still be among the k nearest of a query of the group.
 
@@ -113,12 +124,12 @@ def _bounds(data: list, queries: list, pivots: np.ndarray, k: int, groups: np.nd
         g = int(groups[i])
         for j in near:
             low = apart[i, j] - reach - theta
-            low -= 1e-6 * (1 + apart[i, j] + reach)  # rounding
+            low -= 1e-6 * (1 + apart[i, j] + reach + top**0.5)  # rounding
             out[g, j] = min(out.get((g, j), np.inf), low)
     return out
 
 
-def voronoi_top_k(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vec_col: str = "embedding", k: int = K, pivots: int = PIVOTS) -> DataFrame:
+def voronoi_top_k(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vec_col: str = "embedding", k: int = K, pivots: int | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each query the k rows of largest inner product, ties to smaller ids.
 
     Components count as floor(256 * x). Vectors are lifted to a sphere, where the order by
@@ -126,14 +137,16 @@ def voronoi_top_k(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id
     of smallest id hash). Per cell the summaries hold the largest distance of a query and the
     k + 1 smallest of data with different ids, which bound the distance of a query cell's k-th
     neighbour; a vector goes to a group of queries only if the triangle inequality lets it in.
-    Groups hold about ``GROUP_QUERIES`` queries, and a group's data are split into blocks by a hash
-    of the row's number, so neither a crowded cell nor a row that occurs very often meets in one
-    task; the blocks' best k are merged. The driver sees ``pivots`` vectors and as many summary rows.
+    A group's queries are split into parts of about ``GROUP_QUERIES``, and the data that it lets in
+    into blocks of about ``BLOCK_ROWS``, by hashes, so neither a crowded cell nor a row that occurs
+    very often meets in one task; the blocks' best k are merged. Without ``pivots`` there are as many
+    as the root of the rows, within ``PIVOTS``; the driver sees that many vectors and summary rows.
 
     Null ids, null vectors, and vectors with null or non-finite components take no part; a
     query meets only vectors of its dimension. Rows with the query's id are not its candidates. Repeated rows
     are candidates each, and one query together. Too few candidates give fewer ranks; no rows
-    give none. Other columns are not read.
+    give none. Scores are exact; a vector whose product with itself is 2**62 or more raises
+    ``OverflowError``. Other columns are not read.
     """
     wanted = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vec_col}`").alias("embedding"))
     base = staged(wanted.mapInArrow(_vectors(), "vec_id long, v binary, dim int, norm long"), "vectors")
@@ -146,7 +159,8 @@ def voronoi_top_k(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id
     return found
 
 
-def _one_dimension(base: DataFrame, is_query: Column, dim: int, top: float, n: int, k: int, n_pivots: int) -> DataFrame:
+def _one_dimension(base: DataFrame, is_query: Column, dim: int, top: float, n: int, k: int, n_pivots: int | None) -> DataFrame:
+    n_pivots = n_pivots or min(max(PIVOTS[0], int(n**0.5)), PIVOTS[1])
     chosen = base.orderBy(F.xxhash64("vec_id", F.lit("pivot")), "v").limit(n_pivots).select("v").toArrow()
     pivots = np.unique(_lift(_matrix(chosen.column("v"), dim), top), axis=0)
     schema = "vec_id long, v binary, cell int, dist double"
@@ -167,18 +181,29 @@ def _one_dimension(base: DataFrame, is_query: Column, dim: int, top: float, n: i
             g, held = g + 1, 0
         groups[r.cell] = g
         held += r.n
-    limits = _bounds(data_rows, query_rows, pivots, k, groups)
+    limits = _bounds(data_rows, query_rows, pivots, k, groups, top)
     spark = base.sparkSession
     sent = spark.createDataFrame([(int(j), g, float(low)) for (g, j), low in limits.items()], "cell int, g int, low double")
+    reached = data.join(F.broadcast(sent), "cell").where("dist >= low")
+    asking: dict[int, int] = {}
+    for r in query_rows:
+        asking[int(groups[r.cell])] = asking.get(int(groups[r.cell]), 0) + r.n
+    shape = [(r.g, -(-r.n // BLOCK_ROWS), -(-asking[r.g] // GROUP_QUERIES)) for r in reached.groupBy("g").agg(F.count("*").alias("n")).collect()]
+    split = F.broadcast(spark.createDataFrame(shape, "g int, blocks long, parts long"))
     named = spark.createDataFrame([(r.cell, int(groups[r.cell])) for r in query_rows], "cell int, g int")
-    blocks = max(8, -(-n // BLOCK_ROWS))
-    block = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block")
-    left = data.join(F.broadcast(sent), "cell").where("dist >= low").select("g", block, "vec_id", "v")
-    right = asked.join(F.broadcast(named), "cell").select("g", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "query_id", "q", "qv")
+
+    def dealt(key: str, into: str) -> Column:
+        return F.pmod(F.xxhash64(key), F.col(into))
+
+    def each(into: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(into) - 1))
+
+    left = reached.join(split, "g").select("g", dealt("row", "blocks").alias("block"), each("parts").alias("part"), "vec_id", "v")
+    right = asked.join(F.broadcast(named), "cell").join(split, "g").select("g", each("blocks").alias("block"), dealt("q", "parts").alias("part"), "query_id", "q", "qv")
     solved = (
-        right.groupBy("g", "block")
-        .cogroup(left.groupBy("g", "block"))
-        .applyInArrow(_solve(k, dim), "query_id long, q long, vec_id long, score long")
+        right.groupBy("g", "part", "block")
+        .cogroup(left.groupBy("g", "part", "block"))
+        .applyInArrow(_solve(k, dim, top), "query_id long, q long, vec_id long, score long")
     )
     best = Window.partitionBy("query_id", "q").orderBy(F.col("score").desc(), "vec_id")
     ranked = solved.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

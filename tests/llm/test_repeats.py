@@ -143,6 +143,40 @@ def test_top_k_of_an_id_in_many_rows(spark, own):
     assert sorted((x.query_id, x["rank"], x.vec_id, x.score) for x in out) == sorted(want)
 
 
+def best_by_hand(vecs, every, k=5):
+    whole = [(i, tuple(int(x * 256 // 1) for x in v)) for i, v in vecs if i is not None and v is not None]
+    out = set()
+    for q, v in {(i, v) for i, v in whole if i % every == 0}:
+        ranked = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in whole if i != q and len(w) == len(v))
+        out |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(ranked[:k])}
+    return out
+
+
+@pytest.mark.parametrize("large", [1.0, 1e6])
+def test_top_k_of_mixed_dimensions_and_sizes(spark, large, monkeypatch):
+    """Every dimension for itself, few candidates, blocks and parts of few rows, and integers beyond exact doubles."""
+    monkeypatch.setattr(topk, "GROUP_QUERIES", 3)
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 16)
+    r = random.Random(9)
+    vecs = [(i, [large * r.uniform(-1, 1) for _ in range(r.choice([3, 4]))]) for i in range(120)]
+    vecs += [(200, [1.0] * 7), (201, []), (None, [1.0] * 3), (210, None), (5, [large] * 3), (5, [large] * 3), (220, [large, 0.0, large])]
+    rows = spark.createDataFrame(vecs, "vec_id long, embedding array<double>").withColumn("score", F.lit("mine"))
+    out = topk.voronoi_top_k(rows, F.col("vec_id") % 10 == 0).collect()
+    want = best_by_hand(vecs, 10)
+    got = [(x.query_id, x["rank"], x.vec_id, x.score) for x in out]
+    assert set(got) == want and len(got) == len(want)
+
+
+def test_top_k_of_nothing_and_of_too_long_vectors(spark):
+    none = spark.createDataFrame([], "vec_id long, embedding array<double>")
+    assert topk.voronoi_top_k(none, F.col("vec_id") % 10 == 0).count() == 0
+    alone = spark.createDataFrame([(10, [1.0])], "vec_id long, embedding array<double>")
+    assert topk.voronoi_top_k(alone, F.col("vec_id") % 10 == 0).count() == 0
+    long = spark.createDataFrame([(10, [1e9, 1.0]), (11, [2.0, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="too long for scores"):
+        topk.voronoi_top_k(long, F.col("vec_id") % 10 == 0).collect()
+
+
 def test_hot_seeds_and_windows_combine_before_the_shuffle(spark, monkeypatch):
     plans = []
     write = rlz.staged
@@ -153,4 +187,4 @@ def test_hot_seeds_and_windows_combine_before_the_shuffle(spark, monkeypatch):
     assert sorted((r.doc_id or 0, r.rlz_removed) for r in got) == [(0, 0), (0, 0)] + [(i, 20) for i in range(1, 30)]
     assert {tuple(f) for r in got if r.doc_id for f in r.rlz_factors} == {(0, 20, 0, 0)}
     assert not [p for p in plans if "Window" in p]
-    assert sum("partial_min(doc_id" in p and "partial_max(doc_id" in p for p in plans) == 2
+    assert sum("partial_min(doc_id" in p and "partial_max(doc_id" in p for p in plans) == 2  # seeds, windows
