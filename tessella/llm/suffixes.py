@@ -1,4 +1,4 @@
-"""Substring dedup with a distributed difference-cover suffix sort."""
+"""Substring dedup: every stretch made of strings of a fixed length that start in several places."""
 
 from __future__ import annotations
 
@@ -6,364 +6,313 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import gram_hashes, minimizers, mix, signed, staged, text_bytes
+from .common import discard, gram_hashes, minimizers, powers, refuse_names, signed, staged, text_bytes
 
 LENGTH = 400
 REMEMBERED = 200_000
 CHUNK = 1 << 20
+IN_BLOCK = 512  # excerpts that one task compares with one reference
 
-# Perfect difference sets. Every residue modulo the key is a difference of two of the numbers.
-COVERS = {
-    3: (0, 1),
-    7: (0, 1, 3),
-    13: (0, 1, 3, 9),
-    21: (0, 1, 4, 14, 16),
-    31: (0, 1, 3, 8, 12, 18),
-    57: (0, 1, 3, 13, 32, 36, 43, 52),
-    73: (0, 1, 3, 7, 15, 31, 36, 54, 63),
-    91: (0, 1, 3, 9, 27, 49, 56, 61, 77, 81),
-}
 
+def seed_length(length: int) -> int:
+    """Bytes of the runs by which strings of ``length`` bytes are found."""
+    return length - max(1, length * 3 // 20)
 
-def cover(length: int) -> tuple[int, np.ndarray]:
-    """The largest period v whose triples of v bytes lie in ``length`` bytes from any sampled
-    place less than v after their start, and its difference cover."""
-    v = max(v for v in COVERS if 4 * v - 1 <= length)
-    return v, np.array(COVERS[v])
 
-
-def _seed(length: int) -> int:
-    """Bytes of the runs that tell which stretches go to the sort."""
-    return length // 2
-
-
-def _probe(length: int) -> int:
-    """Bytes of the runs that tell which windows are compared."""
-    return length - length // 11
+# --- in tasks --------------------------------------------------------------
 
 
-# --- in tasks --------------------------------------------------------------
+def _batch(schema: pa.Schema, *cols) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
 
-def _new_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
-    """Key and bytes of each text, most copies within a task left out."""
-    seen: set[int] = set()
+def _new_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Key, tag and bytes of each text, most copies within a task left out."""
+    seen: set[tuple[int, int]] = set()
     for batch in batches:
-        b, offsets = text_bytes(batch.column(1))
-        for r, key in enumerate(batch.column(0).to_pylist()):
+        b, offsets = text_bytes(batch.column(2))
+        for r, key in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
             if key in seen:
                 continue
             if len(seen) >= REMEMBERED:
                 seen.clear()
             seen.add(key)
-            yield key, b[offsets[r] : offsets[r + 1]]
+            yield *key, b[offsets[r] : offsets[r + 1]]
 
 
-def _chunks(n: int, length: int) -> Iterator[tuple[int, int]]:
-    """Ranges that hold every run of ``length`` bytes of n once."""
-    for lo in range(0, n - length + 1, CHUNK):
-        yield lo, min(n, lo + CHUNK + length - 1)
+def chosen(b: np.ndarray, length: int, chunk: int = CHUNK) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and place of the runs of ``seed_length`` bytes with the smallest hash of some string of ``length`` bytes."""
+    k = seed_length(length)
+    hashes, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for lo in range(0, len(b) - length + 1, chunk):
+        part = b[lo : lo + chunk + length - 1]
+        grams = gram_hashes(part, k)
+        at = minimizers(grams, np.zeros(len(part), np.int8), length - k + 1)
+        hashes.append(grams[at])
+        places.append(at + lo)
+    place, first = np.unique(np.concatenate(places), return_index=True)
+    return np.concatenate(hashes)[first], place
 
 
 def _seeds(length: int):
-    out = pa.schema([("seed", pa.int64()), ("key", pa.int64()), ("at", pa.int32())])
-    k = _seed(length)
+    """The seeds of each text, and whether one occurs in it again."""
+    out = pa.schema([("seed", pa.int64()), ("key", pa.int64()), ("at", pa.int32()), ("again", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, b in _new_texts(batches):
-            for lo, hi in _chunks(len(b), length):
-                grams = gram_hashes(b[lo:hi], k)
-                at = minimizers(grams, np.zeros(hi - lo, np.int8), length - k + 1)
-                if len(at):
-                    yield pa.RecordBatch.from_arrays([pa.array(signed(grams[at])), pa.array(np.full(len(at), key)), pa.array((at + lo).astype(np.int32))], schema=out)
+        for key, _, b in _new_texts(batches):
+            value, at = chosen(b, length)
+            if len(at):
+                _, back, times = np.unique(value, return_inverse=True, return_counts=True)
+                yield _batch(out, signed(value), np.full(len(at), key), at.astype(np.int32), times[back] > 1)
 
     return run
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Key, text compressed for the shuffle, and its size."""
-    out = pa.schema([("key", pa.int64()), ("z", pa.binary()), ("size", pa.int64())])
-    for key, b in _new_texts(batches):
-        yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([pa.compress(b.tobytes(), "zstd", asbytes=True)]), pa.array([len(b)])], schema=out)
+    """Key, tag, text compressed for the shuffle, and its size."""
+    out = pa.schema([("key", pa.int64()), ("tag", pa.int64()), ("z", pa.binary()), ("size", pa.int64())])
+    for key, tag, b in _new_texts(batches):
+        yield _batch(out, [key], [tag], [pa.compress(b.tobytes(), "zstd", asbytes=True)], [len(b)])
 
 
 def _unpacked(z: pa.Scalar, size: pa.Scalar) -> np.ndarray:
     return np.frombuffer(pa.decompress(z.as_buffer(), size.as_py(), "zstd"), np.uint8)
 
 
-def _samples(length: int):
-    """Hashes of the v bytes at each sampled place of the stretches around shared seeds."""
-    out = pa.schema([("sig", pa.int64()), ("key", pa.int64()), ("at", pa.int32())])
-    v, sample = cover(length)
-    k = _seed(length)
+def _excerpts(length: int, all_own: bool):
+    """For each text and each reference of its seeds the bytes around them. A text's own first
+    place of a seed needs no comparison, unless ``all_own``."""
+    out = pa.schema([("ref", pa.int64()), ("key", pa.int64()), ("tag", pa.int64()), ("base", pa.int32()), ("raw", pa.binary()), ("at", pa.list_(pa.int32()))])
+    k = seed_length(length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key, z, size, places = (batch.column(c) for c in range(4))
             for r in range(batch.num_rows):
-                b, at = _unpacked(z[r], size[r]), places[r].values.to_numpy()
-                step = np.zeros(len(b) + 1, np.int32)
-                np.add.at(step, np.maximum(at - (length - k), 0), 1)
-                np.add.at(step, np.minimum(at + length, len(b)), -1)
-                near = np.flatnonzero(np.diff((np.cumsum(step) > 0).astype(np.int8), prepend=0))
-                for lo, hi in near.reshape(-1, 2).tolist():
-                    for c, d in _chunks(hi - lo, v):
-                        c, d = c + lo, d + lo
-                        p = (np.arange(c // v, d // v + 1)[:, None] * v + sample).ravel()
-                        p = p[(p >= c) & (p + v <= d)]
-                        if len(p):
-                            yield pa.RecordBatch.from_arrays([pa.array(signed(gram_hashes(b[c:d], v)[p - c])), pa.array(np.full(len(p), key[r].as_py())), pa.array(p.astype(np.int32))], schema=out)
+                key, tag, b, hits = batch.column(0)[r].as_py(), batch.column(1)[r].as_py(), _unpacked(batch.column(2)[r], batch.column(3)[r]), batch.column(4)[r].values
+                value, ref, at = (hits.field(c).to_numpy() for c in range(3))
+                grams = signed(gram_hashes(b, k))  # hits of another text of this key are left out
+                mine = (at < len(grams)) & (grams[np.minimum(at, len(grams) - 1)] == value) if len(grams) else np.zeros(len(at), bool)
+                order = np.lexsort((at, ref))
+                order = order[mine[order]]
+                value, ref, at = value[order], ref[order], at[order]
+                if not all_own:
+                    own = np.flatnonzero(ref == key)
+                    _, first = np.unique(value[own], return_index=True)
+                    value, ref, at = (np.delete(c, own[first]) for c in (value, ref, at))
+                cut = np.flatnonzero(np.r_[True, (ref[1:] != ref[:-1]) | (np.diff(at) > length)])
+                rows = []
+                for i, j in zip(cut.tolist(), [*cut[1:].tolist(), len(at)], strict=True) if len(at) else ():
+                    lo, hi = max(0, int(at[i]) - length + k), min(len(b), int(at[j - 1]) + length)
+                    rows.append((int(ref[i]), key, tag, lo, b[lo:hi].tobytes(), at[i:j] - lo))
+                if rows:
+                    yield _batch(out, *zip(*rows, strict=True))
 
     return run
 
 
-def _adjacent(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
-    """From rows sorted by (sig, key, at), those that share their sig with a different row:
-    key, at, running number of the sig, and key and place of the first row of that sig (of the
-    second for the first). Equal rows are one. Carried over from batch to batch are the first
-    and last row of the last sig."""
-    carry, number = None, 0
-    for batch in batches:
-        sig, key, at = (batch.column(c).to_numpy() for c in range(3))
-        if not len(sig):
-            continue
-        own = np.ones(len(sig), bool)
-        if carry is not None:
-            rows, mine = carry
-            sig, key, at = (np.r_[[x[c] for x in rows], y].astype(y.dtype) for c, y in enumerate((sig, key, at)))
-            own = np.r_[mine, own]
-        new = np.r_[True, (sig[1:] != sig[:-1]) | (key[1:] != key[:-1]) | (at[1:] != at[:-1])]
-        sig, key, at, own = sig[new], key[new], at[new], own[new]
-        first = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
-        size = np.diff(np.append(first, len(sig)))
-        to = np.repeat(first, size)
-        to[first[size > 1]] += 1
-        keep = own & np.repeat(size > 1, size)
-        names = number + np.repeat(np.arange(len(first)), size)
-        number += len(first) - 1
-        head, last = first[-1], len(sig) - 1
-        ends = [head] if head == last else [head, last]
-        carry = [(sig[i], key[i], at[i]) for i in ends], [head == last] if head == last else [False, False]
-        if keep.any():
-            yield key[keep], at[keep], names[keep], key[to[keep]], at[to[keep]]
-
-
-def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    out = pa.schema([("key", pa.int64()), ("at", pa.int32()), ("name", pa.int64())])
-    base = TaskContext.get().partitionId() << 40
-    for key, at, number, *_ in _adjacent(batches):
-        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(at), pa.array(number + base)], schema=out)
-
-
-def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    out = pa.schema([("key", pa.int64()), ("at", pa.int32()), ("to_key", pa.int64()), ("to_at", pa.int32())])
-    for key, at, _, to_key, to_at in _adjacent(batches):
-        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(at), pa.array(to_key), pa.array(to_at)], schema=out)
+class Bytes:
+    """Texts end to end, with prefix sums to compare stretches by."""
 
+    def __init__(self, raws: list[np.ndarray]):
+        self.raw = np.concatenate(raws)
+        self.edge = np.cumsum([0, *map(len, raws)])
+        self.total = np.zeros(len(self.raw) + 1, np.uint64)
+        np.cumsum((self.raw.astype(np.uint64) + np.uint64(1)) * powers(len(self.raw) + 1)[0][: len(self.raw)], out=self.total[1:])
 
-def _fields(list_scalar: pa.Scalar) -> list[np.ndarray]:
-    """Columns of an array of structs whose first field is a place, sorted by it."""
-    v = list_scalar.values
-    cols = [v.field(i).to_numpy() for i in range(v.type.num_fields)]
-    order = np.argsort(cols[0], kind="stable")
-    return [c[order] for c in cols]
-
+    def row(self, at: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.edge, at, "right") - 1
 
-def _triples(v: int):
-    out = pa.schema([("sig", pa.int64()), ("key", pa.int64()), ("at", pa.int32())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, named in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                at, name = _fields(named)
-                i = np.minimum(np.searchsorted(at, at + v), len(at) - 1)
-                j = np.minimum(np.searchsorted(at, at + 2 * v), len(at) - 1)
-                full = (at[i] == at + v) & (at[j] == at + 2 * v)
-                n = name.astype(np.uint64)
-                sig = mix(mix(mix(n) + n[i]) + n[j])[full]
-                if len(sig):
-                    yield pa.RecordBatch.from_arrays([pa.array(signed(sig)), pa.array(np.full(len(sig), key)), pa.array(at[full])], schema=out)
+class Reference(Bytes):
+    """The texts of one key, with the first place of each seed."""
 
-    return run
+    def __init__(self, raws: list[np.ndarray], tags: list[int], length: int):
+        super().__init__(raws)
+        self.tags = tags
+        found = [chosen(b, length) for b in raws]
+        self.value, first = np.unique(np.concatenate([v for v, _ in found]), return_index=True)
+        self.place = np.concatenate([p + e for (_, p), e in zip(found, self.edge[:-1], strict=True)])[first]
 
 
-def _covered(n: int, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """Which of 0 .. n - 1 lie in one of the ranges (inclusive)."""
-    step = np.zeros(n + 1, np.int32)
-    some = hi >= np.maximum(lo, 0)
-    np.add.at(step, np.maximum(lo[some], 0), 1)
-    np.add.at(step, hi[some] + 1, -1)
-    return np.cumsum(step[:-1]) > 0
+def common(x: Bytes, i: np.ndarray, y: Bytes, j: np.ndarray, most: np.ndarray, back: bool) -> np.ndarray:
+    """How many bytes, ``most`` at most, are equal from place i of x and j of y on, or before them:
+    by bisection over prefix sums, for all pairs of places at once."""
+    inverse = powers(max(len(x.total), len(y.total)))[1]
+    n = np.zeros(len(i), np.int64)
+    step = 1 << int(most.max(initial=1)).bit_length()
+    while step := step >> 1:
+        to = n + step
+        fits = np.flatnonzero(to <= most)
+        p, q, t = i[fits], j[fits], to[fits]
+        if back:
+            p, q = p - t, q - t
+        same = (x.total[p + t] - x.total[p]) * inverse[p] == (y.total[q + t] - y.total[q]) * inverse[q]
+        n[fits[same]] = t[same]
+    return n
 
 
-def _stretches(mask: np.ndarray) -> list[list[int]]:
-    """Start and end of each run of true values."""
-    return np.flatnonzero(np.diff(mask.astype(np.int8), prepend=0, append=0)).reshape(-1, 2).tolist()
+def compare(text: Bytes, at: np.ndarray, ref: Reference, length: int) -> tuple[list[tuple[int, int, int]], np.ndarray]:
+    """Stretches ``start, bytes, start in the reference`` of ``length`` bytes or more that the
+    texts have in common with the reference through the seeds at ``at``, and the strings to check
+    elsewhere.
 
-
-def judge(key: int, at: np.ndarray, to_key: np.ndarray, to_at: np.ndarray, length: int) -> tuple[list, list]:
-    """From the sampled places of a text whose triple occurs elsewhere, with the first such place:
-    stretches ``key, lo, hi`` surely repeated, here and in partners before this text, and windows
-    ``key, lo, hi`` (starts, inclusive) to compare.
-
-    Places with partners at one distance whose triples overlap form a run; a run of ``length``
-    bytes is repeated. A window can be repeated otherwise only if a sampled place less than v after
-    its start has a partner. A window is settled if it lies in a run whose partner is before it, or
-    in one whose partner is behind it while no place less than v after its start has one before it.
-    The other windows are compared, and for each of their places the partner's window before it: an
-    equal window elsewhere is compared too or, following runs backwards, is equal to one that is, or
-    to a settled one of the second kind, whose places are first of all and so asked for here.
+    A string belongs to the first seed of smallest hash in it. If the stretch through that seed
+    doesn't hold the string, no occurrence of it anywhere is in the reference at this place.
     """
-    v, _ = cover(length)
-    t = 3 * v
-    n = int(at[-1]) + t + 1
-    at = at.astype(np.int64)
-    shift = to_at - at
-    before = (to_key < key) | ((to_key == key) & (shift < 0))
-    order = np.lexsort((at, shift, to_key))
-    x, y, z = at[order], to_key[order], shift[order]
-    cut = np.flatnonzero(np.r_[True, (np.diff(x) > t) | (y[1:] != y[:-1]) | (z[1:] != z[:-1])])
-    lo, hi = x[cut], x[np.append(cut[1:], len(x)) - 1] + t
-    long, back = hi - lo >= length, before[order][cut]
-    settled = _covered(n, lo[long & back], hi[long & back] - length)
-    settled |= _covered(n, lo[long & ~back], hi[long & ~back] - length) & ~_covered(n, at[before] - v + 1, at[before])
-    open_ = _covered(n, at - v + 1, at) & ~settled
-    sure = _covered(n, lo[long], hi[long] - 1)
-    ask = []
-    for u, w in _stretches(open_):
-        w -= 1
-        ask.append((key, u, w))
-        a, b = np.searchsorted(at, (u, w + v))
-        mine = np.flatnonzero(before[a:b]) + a
-        wanted: dict = {}
-        for p, q, d in zip(at[mine].tolist(), to_key[mine].tolist(), shift[mine].tolist(), strict=True):
-            c, e = max(u, p - v + 1) + d, min(w, p) + d
-            have = wanted.get((q, d), (c, e))
-            wanted[q, d] = (min(c, have[0]), max(e, have[1]))
-        ask += [(q, c, e) for (q, _), (c, e) in wanted.items()]
-    there = zip(y[cut][long & back].tolist(), (lo + z[cut])[long & back].tolist(), (hi + z[cut])[long & back].tolist(), strict=True)
-    return [(key, i, j) for i, j in _stretches(sure)] + list(there), ask
-
-
-def _judged(length: int):
-    out = pa.schema([("key", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("sure", pa.bool_())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, found in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                sure, ask = judge(key, *_fields(found), length)
-                rows = [(*x, True) for x in sure] + [(*x, False) for x in ask]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), out, strict=True)], schema=out)
-
-    return run
-
-
-def _asked(batch: pa.RecordBatch, length: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Row, key, bytes, and which windows are asked for."""
-    key, z, size, asked = (batch.column(c) for c in range(4))
-    for r in range(batch.num_rows):
-        b = _unpacked(z[r], size[r])
-        mask = _covered(len(b) - length + 1, *(np.minimum(x, len(b) - length) for x in _fields(asked[r])))
-        yield r, key[r].as_py(), b, mask
-
-
-def _probes(length: int):
-    """The smallest long run of bytes in each window asked for."""
-    out = pa.schema([("seed", pa.int64()), ("key", pa.int64()), ("at", pa.int32())])
-    k = _probe(length)
+    k = seed_length(length)
+    reach = length - k + 1
+    hashes = gram_hashes(text.raw, k)
+    place = ref.place[np.searchsorted(ref.value, hashes[at])]
+    row, ref_row = text.row(at), ref.row(place)
+    first, last = text.edge[row], text.edge[row + 1]
+    low = at - common(text, at, ref, place, np.minimum(at - first, place - ref.edge[ref_row]), True)
+    high = at + common(text, at, ref, place, np.minimum(last - at, ref.edge[ref_row + 1] - place), False)
+    long = high - low >= length
+    found = []
+    for i, j, q in set(zip(low[long].tolist(), high[long].tolist(), (place - at + low)[long].tolist(), strict=True)):
+        if not np.array_equal(text.raw[i:j], ref.raw[q : q + j - i]):
+            raise ArithmeticError("two different stretches have the same hash")
+        found.append((i, j - i, q))
+    start = at[:, None] + np.arange(1 - reach, 1)
+    inside = (start >= first[:, None]) & (start + length <= last[:, None])
+    inside &= (start < low[:, None]) | (start + length > high[:, None])
+    which, back = np.nonzero(inside)
+    loose = [np.zeros(0, np.int64)]
+    for lo in range(0, len(which), 1 << 17):
+        w, s = which[lo : lo + (1 << 17)], start[which[lo : lo + (1 << 17)], back[lo : lo + (1 << 17)]]
+        loose.append(s[s + hashes[s[:, None] + np.arange(reach)].argmin(1) == at[w]])
+    return found, np.unique(np.concatenate(loose))
+
+
+def _compared(length: int):
+    """Stretches of the excerpts, and of the reference whose texts they follow (rows without
+    ``key``), that both have, and 128 bits of the strings to check."""
+    kinds = {"key": pa.int64(), "tag": pa.int64(), "lo": pa.int32(), "hi": pa.int32(), "h1": pa.int64(), "h2": pa.int64()}
+    out = pa.schema(list(kinds.items()))
+    half = length // 2
+
+    def rows(raws: list[np.ndarray], keys: list[tuple], hits: list[np.ndarray], ref: Reference, ref_key: int) -> Iterator[tuple]:
+        text = Bytes(raws)
+        at = np.concatenate([h + e for h, e in zip(hits, text.edge[:-1], strict=True)])
+        row = text.row(at)
+        place = ref.place[np.searchsorted(ref.value, gram_hashes(text.raw, seed_length(length))[at])]
+        here = np.array([(k, t) for k, t, _ in keys], np.int64)[row]
+        base = np.array([b for *_, b in keys], np.int64)[row]
+        there = np.array(ref.tags, np.int64)[ref.row(place)]
+        same = (here[:, 0] == ref_key) & (here[:, 1] == there) & (base + at - text.edge[row] == place - ref.edge[ref.row(place)])
+        found, loose = compare(text, at[~same], ref, length)
+        for s, n, q in found:
+            r, t = int(text.row(np.array([s]))[0]), int(ref.row(np.array([q]))[0])
+            key, tag, b = keys[r]
+            lo, to = b + s - int(text.edge[r]), q - int(ref.edge[t])
+            yield key, tag, lo, lo + n, None, None
+            yield ref_key, ref.tags[t], to, to + n, None, None
+        if len(loose):
+            row = text.row(loose)
+            h1, h2 = signed(gram_hashes(text.raw, half))[loose], signed(gram_hashes(text.raw, length - half))[loose + half]
+            for s, r, x, y in zip((loose - text.edge[row]).tolist(), row.tolist(), h1.tolist(), h2.tolist(), strict=True):
+                key, tag, b = keys[r]
+                yield key, tag, b + s, b + s + length, x, y
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        anchors: tuple[list, list] = ([], [])
+        ref, current = None, None
         for batch in batches:
-            for _, key, b, mask in _asked(batch, length):
-                for x, y in _stretches(mask):
-                    for c, d in _chunks(y - x + length - 1, length):
-                        grams = gram_hashes(b[x + c : x + d], k)
-                        at = minimizers(grams, np.zeros(d - c, np.int8), length - k + 1)
-                        yield pa.RecordBatch.from_arrays([pa.array(signed(grams[at])), pa.array(np.full(len(at), key)), pa.array((at + x + c).astype(np.int32))], schema=out)
+            found: list[tuple] = []
+            held: tuple[list, list, list] = ([], [], [])
+            size = 0
+            for r, (ref_key, salt, *key) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True)):
+                if held[0] and (size > 1 << 19 or current != (ref_key, salt)):
+                    found += rows(*held, ref, current[0])
+                    held, size = ([], [], []), 0
+                if key[0] is None:
+                    if current != (ref_key, salt):
+                        anchors, ref, current = ([], []), None, (ref_key, salt)
+                    anchors[0].append(_unpacked(batch.column("z")[r], batch.column("size")[r]))
+                    anchors[1].append(key[1])
+                    continue
+                if ref is None:
+                    ref = Reference(*anchors, length)
+                raw = np.frombuffer(batch.column("z")[r].as_buffer(), np.uint8)
+                for to, x in zip(held, (raw, key, batch.column("at")[r].values.to_numpy().astype(np.int64)), strict=True):
+                    to.append(x)
+                size += len(raw)
+                if len(found) > 1 << 18:
+                    yield _batch(out, *zip(*found, strict=True))
+                    found = []
+            if held[0]:
+                found += rows(*held, ref, current[0])
+            if found:
+                yield _batch(out, *zip(*found, strict=True))
 
     return run
 
 
-def _windows(length: int):
-    """Hashes of both halves of the windows asked for that hold a probe with an equal elsewhere."""
-    out = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("at", pa.int32())])
-    half, k = length // 2, _probe(length)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r, key, b, mask in _asked(batch, length):
-                at = batch.column(4)[r].values.to_numpy()
-                mask &= _covered(len(mask), at - (length - k), np.minimum(at, len(mask) - 1))
-                for x, y in _stretches(mask):
-                    for c, d in _chunks(y - x + length - 1, length):
-                        part = b[x + c : x + d]
-                        h = [gram_hashes(part[: len(part) - length + half], half), gram_hashes(part[half:], length - half)]
-                        n = len(h[0])
-                        yield pa.RecordBatch.from_arrays([*[pa.array(signed(i)) for i in h], pa.array(np.full(n, key)), pa.array(np.arange(x + c, x + c + n, dtype=np.int32))], schema=out)
-
-    return run
+def _fields(list_scalar: pa.Scalar) -> list[np.ndarray]:
+    """Columns of an array of structs whose first field is a place, sorted by it."""
+    v = list_scalar.values
+    cols = [v.field(i).to_numpy() for i in range(v.type.num_fields)]
+    order = np.argsort(cols[0], kind="stable")
+    return [c[order] for c in cols]
 
 
 # --- on Spark --------------------------------------------------------------
 
 
-def _repeated(seeds: DataFrame) -> DataFrame:
-    """``key, places`` of ``seed, key, at``: where each text has a seed that is elsewhere too."""
-    place = F.struct("key", "at")
-    shared = seeds.groupBy("seed").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("seed")
-    return seeds.join(shared, "seed").groupBy("key").agg(F.collect_set("at").alias("places"))
-
-
 def repeated_stretches(texts: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``key, lo, hi`` of ``key, text`` (one key for each text, in any number of rows): stretches
-    that are made of strings of ``length`` bytes which start in several places of the distinct texts.
-
-    1. Any ``length`` bytes hold the smallest of their short runs, wherever they occur. Only the
-       stretches around such runs that occur twice go on.
-    2. Of these the places in a difference cover modulo v are sampled. Their v bytes are sorted
-       (by hash: any order that brings equal ones together serves, and it spreads frequent
-       beginnings over the tasks) and named by rank; what has no equal is left out.
-    3. The sorting recurses on the names: three names v places apart, 3 v bytes, are sorted, and
-       adjacent ones compared, which gives each place the first place with an equal prefix.
-    4. The suffixes not sampled are merged in from the sampled places that follow them, all windows
-       of a long run at once; at the ends of runs the windows themselves are compared (``judge``),
-       if a shorter run of bytes in them, chosen as in the first step, has an equal.
+    """``key, tag, lo, hi`` of ``key, tag, text`` (both keys together tell texts apart, each of which
+    may be in any number of rows): stretches made of strings of ``length`` bytes that start in
+    several places of the distinct texts.
+
+    1. Any ``length`` bytes hold the smallest of their shorter runs, the seed, wherever they occur.
+       Of the seeds that occur twice, the reference is the text of smallest key, at its first place.
+    2. Every text is compared with its references, in blocks of a reference and about ``IN_BLOCK``
+       excerpts: what both have around a seed, if it is long enough, is repeated in both.
+    3. Strings that hold a seed but reach beyond what the reference has are looked up by 128 bits
+       among the same strings of all texts, which is complete: where a string isn't in its
+       reference at the seed, none of its occurrences is.
+
+    What a seed or string has in common is a partial aggregate, joined back as one row a key.
     """
     spark = texts.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    v, _ = cover(length)
-    long_ones = texts.where(F.octet_length("text") >= length).select("key", "text")
-
-    seeds = staged(long_ones.mapInArrow(_seeds(length), "seed long, key long, at int"), "seeds")
-    place = F.struct("key", "at")
-    near = staged(long_ones.mapInArrow(_packed, "key long, z binary, size long").join(_repeated(seeds), "key").select("key", "z", "size", "places"), "near")
-
-    def in_order(df: DataFrame) -> DataFrame:
-        return df.repartition(n, "sig").sortWithinPartitions("sig", "key", "at")
-
-    samples = near.mapInArrow(_samples(length), "sig long, key long, at int")
-    named = in_order(samples).mapInArrow(_names, "key long, at int, name long")
-    triples = named.groupBy("key").agg(F.collect_list(F.struct("at", "name")).alias("named")).mapInArrow(_triples(v), "sig long, key long, at int")
-    partners = in_order(triples).mapInArrow(_partners, "key long, at int, to_key long, to_at int")
-    found = partners.groupBy("key").agg(F.collect_list(F.struct("at", "to_key", "to_at")).alias("found"))
-    judged = found.mapInArrow(_judged(length), "key long, lo int, hi int, sure boolean")
-    judged = staged(judged.groupBy("key", "lo", "sure").agg(F.max("hi").alias("hi")), "judged")  # at most a row a byte
-
-    asked = judged.where("NOT sure").groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("asked"))
-    asked = staged(near.select("key", "z", "size").join(asked, "key").select("key", "z", "size", "asked"), "asked")
-    probes = staged(asked.mapInArrow(_probes(length), "seed long, key long, at int"), "probes")
-    places = _repeated(probes)
-    windows = asked.join(places, "key").select("key", "z", "size", "asked", "places").mapInArrow(_windows(length), "a long, b long, key long, at int")
-    windows = staged(windows, "windows")
-    twice = windows.groupBy("a", "b").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("a", "b")
-    equal = windows.join(twice, ["a", "b"]).select("key", F.col("at").alias("lo"), (F.col("at") + length).alias("hi"))
-    return judged.where("sure").select("key", "lo", "hi").unionByName(equal)
+    long_ones = texts.where(F.octet_length("text") >= length).select("key", "tag", "text")
+    seeds = long_ones.mapInArrow(_seeds(length), "seed long, key long, at int, again boolean")
+    ends = seeds.groupBy("seed").agg(F.min("key").alias("ref"), F.max("key").alias("hi"), F.max("again").alias("again"))
+    shared = staged(ends.where("ref < hi OR again").select("seed", "ref"), "seeds")
+    hits = seeds.join(shared, "seed").groupBy("key").agg(F.collect_set(F.struct("seed", "ref", "at")).alias("hits"))
+    hits = staged(hits, "hits")
+    discard(shared)
+    keys = hits.select("key").unionByName(hits.select(F.explode("hits.ref").alias("key"))).distinct()
+    once = long_ones.mapInArrow(_packed, "key long, tag long, z binary, size long").join(keys, "key", "left_semi")
+    near = staged(once.groupBy("key", "tag").agg(F.first("z").alias("z"), F.first("size").alias("size")), "texts")
+    clash = not near.groupBy("key").count().where("count > 1").isEmpty()
+    sent = near.join(hits, "key").select("key", "tag", "z", "size", "hits").mapInArrow(_excerpts(length, clash), "ref long, key long, tag long, base int, raw binary, at array<int>")
+    sent = staged(sent, "excerpts")
+    discard(hits)
+
+    blocks = staged(sent.groupBy("ref").agg(F.ceil(F.count("*") / IN_BLOCK).alias("blocks")), "references")
+    salted = sent.join(blocks, "ref").withColumn("salt", F.pmod(F.xxhash64("key", "base"), F.col("blocks")))
+    salted = salted.select("ref", "salt", "key", "tag", "base", F.col("raw").alias("z"), F.lit(0).cast("long").alias("size"), "at")
+    anchors = near.withColumnRenamed("key", "ref").join(blocks, "ref").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    anchors = anchors.select("ref", "salt", F.lit(None).cast("long").alias("key"), "tag", F.lit(0).alias("base"), "z", "size", F.array().cast("array<int>").alias("at"))
+    in_turn = anchors.unionByName(salted).repartition(n, "ref", "salt").sortWithinPartitions("ref", "salt", F.col("key").asc_nulls_first(), "tag", "base")
+    found = in_turn.mapInArrow(_compared(length), "key long, tag long, lo int, hi int, h1 long, h2 long")
+    found = staged(found, "compared")
+    discard(near, sent, blocks)
+
+    loose = found.where("h1 IS NOT NULL")
+    place = F.xxhash64("key", "tag", "lo")
+    two = loose.groupBy("h1", "h2").agg(F.min(place).alias("p"), F.max(place).alias("q")).where("p <> q").select("h1", "h2")
+    two = staged(two, "twice")
+    marks = found.where("h1 IS NULL").drop("h1", "h2").unionByName(loose.join(two, ["h1", "h2"]).drop("h1", "h2"))
+    marks = staged(marks.groupBy("key", "tag", "lo").agg(F.max("hi").alias("hi")), "marks")
+    discard(found, two)
+    return marks
 
 
 def _pack_column(at: int):
@@ -414,6 +363,9 @@ def _cut(at: int, length: int):
     return run
 
 
+ADDED = ["sa_bytes", "sa_spans", "sa_kept"]
+
+
 def cut_repeats(docs: DataFrame, *, text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """``docs`` with ``sa_bytes`` (size of the text), ``sa_spans`` (maximal stretches removed) and
     ``sa_kept`` (the bytes left, which need not be valid UTF-8).
@@ -421,21 +373,24 @@ def cut_repeats(docs: DataFrame, *, text_col: str = "text", length: int = LENGTH
     A byte goes if a string of ``length`` bytes that covers it also starts anywhere else: in another
     row, or elsewhere in the same text; overlaps count, and all is judged on the input. ``length``
     is 12 at least. Equal texts of ``length`` bytes or more are repeats of each other from start to
-    end, so such rows lose everything and stand in the sort once.
+    end, so such rows lose everything and are compared once.
 
-    Null and empty texts have no bytes. Repeated rows are copies. Other columns pass through,
-    those named ``sa_...`` excepted, which must not exist. No rows give no rows. Texts are told apart
-    by 64 bits: two share a key with a chance of n**2 / 2**65 for n different texts; windows by 128.
+    Null and empty texts have no bytes. Repeated rows are copies. Other columns pass through, but
+    a column named ``sa_...`` raises ``ValueError``. No rows give no rows. Texts are told apart by 128
+    bits, as are the strings at the ends of stretches; stretches are compared byte by byte.
     """
-    keyed = docs.withColumn("sa_key", F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
-    texts = keyed.select(F.col("sa_key").alias("key"), F.col(f"`{text_col}`").alias("text"))
-    copies = texts.groupBy("key").count().where("count > 1").select("key", F.lit(0).alias("lo"), F.lit(2**31 - 1).alias("hi"))
+    if clash := [c for c in docs.columns if c.lower().startswith("sa_")]:
+        refuse_names(docs.columns, *clash)
+    plain = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    keyed = docs.withColumn("sa_key", F.xxhash64(plain)).withColumn("sa_tag", F.xxhash64(F.lit("tag"), F.reverse(plain)))
+    texts = keyed.select(F.col("sa_key").alias("key"), F.col("sa_tag").alias("tag"), F.col(f"`{text_col}`").alias("text"))
+    copies = texts.groupBy("key", "tag").count().where("count > 1").select("key", "tag", F.lit(0).alias("lo"), F.lit(2**31 - 1).alias("hi"))
     marks = repeated_stretches(texts, length).unionByName(copies)
-    marks = marks.groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("sa_marks")).withColumnRenamed("key", "sa_mark_key")
+    marks = marks.groupBy(F.col("key").alias("sa_mark_key"), F.col("tag").alias("sa_mark_tag")).agg(F.collect_list(F.struct("lo", "hi")).alias("sa_marks"))
     at = docs.columns.index(text_col)
     fields = [T.StructField(f.name, T.BinaryType()) if i == at else f for i, f in enumerate(keyed.schema.fields)]
     packed = keyed.mapInArrow(_pack_column(at), T.StructType([*fields, T.StructField("sa_size", T.LongType())]))
-    both = packed.join(marks, F.col("sa_key") == F.col("sa_mark_key"), "left").drop("sa_key", "sa_mark_key")
+    both = packed.join(marks, (F.col("sa_key") == F.col("sa_mark_key")) & (F.col("sa_tag") == F.col("sa_mark_tag")), "left").drop("sa_key", "sa_tag", "sa_mark_key", "sa_mark_tag")
     more = T._parse_datatype_string("sa_bytes long, sa_spans array<struct<start:long,size:long>>, sa_kept binary").fields
     return both.mapInArrow(_cut(at, length), T.StructType([*docs.schema.fields, *more]))
 

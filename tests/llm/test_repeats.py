@@ -38,13 +38,8 @@ def cut_by_hand(texts, length):
         yield len(b), spans, bytes(x for x, g in zip(b, gone, strict=True) if not g)
 
 
-def test_covers_have_all_differences():
-    for v, d in suffixes.COVERS.items():
-        assert {(a - b) % v for a in d for b in d} == set(range(v))
-
-
 @pytest.mark.parametrize(("seed", "length"), [(1, 12), (3, 28), (5, 100)])
-def test_suffix_sort_equals_brute_force(spark, seed, length):
+def test_repeated_strings_go_as_by_brute_force(spark, seed, length):
     texts = patchwork(seed, length)
     rows = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)], "doc_id long, text string, key int")
     want = list(cut_by_hand(texts, length))
@@ -55,7 +50,30 @@ def test_suffix_sort_equals_brute_force(spark, seed, length):
         assert r.text == texts[r.doc_id] and r.key == 7
 
 
-def test_suffix_sort_of_nothing(spark):
+def test_repeats_in_long_texts(spark, monkeypatch):
+    """Texts of several chunks, blocks of few excerpts, and keys that two texts share."""
+    r = random.Random(6)
+    monkeypatch.setattr(suffixes, "IN_BLOCK", 2)
+    base = "".join(r.choice("abcdefg ") for _ in range(1 << 20))
+    long = base + "".join(r.choice("hijk") for _ in range(9000)) + base[500:3000] + "end"
+    texts = [long, base[700_000:700_900] + "x" + base[10:800], None, "short", base[5:420]] + [base[600:1500] + str(i) for i in range(9)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    want = list(cut_by_hand(texts, 400))
+    for r in suffixes.cut_repeats(rows).collect():
+        assert (r.sa_bytes, [tuple(s) for s in r.sa_spans], bytes(r.sa_kept)) == want[r.doc_id]
+    keyed = rows.where("text IS NOT NULL").select((F.col("doc_id") % 2).alias("key"), F.col("doc_id").alias("tag"), "text")
+    marks = suffixes.repeated_stretches(keyed).collect()
+    for i, t in enumerate(texts):
+        gone = [False] * len(t or "")
+        for m in marks:
+            if m.tag == i:
+                gone[m.lo : m.hi] = [True] * (m.hi - m.lo)
+        assert sum(gone) == sum(n for _, n in want[i][1])
+
+
+def test_repeats_of_nothing_and_names(spark):
+    with pytest.raises(ValueError, match="sa_key"):
+        suffixes.cut_repeats(spark.createDataFrame([("a", 1)], "text string, sa_key int"))
     assert suffixes.cut_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
