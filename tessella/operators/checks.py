@@ -38,9 +38,29 @@ CHECKS = (
     "Identifier compliance",
 )
 SCAFFOLD = (
-    "Life Animalia Arthropoda Trilobita Mollusca Cephalopoda Ammonoidea Chordata Vertebrata Actinopterygii Sarcopterygii Tetrapoda "
-    "Synapsida Reptilia Lepidosauria Ichthyosauria Sauropterygia Plesiosauria Archosauria Pterosauria Crocodylomorpha Plantae"
-).split()
+    "Life",
+    "Animalia",
+    "Arthropoda",
+    "Trilobita",
+    "Mollusca",
+    "Cephalopoda",
+    "Ammonoidea",
+    "Chordata",
+    "Vertebrata",
+    "Actinopterygii",
+    "Sarcopterygii",
+    "Tetrapoda",
+    "Synapsida",
+    "Reptilia",
+    "Lepidosauria",
+    "Ichthyosauria",
+    "Sauropterygia",
+    "Plesiosauria",
+    "Archosauria",
+    "Pterosauria",
+    "Crocodylomorpha",
+    "Plantae",
+)
 
 
 @dataclass(frozen=True)

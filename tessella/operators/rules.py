@@ -130,7 +130,7 @@ def report(findings: DataFrame, checks: Sequence[str]) -> tuple[str, int]:
         if not n:
             lines.append(f"✓ {r['check']} check passed")
             continue
-        lines.append(f"{chr(0x2717) if kind == ERROR else chr(0x26A0)} {r['check']}: {n} {kind}{'s' if n != 1 else ''}")
+        lines.append(f"{'✗' if kind == ERROR else '⚠'} {r['check']}: {n} {kind}{'s' if n != 1 else ''}")
         lines += found[r["check"], kind]
     e, w = sum(r["errors"] for r in rows), sum(r["warnings"] for r in rows)
     lines.append(f"\nSummary: {e} error{'s' if e != 1 else ''}, {w} warning{'s' if w != 1 else ''}")

@@ -186,11 +186,11 @@ def stage_for_period(spark, d):
     return n.groupBy("r_name").agg(F.array_join(F.array_sort(F.collect_list("n_name")), ",").alias("nations"))
 
 
-@query("SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), 'art_1') ORDER BY p_partkey LIMIT 50")
+@query("SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), 'ring') ORDER BY p_partkey LIMIT 50")
 def search_top50(spark, d):
     from ..sources.documents import search_names
 
-    return search_names(table(spark, d, "part").select("p_partkey", "p_name"), "p_name", "Art_1", "p_partkey")
+    return search_names(table(spark, d, "part").select("p_partkey", "p_name"), "p_name", "Ring", "p_partkey")
 
 
 @query("""SELECT doc_id, CASE WHEN contains(lower(text), 'thing') THEN 'thing' WHEN contains(lower(text), 'tion') THEN 'tion' WHEN contains(lower(text), 'der ') THEN 'der' END AS term FROM documents""")
@@ -224,9 +224,11 @@ def strip_tags(spark, d):
     return table(spark, d, "pages").select("page_id", T.strip_tags(F.col("html")).alias("text"))
 
 
-@query(r"""SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '\{\{[^}]*\}\}', '', 'g'), '\[\[(?:[^|\]]*\|)?([^\]]*)\]\]', '\1', 'g'), '<[^>]+>', '', 'g'), '''{2,3}', '', 'g'), '\s+', ' ', 'g')) AS text FROM pages""")
+@query(r"""SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace('{{box|' || page_id || '}} [[a|b]] [[c]] <ref name="x"/>d<REF n>' || page_id || '</REF> e ' || html, '(?i)<ref[^>]*/>', '', 'g'), '(?i)<ref[^>]*>[\s\S]*?</ref>', '', 'g'), '\{\{[^}]*\}\}', '', 'g'), '\[\[(?:[^|\]]*\|)?([^\]]*)\]\]', '\1', 'g'), '<[^>]+>', '', 'g'), '''{2,3}', '', 'g'), '\s+', ' ', 'g')) AS text FROM pages""")
 def strip_markup(spark, d):
-    return table(spark, d, "pages").select("page_id", T.strip_markup(F.col("html")).alias("text"))
+    page = F.col("page_id").cast("string")
+    marked = F.concat(F.lit("{{box|"), page, F.lit('}} [[a|b]] [[c]] <ref name="x"/>d<REF n>'), page, F.lit("</REF> '''e''' "), F.col("html"))
+    return table(spark, d, "pages").select("page_id", T.strip_markup(marked).alias("text"))
 
 
 @query("""SELECT DISTINCT word FROM (SELECT unnest(string_split(p_name, ' ')) AS word FROM part UNION ALL SELECT n_name FROM nation UNION ALL SELECT r_name FROM region

@@ -59,13 +59,85 @@ def bibliography(genera: DataFrame, clades: DataFrame) -> DataFrame:
 
 # Terms that the word list always holds.
 TERMS = (
-    "Aves Dinosauria Saurischia Ornithischia Theropoda Sauropoda clade genus species holotype syntype paratype neotype lectotype taxon taxa "
-    "phylogeny phylogenetic monophyletic paraphyletic polyphyletic apomorphy synapomorphy plesiomorphy autapomorphy acetabulum femur tibia "
-    "fibula humerus ulna radius vertebra vertebrae sacral cervical dorsal caudal cranial dentary maxilla premaxilla nasal jugal quadrate "
-    "squamosal parietal frontal lacrimal pneumatic pneumatized serrated laterally compressed bipedal quadrupedal herbivore carnivore omnivore "
-    "insectivore piscivore integument osteoderms Cretaceous Jurassic Triassic Paleogene Mesozoic Maastrichtian Campanian Cenomanian Turonian "
-    "Albian Aptian Barremian Tithonian Kimmeridgian Oxfordian"
-).split()
+    "Aves",
+    "Dinosauria",
+    "Saurischia",
+    "Ornithischia",
+    "Theropoda",
+    "Sauropoda",
+    "clade",
+    "genus",
+    "species",
+    "holotype",
+    "syntype",
+    "paratype",
+    "neotype",
+    "lectotype",
+    "taxon",
+    "taxa",
+    "phylogeny",
+    "phylogenetic",
+    "monophyletic",
+    "paraphyletic",
+    "polyphyletic",
+    "apomorphy",
+    "synapomorphy",
+    "plesiomorphy",
+    "autapomorphy",
+    "acetabulum",
+    "femur",
+    "tibia",
+    "fibula",
+    "humerus",
+    "ulna",
+    "radius",
+    "vertebra",
+    "vertebrae",
+    "sacral",
+    "cervical",
+    "dorsal",
+    "caudal",
+    "cranial",
+    "dentary",
+    "maxilla",
+    "premaxilla",
+    "nasal",
+    "jugal",
+    "quadrate",
+    "squamosal",
+    "parietal",
+    "frontal",
+    "lacrimal",
+    "pneumatic",
+    "pneumatized",
+    "serrated",
+    "laterally",
+    "compressed",
+    "bipedal",
+    "quadrupedal",
+    "herbivore",
+    "carnivore",
+    "omnivore",
+    "insectivore",
+    "piscivore",
+    "integument",
+    "osteoderms",
+    "Cretaceous",
+    "Jurassic",
+    "Triassic",
+    "Paleogene",
+    "Mesozoic",
+    "Maastrichtian",
+    "Campanian",
+    "Cenomanian",
+    "Turonian",
+    "Albian",
+    "Aptian",
+    "Barremian",
+    "Tithonian",
+    "Kimmeridgian",
+    "Oxfordian",
+)
 
 
 def word_list(genera: DataFrame, clades: DataFrame, edges: DataFrame, stages: DataFrame, compat: bool = True) -> DataFrame:
