@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import staged
+from .common import refuse_names, staged
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -69,8 +69,10 @@ def mix_sources(
 
     Null ids rank like the text "null"; null texts have size 0; a null source is a source of its
     own. Rows equal in id and text rank alike and are taken or left together. Empty tables give
-    empty results; other columns pass through, and the added columns carry the prefix ``mix_``.
+    empty results; other columns pass through, and the added columns carry the prefix ``mix_``: one of
+    an added name raises ``ValueError``.
     """
+    refuse_names(docs.columns, "mix_size", "mix_source_size", "mix_target", "mix_copies")
     spark_src = F.col(f"`{source_col}`")
     keyed = docs.select(
         spark_src.alias("source"),

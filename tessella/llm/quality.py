@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pieces, text_bytes, word_hashes, word_spans
+from .common import pieces, refuse_names, text_bytes, word_hashes, word_spans
 
 FIT_DOCS = 3000  # labelled documents in the fit, at most
 FIT_BYTES = 1 << 17  # longer documents take no part in the fit
@@ -197,8 +197,9 @@ def score_quality(docs: DataFrame, model: Crf, *, text_col: str = "text") -> Dat
     """``docs`` with ``quality_score`` (0 to 1) and ``quality_good`` (score >= 0.3).
 
     Every text is scored whole, from its lines alone. Null, empty and blank texts score 0; other
-    columns, of any name, pass through.
+    columns pass through, but one of an added name raises ``ValueError``.
     """
+    refuse_names(docs.columns, "quality_score", "quality_good")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

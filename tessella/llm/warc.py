@@ -24,6 +24,7 @@ LEAST = 100  # bytes of the smallest payload that another may revisit
 ARCHIVE = 24 << 20  # bytes of records in an archive before compression
 SAMPLE, DICT_BYTES = 200, 64 << 10  # texts, and bytes, of the dictionary of an archive
 FRAME_MOST = 1 << 31
+MANIFEST = "_manifest"  # table of the archives of a folder that count
 
 
 class WarcError(ValueError):
@@ -101,7 +102,10 @@ def write_archives(pages: DataFrame, folder: str, *, least: int = LEAST, archive
 
     Null html is an empty payload; a null id is never the smallest, unless all of a group are
     null: then all of them are responses. Rows that share the smallest id are all responses. Null
-    urls have no target line. Other columns are not read.
+    urls, and those with a line break, have no target line. Other columns are not read.
+
+    Archives are named by the attempt of the task that writes them, and those of successful
+    attempts are listed in ``_manifest``: a task that runs again adds no record.
     """
     keyed = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
@@ -120,22 +124,29 @@ def write_archives(pages: DataFrame, folder: str, *, least: int = LEAST, archive
     rows = rows.select("page_id", "url", "html", "digest", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, n, k, held, size = TaskContext.get().partitionId(), 0, 0, [], 0
+        context = TaskContext.get()
+        part, n, k, held, size = context.partitionId(), 0, 0, [], 0
+        names: list[tuple[str, int]] = []
+
+        def close() -> None:
+            names.append((f"part-{part:06d}-{context.taskAttemptId():010d}-{k:04d}.warc.zst", len(held)))
+            _write(folder, names[-1][0], archive(held))
+
         for batch in batches:
             for page_id, url, html, digest, to in zip(*(batch.column(i) for i in range(5)), strict=True):
                 held.append(record(page_id.as_py(), url.as_py(), html.as_buffer().to_pybytes(), digest.as_py(), to.as_py(), f"{folder}/{part}/{n}"))
                 size += len(held[-1])
                 n += 1
                 if size >= archive_bytes:
-                    _write(folder, f"part-{part:06d}-{k:04d}.warc.zst", archive(held))
+                    close()
                     held, size, k = [], 0, k + 1
         if held:
-            _write(folder, f"part-{part:06d}-{k:04d}.warc.zst", archive(held))
-        yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
+            close()
+        yield pa.RecordBatch.from_pydict({"name": pa.array([x for x, _ in names], pa.string()), "n": pa.array([x for _, x in names], pa.int64())})
 
-    jvm = pages.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    jvm.getFileSystem(pages.sparkSession.sparkContext._jsc.hadoopConfiguration()).mkdirs(jvm)
-    return rows.mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # an attempt that fails, or is made twice, leaves archives that the manifest doesn't name
+    rows.mapInArrow(run, "name string, n long").write.parquet(f"{folder}/{MANIFEST}")
+    return pages.sparkSession.read.parquet(f"{folder}/{MANIFEST}").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 # --- reading ---------------------------------------------------------------
@@ -231,7 +242,8 @@ def read_archives(spark, folder: str, *, payloads: bool = True) -> DataFrame:
     payload_digest, refers_to`` and, with ``payloads``, ``payload`` (null for revisits).
 
     A broken archive raises ``WarcError``. Archives come whole into a task, so they should be
-    written in tens of megabytes, as ``write_archives`` does.
+    written in tens of megabytes, as ``write_archives`` does. In a folder with a ``_manifest`` only the
+    archives that it lists are read.
     """
     fields = [("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64())]
     fields += [("payload_digest", pa.string()), ("refers_to", pa.int64())] + ([("payload", pa.binary())] if payloads else [])
@@ -257,7 +269,14 @@ def read_archives(spark, folder: str, *, payloads: bool = True) -> DataFrame:
                 if rows:
                     yield _batch(rows, out)
 
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select("content").mapInArrow(run, ddl)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{MANIFEST}")
+    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        name = F.element_at(F.split("path", "/"), -1)
+        listed = spark.read.parquet(f"{folder}/{MANIFEST}").select("name")
+        stray = [r.name for r in files.select(name.alias("name")).join(listed, "name", "left_anti").collect()]  # of failed attempts only
+        files = files.where(~name.isin(stray)) if stray else files
+    return files.select("content").mapInArrow(run, ddl)
 
 
 def _batch(rows: list, schema: pa.Schema) -> pa.RecordBatch:

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tessella.llm import mixing, packing, quality, syncmers, tokens, warc
+from tessella.llm import mixing, packing, quality, rlz, syncmers, tokens, warc
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id long, text string, source string"
@@ -241,6 +241,25 @@ def test_archives_round_trip(spark, tmp_path):
     assert all(r.payload_bytes == len(p) for r, (_, p) in zip(got, full, strict=True))
 
 
+def test_archives_of_failed_attempts_do_not_count(spark, tmp_path):
+    folder = f"file://{tmp_path}/again"
+    df = spark.createDataFrame([(i, "u", f"page {i}") for i in range(20)], "page_id long, url string, html string").repartition(2)
+    assert warc.write_archives(df, folder) == 20
+    left = next((tmp_path / "again").glob("*.warc.zst"))
+    left.with_name("part-000000-0000000000-0007.warc.zst").write_bytes(left.read_bytes())
+    assert sorted(r.page_id for r in warc.read_archives(spark, folder).collect()) == list(range(20))
+
+
+def test_added_names_are_refused(spark):
+    df = spark.createDataFrame([(1, "a", "s", 2)], "doc_id long, text string, source string, clash int")
+    model = quality.fit_quality(df, spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+    for make, name in ((lambda d: quality.score_quality(d, model), "Quality_score"), (mixing.mix_sources, "mix_size"), (rlz.substring_dedup, "rlz_words")):
+        with pytest.raises(ValueError, match=name.lower()):
+            make(df.withColumnRenamed("clash", name))
+    with pytest.raises(ValueError, match="whole number"):
+        rlz.substring_dedup(df.withColumn("doc_id", F.lit("x")))
+
+
 def test_broken_archives_are_refused(tmp_path):
     ok = warc.archive([warc.record(i, "u", b"payload %d" % i, hashlib.sha256(b"payload %d" % i).hexdigest(), None, str(i)) for i in range(80)])
     assert len(list(map(warc.parse, warc.frames(ok)))) == 80
