@@ -7,7 +7,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -353,30 +353,36 @@ def _ordered(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _shared_signatures(docs: DataFrame, n: int, least: int, of: int) -> DataFrame:
-    """``sig, v`` of the sets that share enough signatures with others: those with too few go, then
-    the signatures left with one set."""
+def _members(docs: DataFrame, classes: DataFrame, n: int, least: int, of: int) -> DataFrame:
+    """``sig, node, in_sig`` of the sets that share enough signatures with others: those with too
+    few go, then the signatures left with one set; ``in_sig`` sets have a signature.
+
+    Signatures meet their set's node in the shuffle that counts them, and keep the size of their
+    group from there on, since later steps take or leave a signature with all its sets.
+    """
     spark = docs.sparkSession
     sigs = docs.select("text").mapInArrow(_signed(n, least, of), "sig long, v long")
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = staged(sigs.repartition(n_parts, "sig").sortWithinPartitions("sig", "v").mapInArrow(_shared, "sig long, v long"), "shared")
-    enough = found.groupBy("v").count().where(F.col("count") >= F.col("v").bitwiseAND(F.lit(63))).select("v")
-    alive = staged(found.join(enough, "v", "left_semi"), "alive")
-    two = alive.groupBy("sig").agg(F.min("v").alias("p"), F.max("v").alias("q")).where("p <> q").select("sig")
-    out = staged(alive.join(two, "sig", "left_semi").select("sig", F.col("v").bitwiseAND(F.lit(-64)).alias("v")), "shared")
+    own = Window.partitionBy("short")
+    counted = found.withColumn("short", F.col("v").bitwiseAND(F.lit(-64))).withColumn("shares", F.count("*").over(own))
+    enough = counted.where(F.col("shares") >= F.col("v").bitwiseAND(F.lit(63))).select("sig", "short")
+    alive = staged(enough.join(classes.select(F.col("v").alias("short"), "node"), "short").select("sig", "node"), "alive")
+    sizes = alive.groupBy("sig").agg(F.count("*").alias("in_sig")).where("in_sig > 1")
+    out = staged(alive.join(sizes, "sig"), "members")
     discard(found, alive)
     return out
 
 
 def _described_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """``node, n, sketch, z, size`` of the sets with a wanted ``v``, read again from a document each."""
-    named = staged(classes.join(wanted, "v", "left_semi").select("node", "v", "hi", "lo", "least_id"), "named")
+    """``node, n, sketch, z, size`` of the sets of the wanted nodes, read again from a document each."""
+    named = staged(classes.join(wanted, "node", "left_semi").select("node", "hi", "lo", "least_id"), "named")
     ids = named.select(F.col("least_id").alias("doc_id")).distinct()
     texts = docs.join(ids, "doc_id", "left_semi")
     if not named.where("least_id IS NULL").isEmpty():
         texts = texts.unionByName(docs.where("doc_id IS NULL"))
     seen = texts.select("text").mapInArrow(_described(n), "hi long, lo long, n long, sketch binary, z binary, size long")
-    out = staged(seen.join(named, ["hi", "lo"]).groupBy("node").agg(*[F.first(c).alias(c) for c in ("v", "n", "sketch", "z", "size")]), "sets")
+    out = staged(seen.join(named, ["hi", "lo"]).groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "sketch", "z", "size")]), "sets")
     discard(named)
     return out
 
@@ -428,16 +434,13 @@ def linked_sets(docs: DataFrame, classes: DataFrame, words: int, least: int, of:
     components only, within a signature and in blocks, and those pairs go on for which sizes and
     sketches allow a link. No link between components is lost.
     """
-    shared = _shared_signatures(docs, words, least, of)
-    sets = _described_sets(docs, classes, shared.select("v").distinct(), words)
-    members = staged(shared.join(sets.select("node", "v"), "v").select("sig", "node"), "members")
-    discard(shared)
+    members = _members(docs, classes, words, least, of)
+    sets = _described_sets(docs, classes, members.select("node").distinct(), words)
     labels = None
     for k in range(ROUNDS):
-        sizes = members.groupBy("sig").agg(F.count("*").alias("in_sig"))
-        weight = members.join(sizes, "sig").groupBy("node").agg(F.sum("in_sig").alias("w"))
         if k == 0:
-            hubs = members.join(weight, "node").groupBy("sig").agg(F.max(F.struct("w", "node")).alias("m")).select("sig", F.col("m.node").alias("hub"))
+            weighed = members.withColumn("w", F.sum("in_sig").over(Window.partitionBy("node")))
+            hubs = weighed.groupBy("sig").agg(F.max(F.struct("w", "node")).alias("m")).select("sig", F.col("m.node").alias("hub"))
             pairs = members.join(hubs, "sig").where("node <> hub").select(*_ordered("node", "hub"))
         else:
             own = labels.select("node", F.col("root").alias("label"))
@@ -459,7 +462,7 @@ def linked_sets(docs: DataFrame, classes: DataFrame, words: int, least: int, of:
     named = members.withColumn("label", F.col("node")) if own is None else members.join(own, "node", "left").withColumn("label", F.coalesce("label", "node"))
     n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = F.ceil(F.col("in_sig") / IN_BLOCK)
-    named = named.join(named.groupBy("sig").agg(F.count("*").alias("in_sig")), "sig").withColumn("x", F.pmod(F.xxhash64("node"), blocks)).withColumn("y", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    named = named.withColumn("x", F.pmod(F.xxhash64("node"), blocks)).withColumn("y", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = named.join(sets.select("node", "n", "sketch"), "node").select("sig", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "node", "label", "n", "sketch")
     left = rows.repartition(n_parts, "sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(_across(least, of), "a long, b long")
     left = staged(left.distinct(), "left")
