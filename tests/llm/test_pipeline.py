@@ -21,3 +21,29 @@ def test_one_document_of_each_group_stays(spark):
     assert sorted(map(repr, [(r.doc_id, r.text) for r in got])) == sorted(map(repr, want))
     assert all(r.lang == "en" and r.source == "s" and r.n_chars == len(r.text or "") for r in got)
     assert corpus_pipeline.drop_near_duplicates(spark, documents(spark, rows).limit(0), "").count() == 0
+
+
+def cut_by_hand(rows, window=13):
+    """What is left of each text, or nothing, where 13 words in a row also start in a text of smaller id."""
+    least = {}
+    words = {k: (t or "").split() for k, (_, t) in enumerate(rows)}
+    for k, (i, _) in enumerate(rows):
+        for p in range(len(words[k]) - window + 1):
+            key = tuple(words[k][p : p + window])
+            least[key] = min(i, least.get(key, i))
+    for k, (i, t) in enumerate(rows):
+        gone = {q for p in range(len(words[k]) - window + 1) if least[tuple(words[k][p : p + window])] < i for q in range(p, p + window)}
+        left = [w for q, w in enumerate(words[k]) if q not in gone]
+        if not gone:
+            yield i, t
+        elif left:
+            yield i, " ".join(left)
+
+
+def test_passages_of_earlier_documents_go(spark):
+    a, b, short = passage("a"), passage("b", 13), passage("c", 12)
+    rows = [(1, f"x  {a}\ty"), (2, f"u {a} v"), (3, a), (4, f"{b} {b}"), (5, f"p {b} {short} q"), (6, short), (7, None), (8, ""), (9, " \n"), (9, b), (9, f"{b} z")]
+    got = corpus_pipeline.cut_repeated_passages(spark, documents(spark, rows), "").collect()
+    assert sorted(map(repr, [(r.doc_id, r.text) for r in got])) == sorted(map(repr, cut_by_hand(rows)))
+    assert all(r.lang == "en" and r.source == "s" and r.n_chars == len(r.text or "") for r in got)
+    assert corpus_pipeline.cut_repeated_passages(spark, documents(spark, rows).limit(0), "").count() == 0
