@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -32,15 +30,14 @@ def all_paths(edges: DataFrame) -> DataFrame:
 
     All paths are found in one recursive query, level by level, instead of a search for each record.
     """
-    view = f"edges_{uuid.uuid4().hex}"
-    edges.select("parent", "node", "pos").createOrReplaceTempView(view)
     return edges.sparkSession.sql(
-        f"""WITH RECURSIVE walk AS (
-          SELECT node, parent, array(node) AS path, array(pos) AS `order`, 0 AS depth FROM {view} WHERE parent IS NULL
+        """WITH RECURSIVE walk AS (
+          SELECT node, parent, array(node) AS path, array(pos) AS `order`, 0 AS depth FROM {edges} WHERE parent IS NULL
           UNION ALL
           SELECT e.node, e.parent, array_append(w.path, e.node), array_append(w.`order`, e.pos), w.depth + 1
-          FROM walk w JOIN {view} e ON e.parent = w.node)
-        SELECT * FROM walk"""
+          FROM walk w JOIN {edges} e ON e.parent = w.node)
+        SELECT * FROM walk""",
+        edges=edges.select("parent", "node", "pos"),
     )
 
 
@@ -74,17 +71,18 @@ def leaves(edges: DataFrame) -> DataFrame:
 def newick(edges: DataFrame, root: str | None = None) -> DataFrame:
     """``root, newick``: the notation of each root's tree, or of one root's; children stand before the name.
 
-    Folded bottom-up, one aggregate a level; siblings keep their order.
+    One walk and one aggregate: a tree's nodes in post-order (a node after all below it), each
+    behind the bracket or comma that its depth and the depth before it ask for. The nodes of one
+    tree meet in one row, as its text does.
     """
-    walked = all_paths(edges).select("node", F.concat_ws("\x1f", "path").alias("id"), F.element_at("order", -1).alias("pos"), "depth", F.expr("concat_ws('\x1f', slice(path, 1, size(path) - 1))").alias("up"))
-    deepest = walked.agg(F.max("depth")).first()[0]
-    if deepest is None:
-        return edges.sparkSession.createDataFrame([], "root string, newick string")
-    below = walked.where(F.col("depth") == deepest).select("id", "up", "pos", F.col("node").alias("text"), F.col("node"))
-    for depth in range(deepest - 1, -1, -1):
-        joined = below.groupBy(F.col("up").alias("id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), ",").alias("inner"))
-        here = walked.where(F.col("depth") == depth).join(joined, "id", "left")
-        text = F.when(F.col("inner").isNull(), F.col("node")).otherwise(F.concat(F.lit("("), "inner", F.lit(")"), "node"))
-        below = here.select("id", "up", "pos", text.alias("text"), "node")
-    out = below.orderBy("pos").select(F.col("node").alias("root"), F.concat("text", F.lit(";")).alias("newick"))
+    last = F.lit(2147483647)  # beyond any sibling's place, so that a node follows its children
+    node = F.struct(F.array_append("order", last).alias("at"), "node", "depth")
+    trees = all_paths(edges).groupBy(F.get("order", F.lit(0)).alias("pos"), F.get("path", F.lit(0)).alias("root")).agg(F.array_sort(F.collect_list(node)).alias("n"))
+
+    def text(x, i):
+        before = F.when(i > 0, F.get(F.col("n.depth"), i - 1)).otherwise(F.lit(0))
+        opened = F.repeat(F.lit("("), F.greatest(x["depth"] - before, F.lit(0)))
+        return F.concat(F.when(i == 0, F.lit("")).when(x["depth"] < before, F.lit(")")).otherwise(F.lit(",")), opened, x["node"])
+
+    out = trees.orderBy("pos").select("root", F.concat(F.array_join(F.transform("n", text), ""), F.lit(";")).alias("newick"))
     return out if root is None else out.where(F.col("root") == root)

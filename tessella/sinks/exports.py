@@ -38,9 +38,9 @@ ENTRY = (("authors", "author"), ("year", "year"), ("title", "title"), ("journal"
 
 def distinct_references(genera: DataFrame, clades: DataFrame) -> DataFrame:
     """One row an id, the first by source (genera, then clades), file and place. Ids differ by case."""
-    parts = [d.select(F.lit(i).alias("src"), "_file_ord", F.posexplode("references").alias("pos", "r")).select("src", "_file_ord", "pos", "r.*") for i, d in enumerate((genera, clades))]
+    parts = [d.select(F.lit(i).alias("src"), "_file", F.posexplode("references").alias("pos", "r")).select("src", "_file", "pos", "r.*") for i, d in enumerate((genera, clades))]
     every = parts[0].unionByName(parts[1]).where(present(F.col("id")))
-    return first_wins(every.withColumns({"s": F.col("src"), "f": F.col("_file_ord"), "p": F.col("pos")}), ["id"], ["src", "_file_ord", "pos"])
+    return first_wins(every.withColumns({"s": F.col("src"), "f": F.col("_file"), "p": F.col("pos")}), ["id"], ["src", "_file", "pos"])
 
 
 def bibtex_entry():
@@ -52,7 +52,7 @@ def bibtex_entry():
 
 def bibliography(genera: DataFrame, clades: DataFrame) -> DataFrame:
     """``value``, an entry a row, in order of first occurrence."""
-    return distinct_references(genera, clades).orderBy("src", "_file_ord", "pos").select(bibtex_entry().alias("value"))
+    return distinct_references(genera, clades).orderBy("src", "_file", "pos").select(bibtex_entry().alias("value"))
 
 
 # --- words --------------------------------------------------------------------

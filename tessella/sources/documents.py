@@ -108,40 +108,38 @@ def _decoder(schema: T.StructType):
     return run
 
 
-def read_documents(spark: SparkSession, folder: str, schema: str, *, mode: str = "PERMISSIVE", recursive: bool = True) -> DataFrame:
-    """A row for each .yml or .yaml file below ``folder``: the schema's columns, ``_extra`` (other
-    fields as JSON), ``_file``, ``_stem``, ``_folder``, ``_file_ord`` and ``_error``.
+_ADDED = "_extra string, _file string, _stem string, _folder string, _error string"
+
+
+def decode_documents(texts: DataFrame, schema: str, root: str = "", *, mode: str = "PERMISSIVE") -> DataFrame:
+    """A row for each document of ``texts`` (``value``, ``_path``): the schema's columns, ``_extra``
+    (other fields as JSON), ``_file`` (the path below ``root``), ``_stem``, ``_folder`` and ``_error``.
 
-    In mode PERMISSIVE a file that can't be decoded has ``_error`` and nulls; FAILFAST raises.
-    A missing folder gives no rows. Files are numbered in the order of their paths.
+    In mode PERMISSIVE a text that can't be decoded has ``_error`` and nulls; FAILFAST raises.
+    Each text is decoded once, where it is read. The order of documents is that of ``_file``.
     """
     t = T._parse_datatype_string(schema)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        return spark.createDataFrame([], T.StructType([*t.fields, *T._parse_datatype_string("_extra string, _file string, _stem string, _folder string, _file_ord int, _error string").fields]))
-    root = folder.removeprefix("file://")
-    files = (
-        spark.read.text(folder, wholetext=True, recursiveFileLookup=recursive, pathGlobFilter="*.{yml,yaml}").select("value", F.col("_metadata.file_path").alias("_path"))
-    )
-    decoded = files.mapInPandas(_decoder(t), "_path string, _json string, _extra string, _error string")
+    decoded = texts.select("value", "_path").mapInPandas(_decoder(t), "_path string, _json string, _extra string, _error string")
     if mode == "FAILFAST":
         decoded = decoded.withColumn("_json", F.when(F.col("_error").isNotNull(), F.raise_error(F.concat(F.lit("cannot load "), "_path", F.lit(": "), "_error"))).otherwise(F.col("_json")))
     out = decoded.withColumn("_doc", F.from_json("_json", t)).withColumn("_file", relative_path(F.col("_path"), root))
-    ordered = out.select("_file").distinct().withColumn("_n", F.row_number().over(_by_file()) - 1)
-    return out.join(ordered, "_file").select("_doc.*", "_extra", "_file", file_stem(F.col("_file")).alias("_stem"), parent_folder(F.col("_path")).alias("_folder"), F.col("_n").cast("int").alias("_file_ord"), "_error")
+    return out.select("_doc.*", "_extra", "_file", file_stem(F.col("_file")).alias("_stem"), parent_folder(F.col("_path")).alias("_folder"), "_error")
 
 
-def _by_file():
-    from pyspark.sql.window import Window
-
-    return Window.partitionBy(F.lit(0)).orderBy("_file")  # file names alone, one row a file
+def read_documents(spark: SparkSession, folder: str, schema: str, *, mode: str = "PERMISSIVE", recursive: bool = True) -> DataFrame:
+    """``decode_documents`` of each .yml or .yaml file below ``folder``; a missing folder gives no rows."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], T.StructType([*T._parse_datatype_string(schema).fields, *T._parse_datatype_string(_ADDED).fields]))
+    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=recursive, pathGlobFilter="*.{yml,yaml}")
+    return decode_documents(files.select("value", F.col("_metadata.file_path").alias("_path")), schema, folder.removeprefix("file://"), mode=mode)
 
 
 def keyed_last(df: DataFrame, key: str) -> DataFrame:
     """One document a key, of the last file: a later one replaces an earlier."""
     from ..operators.linkage import last_wins
 
-    return last_wins(df.where(F.col("_error").isNull() & F.col(key).isNotNull()), [key], "_file_ord")
+    return last_wins(df.where(F.col("_error").isNull() & F.col(key).isNotNull()), [key], "_file")
 
 
 # --- schema lists -------------------------------------------------------------
