@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 from ..functions import semantics as S
 from ..functions import text as T
 from ..operators import forms, hierarchy, linkage, rules
+from ..sinks import exports
+from ..sources import candidates, documents
+from . import taxonomy
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -164,6 +168,21 @@ def check_totals(spark, d):
     return rules.totals(rules.gather(vocab_check(spark, d).where("check = 'segment'"), rules.row_findings(table(spark, d, "customer"), [balance], F.col("c_custkey"))))
 
 
+@query(taxonomy.FINDINGS_SQL)
+def taxonomy_checks(spark, d):
+    return taxonomy.findings(spark, d, place_edges(spark, d))
+
+
+@query(taxonomy.REFERENCES_SQL)
+def taxonomy_references(spark, d):
+    return taxonomy.references(spark, d, place_edges(spark, d))
+
+
+@query(taxonomy.PREFILLED_SQL)
+def taxonomy_prefilled(spark, d):
+    return taxonomy.prefilled(spark, d, place_edges(spark, d))
+
+
 # --- distinct, first, lookup -----------------------------------------------------
 
 
@@ -180,17 +199,15 @@ def last_wins_key(spark, d):
     return linkage.last_wins(table(spark, d, "customer").select("c_nationkey", "c_name", "c_custkey"), ["c_nationkey"], "c_custkey").select("c_nationkey", "c_name")
 
 
-@query("SELECT r_name, string_agg(n_name, ',' ORDER BY n_name) AS nations FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY r_name")
+@query("SELECT n_name AS stage FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA' ORDER BY n_name")
 def stage_for_period(spark, d):
     n = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return n.groupBy("r_name").agg(F.array_join(F.array_sort(F.collect_list("n_name")), ",").alias("nations"))
+    return documents.stages_of(n.select(F.col("n_name").alias("stage"), F.col("r_name").alias("period")), "ASIA")
 
 
 @query("SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), 'ring') ORDER BY p_partkey LIMIT 50")
 def search_top50(spark, d):
-    from ..sources.documents import search_names
-
-    return search_names(table(spark, d, "part").select("p_partkey", "p_name"), "p_name", "Ring", "p_partkey")
+    return documents.search_names(table(spark, d, "part").select("p_partkey", "p_name"), "p_name", "Ring", "p_partkey")
 
 
 @query("""SELECT doc_id, CASE WHEN contains(lower(text), 'thing') THEN 'thing' WHEN contains(lower(text), 'tion') THEN 'tion' WHEN contains(lower(text), 'der ') THEN 'der' END AS term FROM documents""")
@@ -258,23 +275,35 @@ def update_diff(spark, d):
     return linkage.changed(old, new, ["c_custkey"], ["c_name", "c_mktsegment"])
 
 
-@query("""SELECT o_orderkey, '@order{' || o_orderkey || e',\n' || concat_ws(e',\n', CASE WHEN o_orderstatus <> 'F' THEN '  status = {' || o_orderstatus || '}' END, '  priority = {' || o_orderpriority || '}') || e'\n}' AS entry FROM orders""")
+@query(r"""SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN '@incollection{' ELSE '@article{' END || o_orderkey || e',\n  author = {Clerk},\n  year = {' || year(o_orderdate) || e'},\n'
+|| CASE WHEN o_orderstatus = 'F' THEN '  booktitle = {' ELSE '  journal = {' END || o_orderpriority || e'}\n}\n' AS entry FROM orders""")
 def format_entry(spark, d):
-    o = table(spark, d, "orders")
-    status = F.when(F.col("o_orderstatus") != "F", F.concat(F.lit("  status = {"), "o_orderstatus", F.lit("}")))
-    fields = F.concat_ws(",\n", status, F.concat(F.lit("  priority = {"), "o_orderpriority", F.lit("}")))
-    return o.select("o_orderkey", F.concat(F.lit("@order{"), F.col("o_orderkey").cast("string"), F.lit(",\n"), fields, F.lit("\n}")).alias("entry"))
+    given = {"id": F.col("o_orderkey"), "authors": F.lit("Clerk"), "year": F.year("o_orderdate"), "title": F.lit("")}
+    given |= {"journal": F.when(F.col("o_orderstatus") != "F", F.col("o_orderpriority")), "book": F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority"))}
+    none = {c: F.lit(None).cast("string") for c, _ in exports.ENTRY if c not in given}
+    return table(spark, d, "orders").select("o_orderkey", *[(v if n == "year" else v.cast("string")).alias(n) for n, v in (given | none).items()]).select("o_orderkey", exports.bibtex_entry().alias("entry"))
 
 
-@query("SELECT event_id, json_extract_string(props, '$.k') AS k, json_extract_string(props, '$.none') AS none FROM events")
-def json_extract(spark, d):
-    return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"), F.get_json_object("props", "$.none").alias("none"))
+@query("""SELECT p_partkey::VARCHAR AS subject, 'Q' || p_partkey AS qid, p_brand || ' ' || p_partkey % 7 AS type_species, CASE WHEN p_partkey % 5 > 0 THEN p_type END AS diet, NULL::VARCHAR AS parent_taxon,
+CASE WHEN p_partkey % 3 > 0 THEN (p_size * 1000)::VARCHAR END AS mass FROM part""")
+def entity_fields(spark, d):
+    part = table(spark, d, "part")
+    brand = F.concat("p_brand", F.lit(" "), (F.col("p_partkey") % 7).cast("string"))
+    claims = F.format_string(
+        '{"P427":[{"mainsnak":{"snaktype":"value","datavalue":{"value":{"id":"b%s"}}}}],"P186":[{"mainsnak":{"snaktype":"%s","datavalue":{"value":{"id":"t%s"}}}}],'
+        '"P171":[{"mainsnak":{"snaktype":"value","datavalue":{"value":{"id":"none"}}}}],"P2067":[{"mainsnak":{"snaktype":"%s","datavalue":{"value":{"amount":"+%s","unit":"e/Q11570"}}}}]}',
+        brand, F.when(F.col("p_partkey") % 5 > 0, "value").otherwise("novalue"), "p_type", F.when(F.col("p_partkey") % 3 > 0, "value").otherwise("somevalue"), F.col("p_size").cast("string"),
+    )
+    labels = part.select(F.concat(F.lit("b"), brand).alias("qid"), brand.alias("label")).union(part.select(F.concat(F.lit("t"), "p_type"), "p_type")).distinct()
+    key = F.col("p_partkey").cast("string")
+    return candidates.entity_fields(part.select(key.alias("subject"), F.concat(F.lit("Q"), key).alias("qid"), claims.alias("claims")), labels)
 
 
-@query("""SELECT (SELECT count(DISTINCT c_custkey) FROM customer) AS customers, (SELECT count(DISTINCT s_suppkey) FROM supplier) AS suppliers, (SELECT count(DISTINCT p_partkey) FROM part) AS parts, '1.0.0' AS version""")
+@query("""SELECT (SELECT count(DISTINCT c_custkey) FROM customer) AS genus_count, (SELECT count(DISTINCT p_type) FROM part) AS clade_count, 'us' AS attribution,
+'2025-03-01T00:00:00.000Z' AS built_at, 'CC-BY-4.0' AS license, '1.0.0' AS schema_version, '2025.03' AS version""")
 def metadata_counts(spark, d):
-    n = [table(spark, d, t).agg(F.count_distinct(k).alias(a)) for t, k, a in (("customer", "c_custkey", "customers"), ("supplier", "s_suppkey", "suppliers"), ("part", "p_partkey", "parts"))]
-    return n[0].crossJoin(n[1]).crossJoin(n[2]).withColumn("version", F.lit("1.0.0"))  # one row each
+    genera, clades = table(spark, d, "customer").select(F.col("c_custkey").alias("genus")), table(spark, d, "part").select(F.col("p_type").alias("clade"))
+    return exports.metadata(genera, clades, dt.datetime(2025, 3, 1, tzinfo=dt.UTC), "us")
 
 
 # --- texts, numbers and fields ---------------------------------------------------
