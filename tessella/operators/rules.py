@@ -115,23 +115,31 @@ def totals(findings: DataFrame) -> DataFrame:
     return findings.agg(F.count_if(F.col("severity") == ERROR).alias("errors"), F.count_if(F.col("severity") == WARNING).alias("warnings"))
 
 
-def report(findings: DataFrame, checks: Sequence[str]) -> tuple[str, int]:
-    """The printed report and the exit code: 1 if there is an error. For reading, so it is gathered.
+def report_lines(findings: DataFrame, checks: Sequence[str]) -> DataFrame:
+    """``pos, line``: the report's lines in order; those of one ``pos`` in the order of their text.
 
-    A check with errors shows them alone, without its warnings.
+    A check with errors shows them alone, without its warnings; one without findings has passed.
+    ``pos`` counts checks by two, a heading before its findings, and the sums come last.
     """
-    rows = [r.asDict() for r in summary(findings, checks).collect()]
-    found: dict[tuple, list[str]] = {}
-    for r in findings.orderBy("check", "file", "message").toLocalIterator():
-        found.setdefault((r.check, r.severity), []).append(f"  {r.file}: {r.message}")
-    lines = []
-    for r in rows:
-        kind, n = (ERROR, r["errors"]) if r["errors"] else (WARNING, r["warnings"])
-        if not n:
-            lines.append(f"✓ {r['check']} check passed")
-            continue
-        lines.append(f"{'✗' if kind == ERROR else '⚠'} {r['check']}: {n} {kind}{'s' if n != 1 else ''}")
-        lines += found[r["check"], kind]
-    e, w = sum(r["errors"] for r in rows), sum(r["warnings"] for r in rows)
-    lines.append(f"\nSummary: {e} error{'s' if e != 1 else ''}, {w} warning{'s' if w != 1 else ''}")
-    return "\n".join(lines), int(e > 0)
+    counts = summary(findings, checks)
+    kind = F.when(F.col("errors") > 0, ERROR).when(F.col("warnings") > 0, WARNING)
+    n = F.when(F.col("errors") > 0, F.col("errors")).otherwise(F.col("warnings"))
+
+    def counted(n: Column, what: Column | str) -> Column:
+        return F.concat(n.cast("string"), F.lit(" "), F.lit(what) if isinstance(what, str) else what, F.when(n != 1, "s").otherwise(""))
+
+    passed = F.concat(F.lit("✓ "), "check", F.lit(" check passed"))
+    heading = F.concat(F.when(F.col("errors") > 0, "✗ ").otherwise("⚠ "), "check", F.lit(": "), counted(n, kind))
+    heads = counts.select((F.col("pos") * 2).alias("pos"), F.when(n == 0, passed).otherwise(heading).alias("line"))
+    shown = findings.join(F.broadcast(counts.select("check", "pos", kind.alias("severity"))), ["check", "severity"])  # a row a check
+    body = shown.select((F.col("pos") * 2 + 1).alias("pos"), F.concat(F.lit("  "), "file", F.lit(": "), "message").alias("line"))
+    errors, warnings = (F.coalesce(F.sum(c), F.lit(0)) for c in ("errors", "warnings"))
+    last = counts.agg(F.lit(2 * len(checks)).alias("pos"), F.concat(F.lit("\nSummary: "), counted(errors, "error"), F.lit(", "), counted(warnings, "warning")).alias("line"))
+    return heads.unionByName(body).unionByName(last)
+
+
+def report(findings: DataFrame, checks: Sequence[str], write=print) -> int:
+    """Writes the report line by line, a partition at a time, and returns the exit code: 1 if there is an error."""
+    for r in report_lines(findings, checks).orderBy("pos", "line").toLocalIterator():
+        write(r.line)
+    return int(not findings.where(F.col("severity") == ERROR).isEmpty())

@@ -8,7 +8,7 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.semantics import number_text, present
+from ..functions.semantics import present
 from ..functions.text import surnames
 from ..operators import hierarchy
 from ..operators.linkage import first_wins
@@ -207,22 +207,40 @@ def _plain(x):
     return int(x) if isinstance(x, float) and x.is_integer() else x
 
 
-def _records(df: DataFrame, key: str) -> dict:
-    """Documents by key, streamed to the driver one partition at a time: for a file a person reads."""
-    out = {}
-    for r in df.select(key, F.to_json(F.struct(*[c for c in df.columns if not c.startswith("_")])).alias("j")).orderBy(key).toLocalIterator():
-        out[r[key]] = _plain(json.loads(r["j"]))
-    return out
+def _placed(genera: DataFrame, clades: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    from ..sources.documents import keyed_last
 
+    return hierarchy.with_path(keyed_last(genera, "genus"), "parent", edges), hierarchy.with_path(keyed_last(clades, "clade"), "clade", edges)
+
+
+def _lines(df: DataFrame, key: str) -> DataFrame:
+    return df.select(F.col(key).alias("key"), F.to_json(F.struct(*[c for c in df.columns if not c.startswith("_")])).alias("value"))
+
+
+def dataset_lines(genera: DataFrame, clades: DataFrame, edges: DataFrame) -> DataFrame:
+    """``kind, key, value``: each record with its path as a line of JSON, in order of kind and key.
+
+    The form for data of any size: the executors write it (``write_text``), nothing passes the driver.
+    """
+    g, c = _placed(genera, clades, edges)
+    both = _lines(c, "clade").withColumn("kind", F.lit("clade")).unionByName(_lines(g, "genus").withColumn("kind", F.lit("genus")))
+    return both.select("kind", "key", "value").orderBy("kind", "key")
+
+
+def _records(df: DataFrame, key: str, most: int) -> dict:
+    rows = _lines(df, key).orderBy("key").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} records for one document: use dataset_lines")
+    return {r.key: _plain(json.loads(r.value)) for r in rows}
 
-def dataset(genera: DataFrame, clades: DataFrame, tree: dict, built: dt.datetime, attribution: str) -> dict:
-    """Metadata, tree, and records with their paths (``taxonomy``) by name."""
-    from ..sources.documents import keyed_last
 
-    edges = hierarchy.edge_frame(genera.sparkSession, tree)
-    g = hierarchy.with_path(keyed_last(genera, "genus"), "parent", edges)
-    c = hierarchy.with_path(keyed_last(clades, "clade"), "clade", edges)
-    return {"_metadata": metadata(g, c, built, attribution).first().asDict(), "tree": tree, "clades": _records(c, "clade"), "genera": _records(g, "genus")}
+def dataset(genera: DataFrame, clades: DataFrame, tree: dict, built: dt.datetime, attribution: str, most: int = 100_000) -> dict:
+    """Metadata, tree, and records with their paths (``taxonomy``) by name: one document for people.
+
+    It is made in the driver, so more than ``most`` records of a kind are refused, not cut;
+    ``dataset_lines`` has no such bound."""
+    g, c = _placed(genera, clades, hierarchy.edge_frame(genera.sparkSession, tree))
+    return {"_metadata": metadata(g, c, built, attribution).first().asDict(), "tree": tree, "clades": _records(c, "clade", most), "genera": _records(g, "genus", most)}
 
 
 def to_json(data: dict) -> str:
@@ -242,9 +260,3 @@ def to_yaml(data: dict) -> str:
 def write_text(df: DataFrame, path: str) -> None:
     """A text file a partition; bulk output stays distributed."""
     df.select("value").write.mode("overwrite").text(path)
-
-
-def json_lines(df: DataFrame):
-    """Records as JSON with whole numbers bare."""
-    cols = [number_text(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name) for f in df.schema.fields]
-    return df.select(F.to_json(F.struct(*cols)).alias("value"))

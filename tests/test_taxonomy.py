@@ -1,6 +1,7 @@
 """Documents, the 23 checks, exports and form rules on a small data set made here."""
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -131,7 +132,11 @@ def test_files_and_tree(spark, tmp_path):
     t = build(spark, tmp_path, more={"genera/B/Bad.yml": "genus: 'open\n", "clades/Zzz.yml": CLADE.format("Zzz")}, clades=("Aaa", "Bbb", "Ccc"))
     got = found(t)
     assert [c for c, _, _ in got] == [1, 4, 5] and got[1][1] == "warning" and "'Ddd'" in got[1][2]
-    text, code = rules.report(checks.check_taxonomy(t), checks.CHECKS)
+    lines = []
+    code = rules.report(checks.check_taxonomy(t), checks.CHECKS, lines.append)
+    text = "\n".join(lines)
+    assert lines[:2] == ["✗ YAML syntax: 1 error", lines[1]] and lines[1].startswith("  B/Bad.yml: YAML parse error") and lines[2] == "✓ Schema compliance check passed"
+    assert "⚠ Clade coverage: 1 warning" in lines and lines[-1] == "\nSummary: 2 errors, 1 warning"
     assert code == 1 and "Summary: 2 errors, 1 warning" in text and "✓ Tree consistency check passed" in text
     with pytest.raises(Exception, match="cannot load"):
         documents.read_documents(spark, f"{tmp_path}/genera", documents.GENUS, mode="FAILFAST").collect()
@@ -154,6 +159,11 @@ def test_exports(spark, tmp_path):
     data = exports.dataset(t.genera, t.clades, documents.load_yaml(TREE), dt.datetime(2025, 3, 1, tzinfo=dt.UTC), "us")
     assert data["_metadata"]["genus_count"] == 1 and data["_metadata"]["version"] == "2025.03" and data["_metadata"]["built_at"] == "2025-03-01T00:00:00.000Z"
     assert data["genera"]["Xus"]["taxonomy"] == ["Life", "Aaa", "Bbb"] and data["genera"]["Xus"]["species"][0]["name"] == "Xus primus"
+    with pytest.raises(ValueError, match="dataset_lines"):
+        exports.dataset(t.genera, t.clades, documents.load_yaml(TREE), dt.datetime(2025, 3, 1, tzinfo=dt.UTC), "us", most=1)
+    lines = exports.dataset_lines(t.genera, t.clades, t.edges).collect()
+    assert [(r.kind, r.key) for r in lines] == [("clade", c) for c in ("Aaa", "Bbb", "Ccc", "Ddd")] + [("genus", "Xus")]
+    assert exports._plain(json.loads(lines[-1].value)) == data["genera"]["Xus"]
     assert documents.load_yaml(exports.to_yaml(data))["clades"].keys() == data["clades"].keys()
 
 
