@@ -202,12 +202,13 @@ def _signed(n: int, least: int, of: int):
     out = pa.schema([("sig", pa.int64()), ("v", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
             for _, x, edge, y in _sets(batch, 0, n):
-                ids = short_ids(*set_ids(x, edge, y))
+                hi, lo = set_ids(x, edge, y)
+                ids = short_ids(hi, lo)
                 fresh = np.zeros(len(ids), bool)
-                for i, v in enumerate(ids.tolist()):  # most copies within a task are left out
+                for i, v in enumerate(zip(hi.tolist(), lo.tolist(), strict=True)):  # most copies within a task are left out
                     if v not in seen:
                         if len(seen) >= REMEMBERED:
                             seen.clear()
@@ -246,7 +247,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch(out, sig[keep], v[keep])
 
 
-def _described(n: int):
+def _described(n: int, made):
     """Ids, size, sketch and compressed text of each set."""
     out = pa.schema([("hi", pa.int64()), ("lo", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary()), ("z", pa.binary()), ("size", pa.int64())])
 
@@ -256,7 +257,7 @@ def _described(n: int):
             for i, x, edge, y in _sets(batch, 0, n):
                 hi, lo = set_ids(x, edge, y)
                 raw = [b[offsets[r] : offsets[r + 1]].tobytes() for r in range(i, i + len(hi))]
-                yield _batch(out, signed(hi), signed(lo), np.diff(edge), [sketch(x[p:q]) for p, q in zip(edge[:-1], edge[1:], strict=True)], [pa.compress(t, "zstd", asbytes=True) for t in raw], [len(t) for t in raw])
+                yield _batch(out, signed(hi), signed(lo), np.diff(edge), [made(x[p:q]) for p, q in zip(edge[:-1], edge[1:], strict=True)], [pa.compress(t, "zstd", asbytes=True) for t in raw], [len(t) for t in raw])
 
     return run
 
@@ -374,29 +375,30 @@ def _members(docs: DataFrame, classes: DataFrame, n: int, least: int, of: int) -
     return out
 
 
-def _described_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """``node, n, sketch, z, size`` of the sets of the wanted nodes, read again from a document each."""
+def described_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, n: int, made=sketch) -> DataFrame:
+    """``node, n, sketch, z, size`` of the sets of the wanted nodes, read again from a document each;
+    ``made`` gives a set's sketch."""
     named = staged(classes.join(wanted, "node", "left_semi").select("node", "hi", "lo", "least_id"), "named")
     ids = named.select(F.col("least_id").alias("doc_id")).distinct()
     texts = docs.join(ids, "doc_id", "left_semi")
     if not named.where("least_id IS NULL").isEmpty():
         texts = texts.unionByName(docs.where("doc_id IS NULL"))
-    seen = texts.select("text").mapInArrow(_described(n), "hi long, lo long, n long, sketch binary, z binary, size long")
+    seen = texts.select("text").mapInArrow(_described(n, made), "hi long, lo long, n long, sketch binary, z binary, size long")
     out = staged(seen.join(named, ["hi", "lo"]).groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "sketch", "z", "size")]), "sets")
     discard(named)
     return out
 
 
-def similar(pairs: DataFrame, sets: DataFrame, words: int, least: int, of: int) -> DataFrame:
+def similar(pairs: DataFrame, sets: DataFrame, words: int, least: int, of: int, near) -> DataFrame:
     """Of the pairs ``a, b`` those with ``of * intersection >= least * union``.
 
-    Sizes and sketches rule out most of those that are not linked; of the others all elements are
-    compared, each ``a`` standing before up to ``HELD_BY_TASK`` of its ``b`` in a task.
+    Sizes and sketches (``near``) rule out most of those that are not linked; of the others all
+    elements are compared, each ``a`` standing before up to ``HELD_BY_TASK`` of its ``b`` in a task.
     """
     n_parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     x = sets.select(F.col("node").alias("a"), F.col("n"), F.col("sketch").alias("x"))
     y = sets.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y"))
-    near = staged(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "n", "m").mapInArrow(_near(least, of), "a long, b long"), "near")
+    near = staged(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "n", "m").mapInArrow(near, "a long, b long"), "near")
     groups = near.groupBy("a").agg(F.ceil(F.count("*") / HELD_BY_TASK).alias("groups"))
     salted = near.join(groups, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("groups")))
     members = salted.join(sets.select(F.col("node").alias("b"), "z", "size"), "b").select("a", "salt", "b", "z", "size")
@@ -425,7 +427,15 @@ def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 def linked_sets(docs: DataFrame, classes: DataFrame, words: int, least: int, of: int) -> DataFrame | None:
-    """``node, root`` of the classes that are linked to others; None if there are none.
+    """``node, root`` of the classes that are linked to others; None if there are none."""
+    members = _members(docs, classes, words, least, of)
+    sets = described_sets(docs, classes, members.select("node").distinct(), words)
+    return joined(members, sets, words, least, of, _near(least, of), _across(least, of))
+
+
+def joined(members: DataFrame, sets: DataFrame, words: int, least: int, of: int, near, across) -> DataFrame | None:
+    """``node, root`` of the linked among the ``members`` (``sig, node, in_sig``); None if there are none.
+    ``near`` and ``across`` rule out pairs by sketches. Both tables are deleted at the end.
 
     Sets that share signatures are compared with a hub of each signature, the one that stands in
     most of them, which a group of near copies has in common, so that such a group costs a comparison
@@ -434,8 +444,6 @@ def linked_sets(docs: DataFrame, classes: DataFrame, words: int, least: int, of:
     components only, within a signature and in blocks, and those pairs go on for which sizes and
     sketches allow a link. No link between components is lost.
     """
-    members = _members(docs, classes, words, least, of)
-    sets = _described_sets(docs, classes, members.select("node").distinct(), words)
     labels = None
     for k in range(ROUNDS):
         if k == 0:
@@ -450,7 +458,7 @@ def linked_sets(docs: DataFrame, classes: DataFrame, words: int, least: int, of:
             first = drawn.groupBy("sig").agg(F.max(F.struct("n", "node", "label")).alias("m")).select("sig", F.col("m.node").alias("hub"), F.col("m.label").alias("hub_label"))
             pairs = drawn.join(first, "sig").where("label <> hub_label").select(*_ordered("node", "hub"))
         pairs = staged(pairs.distinct(), "pairs")
-        links = similar(pairs, sets, words, least, of)
+        links = similar(pairs, sets, words, least, of, near)
         discard(pairs)
         if links.isEmpty():
             break
@@ -460,13 +468,13 @@ def linked_sets(docs: DataFrame, classes: DataFrame, words: int, least: int, of:
         discard(old)
     own = None if labels is None else labels.select("node", F.col("root").alias("label"))
     named = members.withColumn("label", F.col("node")) if own is None else members.join(own, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = F.ceil(F.col("in_sig") / IN_BLOCK)
     named = named.withColumn("x", F.pmod(F.xxhash64("node"), blocks)).withColumn("y", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = named.join(sets.select("node", "n", "sketch"), "node").select("sig", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "node", "label", "n", "sketch")
-    left = rows.repartition(n_parts, "sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(_across(least, of), "a long, b long")
+    left = rows.repartition(n_parts, "sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(across, "a long, b long")
     left = staged(left.distinct(), "left")
-    links = similar(left, sets, words, least, of)
+    links = similar(left, sets, words, least, of, near)
     if not links.isEmpty():
         labels = _merged(labels, links)
     discard(members, left, links, sets)
@@ -506,12 +514,19 @@ def linked_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     grouped = sized.where("n_shingles > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("copies"))
     grouped = grouped.withColumn("node", F.monotonically_increasing_id())
     classes = staged(grouped.mapInArrow(_with_short_id, "hi long, lo long, least_id long, copies long, node long, v long"), "classes")
-    labels = linked_sets(docs, classes, words, least, of)
+    return sized, rooted_classes(classes, linked_sets(docs, classes, words, least, of))
+
+
+def rooted_classes(classes: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``hi, lo, copies, root, component_id`` of each class, from its label, if it has any."""
     if labels is None:
-        return sized, classes.select("hi", "lo", "copies", F.col("node").alias("root"), F.col("least_id").alias("component_id"))
+        return classes.select("hi", "lo", "copies", F.col("node").alias("root"), F.col("least_id").alias("component_id"))
     rooted = staged(classes.join(labels, "node", "left").select("hi", "lo", "copies", "least_id", F.coalesce("root", "node").alias("root")), "rooted")
+    discard(classes, labels)
     least_of = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    return sized, staged(rooted.join(least_of, "root").select("hi", "lo", "copies", "root", "component_id"), "components")
+    out = staged(rooted.join(least_of, "root").select("hi", "lo", "copies", "root", "component_id"), "components")
+    discard(rooted)
+    return out
 
 
 def _with_short_id(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
