@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import hyperminhash, jaccard, mixing, packing, quality, repair, rlz, suffixes, syncmers, tokens, topk, warc
+from . import hyperminhash, jaccard, mixing, packing, phrases, quality, repair, rlz, suffixes, syncmers, tokens, topk, warc
 
 
 def queries() -> dict:
@@ -18,9 +18,10 @@ def queries() -> dict:
         "op9_fingerprints": syncmers.op9_fingerprints,
         "op10_substrings": rlz.op10_substrings,
         "op11_repair": repair.op11_repair,
+        "op12_phrases": phrases.op12_phrases,
         "op13_hyperminhash": hyperminhash.op13_hyperminhash,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op1_warc": warc.OP1_SQL, "op5_jaccard": jaccard.OP5_SQL, "op7_mixing": mixing.OP7_SQL, "op8_topk": topk.OP8_SQL, "op10_substrings": rlz.OP10_SQL, "op11_repair": repair.OP11_SQL, "op13_hyperminhash": hyperminhash.OP13_SQL}
+    return {"op1_warc": warc.OP1_SQL, "op5_jaccard": jaccard.OP5_SQL, "op7_mixing": mixing.OP7_SQL, "op8_topk": topk.OP8_SQL, "op10_substrings": rlz.OP10_SQL, "op11_repair": repair.OP11_SQL, "op12_phrases": phrases.OP12_SQL, "op13_hyperminhash": hyperminhash.OP13_SQL}

@@ -30,7 +30,7 @@ REROLE, DELETE, INSERT, TRUNCATED = 3, 4, 3, 3
 #: The cheapest (cost, audit) of each N[p, q], or None.
 Cell = tuple[tuple[tuple[int, str] | None, ...], ...]
 
-_ROWS = 256  # of turns that make a block, and of rows at which a block ends
+BLOCK_ROWS = 256  # of turns that make a block, and of rows at which a block ends
 _BYTES = 1 << 22  # of text at which a block ends
 
 
@@ -137,33 +137,37 @@ def _block(conv: str, part: int, rows: list[tuple]) -> dict:
     }
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(most: int):
     """Of rows ``conv, turn, role, text, fault, first, copies`` in order the blocks; a block ends with
     its range of turns, or after so many rows or bytes. Copies beyond a first row are duplicates."""
-    held: list[tuple] = []
-    key, part, size = None, 0, 0
 
-    def one() -> pa.RecordBatch:
-        return pa.RecordBatch.from_pylist([_block(key[0], part, held)], schema=_BLOCK)
-
-    for batch in batches:
-        for r in batch.to_pylist():
-            now = (r["conv"], None if r["turn"] is None else r["turn"] // _ROWS)
-            for copy in range(max(1, r["copies"])):
-                if held and (now != key or len(held) >= _ROWS or size >= _BYTES):
-                    yield one()
-                    part, held, size = part + 1 if now == key else 0, [], 0
-                elif now != key:
-                    part = 0
-                key = now
-                if not r["copies"]:  # a dropped row: its conversation is known by an empty block
-                    yield pa.RecordBatch.from_pylist([{"conv": r["conv"], "has": False, "part": -1, "rows": 0}], schema=_BLOCK)
-                    continue
-                fault = r["fault"] if r["fault"] == "b" or (r["first"] and not copy) else "d"
-                held.append((r["turn"], r["role"], r["text"], fault))
-                size += len(r["text"]) + len(r["role"])
-    if held:
-        yield one()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        key, part, size = None, 0, 0
+
+        def one() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([_block(key[0], part, held)], schema=_BLOCK)
+
+        for batch in batches:
+            for r in batch.to_pylist():
+                now = (r["conv"], None if r["turn"] is None else r["turn"] // most)
+                for copy in range(max(1, r["copies"])):
+                    if held and (now != key or len(held) >= most or size >= _BYTES):
+                        yield one()
+                        part, held, size = part + 1 if now == key else 0, [], 0
+                    elif now != key:
+                        part = 0
+                    key = now
+                    if not r["copies"]:  # a dropped row: its conversation is known by an empty block
+                        yield pa.RecordBatch.from_pylist([{"conv": r["conv"], "has": False, "part": -1, "rows": 0}], schema=_BLOCK)
+                        continue
+                    fault = r["fault"] if r["fault"] == "b" or (r["first"] and not copy) else "d"
+                    held.append((r["turn"], r["role"], r["text"], fault))
+                    size += len(r["text"]) + len(r["role"])
+        if held:
+            yield one()
+
+    return run
 
 
 _OUT = pa.schema([("conv", pa.string())] + [(c, pa.int64()) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")] + [("audit", pa.string()), ("repaired_sha256", pa.string())])
@@ -264,7 +268,7 @@ def damaged(rows: DataFrame) -> DataFrame:
     )
 
 
-def repair_conversations(rows: DataFrame) -> DataFrame:
+def repair_conversations(rows: DataFrame, *, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256``: one row
     for each conversation of ``conv_id, turn, role, text`` and optional ``copies`` (how often a row
     occurs, 0 for not at all).
@@ -275,7 +279,7 @@ def repair_conversations(rows: DataFrame) -> DataFrame:
     has zeros, an empty audit and the digest of the empty string. Other columns are not read; no rows
     give no rows.
 
-    Rows of one conversation are parsed in blocks of turns by different tasks, so a long one is split;
+    Rows of one conversation are parsed in blocks of ``block_rows`` turns by different tasks, so a long one is split;
     its blocks then meet in order, one at a time in memory, as a digest of the whole takes them. What
     grows with a conversation is its audit alone, of which four are kept, as one is in the result.
     """
@@ -288,9 +292,9 @@ def repair_conversations(rows: DataFrame) -> DataFrame:
     firsts = single.where("copies > 0").groupBy("conv", "role", "key").agg(F.min(order).alias("at"))
     placed = single.join(firsts, ["conv", "role", "key"], "left").withColumn("first", order.eqNullSafe(F.col("at")))
     faulty = placed.select("conv", "turn", "role", "text", fault_of(F.col("text")).alias("fault"), "first", "copies")
-    block = F.floor(F.col("turn") / F.lit(_ROWS))
+    block = F.floor(F.col("turn") / F.lit(block_rows))
     sorted_rows = faulty.repartition(parts, "conv", block).sortWithinPartitions("conv", F.asc_nulls_first("turn"), "role", "text")
-    blocks = sorted_rows.mapInArrow(_blocks, _BLOCK_DDL)
+    blocks = sorted_rows.mapInArrow(_blocks(block_rows), _BLOCK_DDL)
     in_order = blocks.repartition(parts, "conv").sortWithinPartitions("conv", "has", F.asc_nulls_first("turn"), "part")
     found = in_order.mapInArrow(_conversations, _OUT_DDL)
     kind = T.StructType([T.StructField("conv_id", rows.schema["conv_id"].dataType)])

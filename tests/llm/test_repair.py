@@ -75,12 +75,11 @@ def found(df):
 
 
 @pytest.mark.parametrize("rows_a_block", [256, 1, 2])
-def test_cheapest_edits_equal_enumeration(spark, monkeypatch, rows_a_block):
-    monkeypatch.setattr(repair, "_ROWS", rows_a_block)
+def test_cheapest_edits_equal_enumeration(spark, rows_a_block):
     rows = conversations(rows_a_block, 60)
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
     given = damaged_by_hand(rows)
-    assert found(repair.repair_conversations(repair.damaged(df))) == {c: repaired_by_hand([r for r in given if r[0] == c]) for c in {r[0] for r in rows}}
+    assert found(repair.repair_conversations(repair.damaged(df), block_rows=rows_a_block)) == {c: repaired_by_hand([r for r in given if r[0] == c]) for c in {r[0] for r in rows}}
 
 
 def test_long_conversations_are_split_and_repeats_are_counted(spark):
