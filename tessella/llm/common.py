@@ -68,9 +68,22 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return back
 
 
+def bucketed(df: DataFrame, label: str, key: str) -> DataFrame:
+    """``staged``, in buckets of ``key``: a join by this key moves the other side's rows only."""
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path, name = scratch(spark, label), f"tessella_{uuid.uuid4().hex}"
+    df.repartition(parts, key).write.bucketBy(parts, key).option("path", path).saveAsTable(name)
+    back = spark.table(name)
+    back.staged_at, back.staged_as = path, name
+    return back
+
+
 def discard(*frames: DataFrame | None) -> None:
-    """Delete what ``staged`` wrote, once nothing reads it any more."""
+    """Delete what ``staged`` or ``bucketed`` wrote, once nothing reads it any more."""
     for df in frames:
+        if df is not None and getattr(df, "staged_as", None):
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {df.staged_as}")
         if df is not None and getattr(df, "staged_at", None):
             _remove(df.sparkSession, df.staged_at)
 

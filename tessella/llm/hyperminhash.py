@@ -11,8 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, mix, signed, staged
-from .jaccard import _batch, _sets, described_sets, joined, labelled, rooted_classes, set_ids
+from .common import bucketed, discard, mix, pieces, signed, staged, text_bytes
+from .jaccard import _batch, across, apart_by, joined, labelled, rooted_classes, set_ids, shingle_sets
+from .jaccard import sketch as parities
 
 WORDS, LEAST, OF = 5, 85, 100
 BUCKETS = 128  # registers of a sketch, a power of two
@@ -43,10 +44,6 @@ def registers(x: np.ndarray, edge: np.ndarray) -> np.ndarray:
     return np.where(empty, 0, out).astype(np.uint16).reshape(n, BUCKETS)
 
 
-def sketch(x: np.ndarray) -> bytes:
-    return registers(x, np.array([0, len(x)])).tobytes()
-
-
 def bands(regs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The key of each band that holds an element, and its row of ``regs``.
 
@@ -98,73 +95,76 @@ def estimated_similarity(x: np.ndarray, y: np.ndarray, n: int, m: int) -> float:
 
 
 def _sketched(n: int):
-    out = pa.schema([("doc_id", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), ("n_shingles", pa.int64()), ("regs", pa.binary())])
+    """Ids, size, sketch (registers, then parities) and compressed text of each set."""
+    out = pa.schema([("doc_id", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), ("n_shingles", pa.int64()), ("sketch", pa.binary()), ("z", pa.binary()), ("size", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, x, edge, y in _sets(batch, 1, n):
+            b, offsets = text_bytes(batch.column(1))
+            for i, j in pieces(offsets):
+                x, edge, y = shingle_sets(b[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], n)
                 hi, lo = set_ids(x, edge, y)
-                yield _batch(out, batch.column(0).slice(i, len(hi)), signed(hi), signed(lo), np.diff(edge), [r.tobytes() for r in registers(x, edge)])
+                sketch = [r.tobytes() + parities(x[p:q]) for r, p, q in zip(registers(x, edge), edge[:-1], edge[1:], strict=True)]
+                z = [pa.compress(b[offsets[r] : offsets[r + 1]].tobytes(), "zstd", asbytes=True) for r in range(i, j)]
+                yield _batch(out, batch.column(0).slice(i, j - i), signed(hi), signed(lo), np.diff(edge), sketch, z, np.diff(offsets[i : j + 1]))
 
     return run
 
 
-def _rows(sketches: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(sketches.to_pylist()), np.uint16).reshape(len(sketches), BUCKETS)
+def _rows(sketches: list[bytes]) -> np.ndarray:
+    """The registers in front of each sketch."""
+    return np.frombuffer(b"".join([s[: 2 * BUCKETS] for s in sketches]), np.uint16).reshape(len(sketches), BUCKETS)
 
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     out = pa.schema([("sig", pa.int64()), ("node", pa.int64())])
     for batch in batches:
         if batch.num_rows:
-            key, row = bands(_rows(batch.column(1)))
+            key, row = bands(_rows(batch.column(1).to_pylist()))
             yield _batch(out, signed(key), batch.column(0).to_numpy()[row])
 
 
+def _most_apart(n, m, least: int, of: int):
+    """The most elements in which linked sets of n and m elements differ."""
+    return (n + m) * (of - least) // (of + least)
+
+
 def _near(least: int, of: int):
-    """The pairs whose registers and sizes do not rule out a link."""
+    """The pairs that registers, sizes and then parities leave possible."""
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                a, b, x, y, n, m = (batch.column(c) for c in ("a", "b", "x", "y", "n", "m"))
-                at = np.flatnonzero(may_link(_rows(x), _rows(y), n.to_numpy(), m.to_numpy(), least, of))
+                a, b, n, m = (batch.column(c) for c in ("a", "b", "n", "m"))
+                x, y = (batch.column(c).to_pylist() for c in ("x", "y"))
+                n, m = n.to_numpy(), m.to_numpy()
+                at = np.flatnonzero(may_link(_rows(x), _rows(y), n, m, least, of))
+                apart = apart_by([x[i][2 * BUCKETS :] for i in at], [y[i][2 * BUCKETS :] for i in at])
+                at = at[apart <= _most_apart(n[at], m[at], least, of)]
                 yield _batch(out, a.take(pa.array(at)), b.take(pa.array(at)))
 
     return run
 
 
-def _across(least: int, of: int):
-    """Of rows sorted by ``sig, i, j`` the pairs of one group and different labels that sizes and registers allow."""
-    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _scores(least: int, of: int):
+    """For pairs within a band's group: less the more registers are equal."""
 
-    def pairs(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = pa.Table.from_batches(held)
-        node, label, n = (t.column(c).to_numpy() for c in ("node", "label", "n"))
-        regs = _rows(t.column("sketch").combine_chunks())
-        for i in range(len(node) - 1):
-            at = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
-            at = at[may_link(regs[at], regs[i][None, :], n[at], n[i], least, of)]
-            if len(at):
-                yield _batch(out, np.minimum(node[at], node[i]), np.maximum(node[at], node[i]))
+    def allowed(t: pa.Table):
+        n, sketches = t.column("n").to_numpy(), t.column("sketch").to_pylist()
+        regs = _rows(sketches)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, last = [], None
-        for batch in batches:
-            key = np.column_stack([batch.column(c).to_numpy() for c in ("sig", "i", "j")])
-            cut = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist(), len(key)]
-            for i, j in zip(cut[:-1], cut[1:], strict=True):
-                if j > i:
-                    if held and last != key[i].tolist():
-                        yield from pairs(held)
-                        held = []
-                    held.append(batch.slice(i, j - i))
-                    last = key[i].tolist()
-        if held:
-            yield from pairs(held)
+        def scores(x: int, others: np.ndarray) -> np.ndarray:
+            out = np.full(len(others), -1)
+            at = np.flatnonzero(may_link(regs[others], regs[x][None, :], n[others], n[x], least, of))
+            apart = apart_by([sketches[i][2 * BUCKETS :] for i in others[at]], [sketches[x][2 * BUCKETS :]] * len(at))
+            at = at[apart <= _most_apart(n[others[at]], n[x], least, of)]
+            out[at] = BUCKETS - ((regs[others[at]] == regs[x]) & (regs[x] > 0)).sum(1)
+            return out
 
-    return run
+        return scores
+
+    return allowed
 
 
 # --- on Spark --------------------------------------------------------------
@@ -176,27 +176,32 @@ def hyperminhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col
     Documents link when ``of * intersection >= least * union`` of their sets of ``words``-word
     shingles; ``component_id`` is the smallest id that links lead to, and the document of that id is
     ``kept``. Texts of equal sets are one class, told apart by 128 bits, with one sketch, so copies
-    are never paired. Classes that share a band of registers are candidates; estimates rule out
-    most of those that are not linked, and the rest is compared on all elements (64 bits each), by
-    hubs, as ``jaccard.joined`` says. A linked pair at the threshold shares no band with a chance of
-    6e-11 and is ruled out by the estimate with one of 1e-11; ``least`` far below 85 would need more bands.
+    are never paired. Classes that share a band of registers are candidates. Estimates rule out most
+    of those that are not linked, and parities of the sets (``jaccard.sketch``, which never rule out a
+    link) most of the others; the rest is compared on all elements (64 bits each), by hubs, as
+    ``jaccard.joined`` says. A linked pair at the threshold shares no band with a chance of 6e-11 and
+    is ruled out by the estimate with one of 1e-11; ``least`` far below 85 would need more bands.
 
     Null and blank texts have no shingles and stand alone. A null id is never the smallest; a
     component of null ids alone has a null ``component_id`` and keeps its rows. Repeated rows are
     copies, and all rows of the smallest id are kept. No rows give no rows; other columns are not read.
     """
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    seen = docs.mapInArrow(_sketched(words), "doc_id long, hi long, lo long, n_shingles long, regs binary")
-    # Copies within a task combine before the shuffle; the ids of all rows go on without their sketches.
-    sized = staged(seen, "sketched")
-    grouped = sized.where("n_shingles > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("copies"), F.min("regs").alias("regs"))
-    classes = staged(grouped.withColumn("node", F.monotonically_increasing_id()), "classes")
-    banded = staged(classes.select("node", "regs").mapInArrow(_banded, "sig long, node long"), "banded")
+    seen = docs.mapInArrow(_sketched(words), "doc_id long, hi long, lo long, n_shingles long, sketch binary, z binary, size long")
+    whole = staged(seen, "sketched")
+    sized = staged(whole.select("doc_id", "hi", "lo", "n_shingles"), "sized")
+    # Copies combine within a task; one text of each class goes on, in buckets of its node.
+    grouped = whole.where("n_shingles > 0").groupBy("hi", "lo").agg(
+        F.min("doc_id").alias("least_id"), F.count("*").alias("copies"), F.min(F.struct("sketch", "n_shingles", "z", "size")).alias("m")
+    )
+    sets = bucketed(grouped.select("hi", "lo", "least_id", "copies", F.monotonically_increasing_id().alias("node"), F.col("m.n_shingles").alias("n"), "m.sketch", "m.z", "m.size"), "sets", "node")
+    classes = staged(sets.select("hi", "lo", "least_id", "copies", "node"), "classes")
+    discard(whole)
+    banded = staged(sets.select("node", "sketch").mapInArrow(_banded, "sig long, node long"), "banded")
     sizes = banded.groupBy("sig").agg(F.count("*").alias("in_sig")).where("in_sig > 1")
     members = staged(banded.join(sizes, "sig"), "members")
     discard(banded)
-    sets = described_sets(docs, classes, members.select("node").distinct(), words, sketch)
-    labels = joined(members, sets, words, least, of, _near(least, of), _across(least, of))
+    labels = joined(members, sets, words, least, of, _near(least, of), across(_scores(least, of)))
     found = labelled(sized, rooted_classes(classes, labels))
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 

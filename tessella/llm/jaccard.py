@@ -304,47 +304,85 @@ def _linked(n: int, least: int, of: int):
     return run
 
 
-def _across(least: int, of: int):
-    """Of rows sorted by ``sig, i, j`` the pairs of one group and different labels that sizes and sketches allow."""
+def across(allowed):
+    """Of rows sorted by ``sig, i, j`` the pairs of one group and different labels that ``allowed`` lets
+    through: called with a group's table, it gives a function of a row and some others, with a score
+    (less is nearer) for each that may be linked, and -1 for the rest.
+
+    With ``nearest`` each row of the smaller of two labels is paired with the nearest of the larger
+    one alone, so that a row is not paired with every member of a component it belongs to.
+    """
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def pairs(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pairs(held: list[pa.RecordBatch], nearest: bool) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(held)
-        node, label, n = (t.column(c).to_numpy() for c in ("node", "label", "n"))
-        sketches = t.column("sketch").to_pylist()
+        node, label = (t.column(c).to_numpy() for c in ("node", "label"))
+        scores = allowed(t)
+        _, own, size = np.unique(label, return_inverse=True, return_counts=True)
+        rank = size[own] * len(size) + own  # labels by size, then by name
+        order = np.argsort(rank, kind="stable")
+        node, rank, place = node[order], rank[order], np.searchsorted(rank[order], rank[order], "right")
+        for x in range(len(node)):
+            others = np.arange(place[x], len(node))  # of larger labels
+            if not len(others):
+                break
+            score = scores(order[x], order[others])
+            others, score = others[score >= 0], score[score >= 0]
+            if nearest and len(others):
+                by = np.lexsort((others, score, rank[others]))
+                others = others[by[np.r_[True, np.diff(rank[others[by]]) != 0]]]
+            if len(others):
+                yield _batch(out, np.minimum(node[others], node[x]), np.maximum(node[others], node[x]))
+
+    def for_(nearest: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, last = [], None
+            for batch in batches:
+                key = np.column_stack([batch.column(c).to_numpy() for c in ("sig", "i", "j")])
+                cut = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist(), len(key)]
+                for i, j in zip(cut[:-1], cut[1:], strict=True):
+                    if j > i:
+                        if held and last != key[i].tolist():
+                            yield from pairs(held, nearest)
+                            held = []
+                        held.append(batch.slice(i, j - i))
+                        last = key[i].tolist()
+            if held:
+                yield from pairs(held, nearest)
+
+        return run
+
+    return for_
+
+
+def _parities(least: int, of: int):
+    """Scores by parity sketches: the elements in which two sets differ at least."""
+
+    def allowed(t: pa.Table):
+        n, sketches = t.column("n").to_numpy(), t.column("sketch").to_pylist()
         length = np.array([len(x) for x in sketches])
         bits = {s: np.frombuffer(b"".join(x for x in sketches if len(x) == s), "<u8").reshape(-1, s // 8) for s in set(length.tolist())}
-        for s, small in bits.items():
-            p = np.flatnonzero(length == s)
-            for w in (s, 2 * s, 4 * s):
-                if w not in bits:
+        at = np.zeros(len(n), np.int64)
+        for s in bits:
+            at[length == s] = np.arange((length == s).sum())
+
+        def scores(x: int, others: np.ndarray) -> np.ndarray:
+            out = np.full(len(others), -1)
+            near = np.minimum(n[others], n[x]) * of >= np.maximum(n[others], n[x]) * least
+            for s in bits:
+                some = np.flatnonzero(near & (length[others] == s))
+                if not len(some) or max(s, length[x]) > 4 * min(s, length[x]):
                     continue
-                q = np.flatnonzero(length == w)
-                large = np.bitwise_xor.reduce(bits[w].reshape(len(q), -1, s // 8), 1)
-                for i in range(len(p)):
-                    x, lo = p[i], i + 1 if w == s else 0
-                    at = np.flatnonzero((label[q[lo:]] != label[x]) & (np.minimum(n[q[lo:]], n[x]) * of >= np.maximum(n[q[lo:]], n[x]) * least)) + lo
-                    if len(at):
-                        at = at[np.bitwise_count(large[at] ^ small[i]).sum(1, dtype=np.int64) <= (n[q[at]] + n[x]) * (of - least) // (of + least)]
-                    if len(at):
-                        yield _batch(out, np.minimum(node[q[at]], node[x]), np.maximum(node[q[at]], node[x]))
+                m = min(s, length[x]) // 8
+                y = np.bitwise_xor.reduce(bits[s][at[others[some]]].reshape(len(some), -1, m), 1)
+                own = np.bitwise_xor.reduce(bits[length[x]][at[x]].reshape(-1, m), 0)
+                apart = np.bitwise_count(y ^ own).sum(1, dtype=np.int64)
+                out[some] = np.where(apart <= (n[others[some]] + n[x]) * (of - least) // (of + least), apart, -1)
+            return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, last = [], None
-        for batch in batches:
-            key = np.column_stack([batch.column(c).to_numpy() for c in ("sig", "i", "j")])
-            cut = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist(), len(key)]
-            for i, j in zip(cut[:-1], cut[1:], strict=True):
-                if j > i:
-                    if held and last != key[i].tolist():
-                        yield from pairs(held)
-                        held = []
-                    held.append(batch.slice(i, j - i))
-                    last = key[i].tolist()
-        if held:
-            yield from pairs(held)
+        return scores
 
-    return run
+    return allowed
 
 
 # --- on Spark --------------------------------------------------------------
@@ -430,63 +468,76 @@ def linked_sets(docs: DataFrame, classes: DataFrame, words: int, least: int, of:
     """``node, root`` of the classes that are linked to others; None if there are none."""
     members = _members(docs, classes, words, least, of)
     sets = described_sets(docs, classes, members.select("node").distinct(), words)
-    return joined(members, sets, words, least, of, _near(least, of), _across(least, of))
+    return joined(members, sets, words, least, of, _near(least, of), across(_parities(least, of)))
 
 
 def joined(members: DataFrame, sets: DataFrame, words: int, least: int, of: int, near, across) -> DataFrame | None:
     """``node, root`` of the linked among the ``members`` (``sig, node, in_sig``); None if there are none.
     ``near`` and ``across`` rule out pairs by sketches. Both tables are deleted at the end.
 
-    Sets that share signatures are compared with a hub of each signature, the one that stands in
-    most of them, which a group of near copies has in common, so that such a group costs a comparison
-    a member. Signatures whose sets form one component by then are done. For the others other hubs
-    follow, a set of each component left; what is still apart after ``ROUNDS`` is paired up across
-    components only, within a signature and in blocks, and those pairs go on for which sizes and
-    sketches allow a link. No link between components is lost.
+    Each set is compared with one hub of its signatures, the set that stands in most of them, which a
+    group of near copies has in common, so that such a group costs a comparison a member. Signatures
+    whose sets form one component by then are done. For the others other hubs follow, a set of each
+    component for the largest component beside it. What is still apart after ``ROUNDS`` is paired up
+    across components, within a signature and in blocks, where sizes and sketches allow a link: first
+    each set with the nearest of a component, then, of what that leaves apart, with all. No link
+    between components is lost.
     """
     labels = None
     for k in range(ROUNDS):
         if k == 0:
             weighed = members.withColumn("w", F.sum("in_sig").over(Window.partitionBy("node")))
-            hubs = weighed.groupBy("sig").agg(F.max(F.struct("w", "node")).alias("m")).select("sig", F.col("m.node").alias("hub"))
-            pairs = members.join(hubs, "sig").where("node <> hub").select(*_ordered("node", "hub"))
+            hubs = weighed.groupBy("sig").agg(F.max(F.struct("w", "node")).alias("m"))
+            best = members.join(hubs, "sig").where("node <> m.node").groupBy("node").agg(F.max("m").alias("m"))
+            pairs = best.select(*_ordered("node", "m.node"))
         else:
-            own = labels.select("node", F.col("root").alias("label"))
-            named = members.join(own, "node", "left").withColumn("label", F.coalesce("label", "node"))
-            drawn = named.groupBy("sig", "label").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", "sig", F.lit(k)), "node")).alias("m"))
+            drawn = _named(members, labels).groupBy("sig", "label").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", "sig", F.lit(k)), "node")).alias("m"))
             drawn = drawn.select("sig", "label", "n", F.col("m.node").alias("node"))
-            first = drawn.groupBy("sig").agg(F.max(F.struct("n", "node", "label")).alias("m")).select("sig", F.col("m.node").alias("hub"), F.col("m.label").alias("hub_label"))
-            pairs = drawn.join(first, "sig").where("label <> hub_label").select(*_ordered("node", "hub"))
-        pairs = staged(pairs.distinct(), "pairs")
-        links = similar(pairs, sets, words, least, of, near)
-        discard(pairs)
-        if links.isEmpty():
+            first = drawn.groupBy("sig").agg(F.max(F.struct("n", "node", "label")).alias("hub"))
+            best = drawn.join(first, "sig").where("label <> hub.label").groupBy("label").agg(F.max(F.struct("hub", "node")).alias("m"))
+            pairs = best.select(*_ordered("m.node", "m.hub.node"))
+        labels, links = _linked_more(labels, staged(pairs.distinct(), "pairs"), sets, words, least, of, near)
+        if not links:
             break
-        labels = _merged(labels, links)
-        discard(links)
-        members, old = _still_apart(members, labels), members
-        discard(old)
-    own = None if labels is None else labels.select("node", F.col("root").alias("label"))
-    named = members.withColumn("label", F.col("node")) if own is None else members.join(own, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        members = _still_apart(members, labels)
     n_parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = F.ceil(F.col("in_sig") / IN_BLOCK)
-    named = named.withColumn("x", F.pmod(F.xxhash64("node"), blocks)).withColumn("y", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = named.join(sets.select("node", "n", "sketch"), "node").select("sig", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "node", "label", "n", "sketch")
-    left = rows.repartition(n_parts, "sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(across, "a long, b long")
-    left = staged(left.distinct(), "left")
-    links = similar(left, sets, words, least, of, near)
-    if not links.isEmpty():
-        labels = _merged(labels, links)
-    discard(members, left, links, sets)
+    for nearest in (True, False):
+        named = _named(members, labels).withColumn("blocks", F.ceil(F.col("in_sig") / IN_BLOCK))
+        named = named.withColumn("x", F.pmod(F.xxhash64("node"), "blocks")).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rows = named.select("node", "sig", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "label").join(sets.select("node", "n", "sketch"), "node")
+        sorted_rows = rows.select("sig", "i", "j", "node", "label", "n", "sketch").repartition(n_parts, "sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+        left = staged(sorted_rows.mapInArrow(across(nearest), "a long, b long").distinct(), "left")
+        labels, links = _linked_more(labels, left, sets, words, least, of, near)
+        if nearest and links:
+            members = _still_apart(members, labels)
+    discard(members, sets)
     return labels
 
 
+def _named(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The members with the label of their component, their own node at first."""
+    if labels is None:
+        return members.withColumn("label", F.col("node"))
+    return members.join(labels.select("node", F.col("root").alias("label")), "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _linked_more(labels: DataFrame | None, pairs: DataFrame, sets: DataFrame, words: int, least: int, of: int, near) -> tuple[DataFrame | None, bool]:
+    """The labels after the links among some pairs, and whether there were any."""
+    links = similar(pairs, sets, words, least, of, near)
+    discard(pairs)
+    some = not links.isEmpty()
+    if some:
+        labels = _merged(labels, links)
+    discard(links)
+    return labels, some
+
+
 def _still_apart(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of signatures that hold several components."""
-    own = labels.select("node", F.col("root").alias("label"))
-    named = members.join(own, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = named.groupBy("sig").agg(F.min("label").alias("p"), F.max("label").alias("q")).where("p <> q").select("sig")
-    return staged(members.join(mixed, "sig", "left_semi"), "members")
+    """The rows of signatures that hold several components; the given table is deleted."""
+    mixed = _named(members, labels).groupBy("sig").agg(F.min("label").alias("p"), F.max("label").alias("q")).where("p <> q").select("sig")
+    out = staged(members.join(mixed, "sig", "left_semi"), "members")
+    discard(members)
+    return out
 
 
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, least: int = LEAST, of: int = OF) -> DataFrame:
