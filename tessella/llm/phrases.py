@@ -14,8 +14,8 @@ from pyspark.sql.window import Window
 from .common import discard, mix, pieces, signed, staged, text_bytes, word_hashes
 
 LONGEST, LEAST, SHARE, REPORTED = 4, 30, 80, 2000
-CHUNK = 1 << 24  # bytes of text that make a shard
-PENDING = 1 << 22  # counted pairs that a task holds before it looks for equal ones
+CHUNK = 1 << 22  # bytes of text that make a shard
+PENDING = 1 << 21  # counted pairs that a task holds before it looks for equal ones
 FILTER_BITS = 28  # the largest filter of frequent pairs has 2**28 bits
 
 _CLASS = np.zeros(256, np.uint8)
@@ -36,7 +36,7 @@ def piece_words(b: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     starts = np.flatnonzero(inside & (np.r_[True, ~inside[:-1]] | first[:-1])[: len(low)])
     ends = np.flatnonzero(inside & (np.r_[~inside[1:], True] | first[1:])[: len(low)]) + 1
     row = np.searchsorted(offsets, starts, "right") - 1
-    piece = np.cumsum(kind == 2)[starts] if len(starts) else starts
+    piece = np.cumsum(kind == 2, dtype=np.int32)[starts] if len(starts) else starts
     joined = np.zeros(len(starts), bool)
     joined[:-1] = (piece[1:] == piece[:-1]) & (row[1:] == row[:-1])
     return low, starts, ends, row, joined
