@@ -1,12 +1,24 @@
-"""Trees as edge tables: paths, leaves, pre-order and text notations."""
+"""Trees as edge tables, of any depth and size: paths, leaves, pre-order and text notations."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..scratch import drop, written
+from .rules import ERROR, _finding
+
 EDGE = "parent string, node string, pos int, depth int"
+SMALL = 10_000  # edges that are walked in the driver instead of by rounds of joins
+CHUNK = 4096  # pieces of a text that are joined at a time
+_PLACE = "id long, up long, root long, node string, parent string, pos int, depth long, size long, order long"
+_COLUMNS = ["id", "up", "root", "node", "parent", "pos", "depth", "size", "order"]
 
 
 def tree_edges(tree: dict) -> list[tuple]:
@@ -24,27 +36,179 @@ def edge_frame(spark: SparkSession, tree: dict) -> DataFrame:
     return spark.createDataFrame(tree_edges(tree), EDGE)
 
 
-def all_paths(edges: DataFrame) -> DataFrame:
-    """``node, parent, path, order, depth``: every occurrence of a node, with the names and the
-    sibling places from the root on; ``order`` sorts in pre-order. Roots have a null parent.
+# --- places -------------------------------------------------------------------
+
+
+def places(edges: DataFrame, *, small: int = SMALL) -> DataFrame:
+    """``id, up, root, node, parent, pos, depth, size, order``: each occurrence of a node below a root.
+
+    ``id`` names an occurrence, ``up`` and ``root`` the ones above it and at the top; ``size`` counts
+    the occurrences below it and itself; ``order`` is its place in pre-order, from 0 over all roots.
+    Roots have a null parent. Siblings stand by ``pos``, then by name. A name with several parents
+    occurs, with all below it, under each. Nodes that no root leads to (below an unknown parent or
+    in a cycle, see ``cycle_findings``) have no place; a cycle that a root leads to is an error.
+
+    Up to ``small`` edges are walked in the driver, a bounded table. Of more, no step needs a node's
+    relatives together: ancestors at distance 1, 2, 4, .. are found by joins of the table with
+    itself, and sizes, depths and places in order are sums over these, so the number of rounds
+    is the logarithm of the depth.
+    """
+    edges = edges.select("parent", "node", "pos")
+    near = edges.limit(small + 1).collect()
+    if len(near) <= small:
+        return edges.sparkSession.createDataFrame(_walked([tuple(r) for r in near]), _PLACE)
+    return _in_order(_ranked(_occurrences(edges)))
+
+
+def _walked(edges: list[tuple]) -> list[tuple]:
+    """The places of a small tree."""
+    below: dict = {}
+    for parent, node, pos in sorted(edges, key=lambda e: (e[2] if e[2] is not None else -1, e[1])):
+        below.setdefault(parent, []).append((node, pos))
+    out, todo, on_path = [], [(n, None, p, None, 0, None) for n, p in reversed(below.get(None, []))], []
+    while todo:
+        node, parent, pos, up, depth, root = todo.pop()
+        del on_path[depth:]
+        if depth and node in below and node in set(on_path):
+            raise ValueError(f"{node} is below itself")
+        on_path.append(node)
+        at = len(out)
+        root = at if root is None else root
+        out.append([at, up, root, node, parent, pos, depth, 1, at])
+        todo += [(n, node, p, at, depth + 1, root) for n, p in reversed(below.get(node, []))]
+    for x in reversed(out):
+        if x[1] is not None:
+            out[x[1]][7] += x[7]
+    return [tuple(x) for x in out]
+
+
+def _occurrences(edges: DataFrame) -> DataFrame:
+    """``id, up, node, parent, pos``: each edge with that of its parent; ``up`` is null where there is none.
+
+    Where inner names have several parents, occurrences are made from the roots down, level by level.
+    """
+    e = written(edges.withColumn("id", F.monotonically_increasing_id()), "edges")
+    inner = e.where("parent IS NOT NULL").select(F.col("parent").alias("node")).distinct()
+    named = e.join(inner, "node", "left_semi").groupBy("node").agg(F.min("id").alias("up"), F.count("*").alias("n"))
+    if named.where("n > 1").isEmpty():
+        out = written(e.join(named.select(F.col("node").alias("parent"), "up"), "parent", "left").select("id", "up", "node", "parent", "pos"), "occurrences")
+        drop(e)
+        return out
+    most, levels = inner.count() + 1, []
+    level = e.where("parent IS NULL").select(F.col("id"), F.lit(None).cast("long").alias("up"), "node", "parent", "pos")
+    while True:
+        k = len(levels)
+        level = written(level.withColumn("id", F.monotonically_increasing_id() + F.lit(k << 52)), "level")
+        if level.isEmpty():
+            break
+        if k > most:
+            raise ValueError("a node is below itself")
+        levels.append(level)
+        above = level.select(F.col("id").alias("up"), F.col("node").alias("parent"))
+        level = e.select("node", "parent", "pos").join(above, "parent").select(F.lit(0).cast("long").alias("id"), "up", "node", "parent", "pos")
+    out = levels[0]
+    for x in levels[1:]:
+        out = out.unionByName(x)
+    out = written(out, "occurrences")
+    drop(e, *levels)
+    return out
+
+
+def _ranked(rows: DataFrame) -> DataFrame:
+    """``rows`` below roots, with ``root, depth, size``.
 
-    All paths are found in one recursive query, level by level, instead of a search for each record.
+    After k rounds ``far`` is the ancestor at distance 2**k, or the topmost one, ``depth`` the distance
+    to it, and ``size`` counts what is less than 2**k below. What lies at 2**k or more is below one
+    of those that have this node as their ancestor at just that distance.
     """
-    return edges.sparkSession.sql(
-        """WITH RECURSIVE walk AS (
-          SELECT node, parent, array(node) AS path, array(pos) AS `order`, 0 AS depth FROM {edges} WHERE parent IS NULL
-          UNION ALL
-          SELECT e.node, e.parent, array_append(w.path, e.node), array_append(w.`order`, e.pos), w.depth + 1
-          FROM walk w JOIN {edges} e ON e.parent = w.node)
-        SELECT * FROM walk""",
-        edges=edges.select("parent", "node", "pos"),
-    )
-
-
-def paths(edges: DataFrame) -> DataFrame:
+    state = written(rows.select("*", F.coalesce("up", "id").alias("far"), F.when(F.col("up").isNull(), 0).otherwise(1).cast("long").alias("depth"), F.lit(1).cast("long").alias("size")), "ranks")
+    step, most = 1, 2 * rows.count()
+    while step <= most and not state.where(F.col("depth") == step).isEmpty():
+        above = state.select(F.col("id").alias("far"), F.col("far").alias("farther"), F.col("depth").alias("more"))
+        below = state.where(F.col("depth") == step).groupBy(F.col("far").alias("id")).agg(F.sum("size").alias("held"))
+        nxt = state.join(above, "far").join(below, "id", "left")
+        nxt = nxt.select("id", "up", "node", "parent", "pos", F.col("farther").alias("far"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("size") + F.coalesce("held", F.lit(0))).alias("size"))
+        nxt = written(nxt, "ranks")
+        drop(state)
+        state, step = nxt, step * 2
+    roots = rows.where("parent IS NULL").select(F.col("id").alias("far"))
+    out = written(state.where(F.col("depth") < step).join(roots, "far").withColumnRenamed("far", "root"), "ranked")
+    drop(state, rows)
+    return out
+
+
+def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``id, up, size`` in order with the sum of the sizes before each within its task, and the task's number."""
+    total, task = 0, TaskContext.get().partitionId()
+    for b in batches:
+        size = b.column("size").to_numpy()
+        ends = total + np.cumsum(size)
+        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("up"), pa.array(ends - size), pa.array(np.full(len(size), task)), b.column("size")], names=["id", "up", "before", "task", "size"])
+        total = int(ends[-1]) if len(ends) else total
+
+
+def _in_order(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``order``: an occurrence stands one after the one above it, and after all that lies
+    below earlier siblings; these offsets are added up along the way to the root.
+
+    Sums over siblings are differences of sums over all rows in order of parents, in ranges, so
+    the children of one node may be spread over many tasks. A number a task passes the driver.
+    """
+    spark = rows.sparkSession
+    keys = [F.asc_nulls_first("up"), F.asc_nulls_first("pos"), F.asc("node"), F.asc("id")]
+    ranges = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys).sortWithinPartitions(*keys)
+    run = written(ranges.select("id", "up", "size").mapInArrow(_running, "id long, up long, before long, task long, size long"), "running")
+    total, starts = 0, []
+    for task, size in sorted(tuple(r) for r in run.groupBy("task").agg(F.sum("size")).collect()):
+        starts.append((task, total))
+        total += size
+    at = run.join(F.broadcast(spark.createDataFrame(starts, "task long, start long")), "task").select("id", F.coalesce("up", F.lit(-1)).alias("up"), (F.col("before") + F.col("start")).alias("at"))
+    first = at.groupBy("up").agg(F.min("at").alias("least"))
+    offset = at.join(first, "up").select("id", (F.col("at") - F.col("least") + F.when(F.col("up") == -1, 0).otherwise(1)).alias("order"))
+    state = written(rows.select("id", F.col("up").alias("far")).join(offset, "id"), "offsets")
+    while not state.where("far IS NOT NULL").isEmpty():
+        above = state.select(F.col("id").alias("far"), F.col("far").alias("farther"), F.col("order").alias("more"))
+        nxt = written(state.join(above, "far", "left").select("id", F.col("farther").alias("far"), (F.col("order") + F.coalesce("more", F.lit(0))).alias("order")), "offsets")
+        drop(state)
+        state = nxt
+    out = written(rows.join(state.select("id", "order"), "id").select(*_COLUMNS), "places")
+    drop(rows, run, state)
+    return out
+
+
+def cycle_findings(edges: DataFrame, check: str, *, small: int = SMALL) -> DataFrame:
+    """A finding for each node that no root leads to: it is part of a cycle, or below one or an unknown parent."""
+    lost = edges.select("node").distinct().join(places(edges, small=small).select("node"), "node", "left_anti")
+    return _finding(lost, check, ERROR, F.col("node"), F.format_string("node '%s' is not below any root", F.col("node")))
+
+
+# --- what places tell -------------------------------------------------------------
+
+
+def all_paths(edges: DataFrame, *, small: int = SMALL) -> DataFrame:
+    """``node, parent, path, order, depth``: every occurrence of a node, with the names from the root on.
+
+    Paths are put together from pieces of double length in each round; all of them together are as
+    long as the sum of the depths.
+    """
+    at = places(edges, small=small)
+    state = at.select("id", F.col("up").alias("far"), F.array("node").alias("path"))
+    deepest, done, old = at.agg(F.max("depth")).first()[0] or 0, 1, None
+    while done <= deepest:
+        above = state.select(F.col("id").alias("far"), F.col("far").alias("farther"), F.col("path").alias("more"))
+        state = state.join(above, "far", "left").select("id", F.col("farther").alias("far"), F.when(F.col("more").isNull(), F.col("path")).otherwise(F.concat("more", "path")).alias("path"))
+        done *= 2
+        if done > 32:  # a plan of few joins as it is, beyond that a table a round
+            state = written(state, "paths")
+            drop(old)
+            old = state
+    return at.join(state.select("id", "path"), "id").select("node", "parent", "path", "order", F.col("depth").cast("int").alias("depth"))
+
+
+def paths(edges: DataFrame, *, small: int = SMALL) -> DataFrame:
     """One path for each node name, the first in pre-order."""
-    first = Window.partitionBy("node").orderBy("order")
-    return all_paths(edges).withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    rest = ["parent", "path", "order", "depth"]
+    return all_paths(edges, small=small).groupBy("node").agg(F.min_by(F.struct(*rest), "order").alias("x")).select("node", "x.*")
 
 
 def with_path(df: DataFrame, key: str, edges: DataFrame, name: str = "taxonomy") -> DataFrame:
@@ -53,36 +217,52 @@ def with_path(df: DataFrame, key: str, edges: DataFrame, name: str = "taxonomy")
     return df.join(p, df[key] == F.col("_node"), "left").withColumn(name, F.coalesce("_path", F.array().cast("array<string>"))).drop("_node", "_path")
 
 
-def nodes(edges: DataFrame) -> DataFrame:
+def nodes(edges: DataFrame, *, small: int = SMALL) -> DataFrame:
     """Node names in pre-order, repeated ones included."""
-    return all_paths(edges).select("node", "order").orderBy("order")
+    return places(edges, small=small).select("node", "order").orderBy("order")
 
 
 def node_set(edges: DataFrame) -> DataFrame:
     return edges.select("node").distinct()
 
 
-def leaves(edges: DataFrame) -> DataFrame:
+def leaves(edges: DataFrame, *, small: int = SMALL) -> DataFrame:
     """Occurrences without children, in pre-order."""
-    inner = edges.where("parent IS NOT NULL").select(F.col("parent").alias("node")).distinct()
-    return all_paths(edges).join(inner, "node", "left_anti").select("node", "order", "depth").orderBy("order")
+    return places(edges, small=small).where("size = 1").select("node", "order", F.col("depth").cast("int").alias("depth")).orderBy("order")
 
 
-def newick(edges: DataFrame, root: str | None = None) -> DataFrame:
-    """``root, newick``: the notation of each root's tree, or of one root's; children stand before the name.
+# --- text -------------------------------------------------------------------------
 
-    One walk and one aggregate: a tree's nodes in post-order (a node after all below it), each
-    behind the bracket or comma that its depth and the depth before it ask for. The nodes of one
-    tree meet in one row, as its text does.
+
+def newick_pieces(edges: DataFrame, *, small: int = SMALL) -> DataFrame:
+    """``root, place, piece``: the notation of all roots' trees in pieces, a node each, whose text in order of
+    ``place`` is the whole; ``root`` is the place in pre-order at which a tree begins.
+
+    Nodes stand in post-order (a node after all below it), each behind the bracket or comma that its
+    depth and the depth before it ask for; the one before is found by its number.
     """
-    last = F.lit(2147483647)  # beyond any sibling's place, so that a node follows its children
-    node = F.struct(F.array_append("order", last).alias("at"), "node", "depth")
-    trees = all_paths(edges).groupBy(F.get("order", F.lit(0)).alias("pos"), F.get("path", F.lit(0)).alias("root")).agg(F.array_sort(F.collect_list(node)).alias("n"))
+    at = places(edges, small=small).withColumn("place", F.col("order") - F.col("depth") + F.col("size") - 1)
+    before = at.select((F.col("place") + 1).alias("place"), F.col("root").alias("other"), F.col("depth").alias("before"))
+    both = at.join(before, "place", "left").withColumn("before", F.when(F.col("other") == F.col("root"), F.col("before")))
+    top = at.where("up IS NULL").select(F.col("root"), F.col("order").alias("top"))
+    opened = F.repeat(F.lit("("), F.greatest(F.col("depth") - F.coalesce("before", F.lit(0)), F.lit(0)).cast("int"))
+    parted = F.when(F.col("before").isNull(), F.lit("")).when(F.col("depth") < F.col("before"), F.lit(")")).otherwise(F.lit(","))
+    ended = F.when(F.col("up").isNull(), F.lit(";")).otherwise(F.lit(""))
+    return both.join(top, "root").select(F.col("top").alias("root"), "place", F.concat(parted, opened, "node", ended).alias("piece"))
+
+
+def newick(edges: DataFrame, root: str | None = None, *, small: int = SMALL) -> DataFrame:
+    """``root, newick``: the notation of each root's tree, or of one root's, as one text; children stand
+    before the name. Pieces are joined by thousands, then these; a tree whose text is too long for one
+    row is written from ``newick_pieces``."""
+    p = newick_pieces(edges, small=small)
 
-    def text(x, i):
-        before = F.when(i > 0, F.get(F.col("n.depth"), i - 1)).otherwise(F.lit(0))
-        opened = F.repeat(F.lit("("), F.greatest(x["depth"] - before, F.lit(0)))
-        return F.concat(F.when(i == 0, F.lit("")).when(x["depth"] < before, F.lit(")")).otherwise(F.lit(",")), opened, x["node"])
+    def joined(df: DataFrame, keys: list, by: str, text: str) -> DataFrame:
+        rows = F.array_sort(F.collect_list(F.struct(by, text)))
+        return df.groupBy(*keys).agg(F.array_join(F.transform(rows, lambda x: x[text]), "").alias(text))
 
-    out = trees.orderBy("pos").select("root", F.concat(F.array_join(F.transform("n", text), ""), F.lit(";")).alias("newick"))
+    chunks = joined(p.withColumn("chunk", F.floor(F.col("place") / CHUNK)), ["root", "chunk"], "place", "piece")
+    trees = joined(chunks, ["root"], "chunk", "piece")
+    names = places(edges, small=small).where("up IS NULL").select(F.col("order").alias("root"), "node")
+    out = trees.join(names, "root").orderBy("root").select(F.col("node").alias("root"), F.col("piece").alias("newick"))
     return out if root is None else out.where(F.col("root") == root)

@@ -72,10 +72,50 @@ def hier_newick(spark, d):
 
 @query(_TREE + "SELECT row_number() OVER (ORDER BY a, b) AS pre_order, node FROM t")
 def hier_preorder(spark, d):
-    from pyspark.sql.window import Window
+    return hierarchy.nodes(place_edges(spark, d)).select((F.col("order") + 1).alias("pre_order"), "node")
 
-    walked = hierarchy.nodes(place_edges(spark, d))
-    return walked.select(F.row_number().over(Window.orderBy("order")).cast("bigint").alias("pre_order"), "node")  # a tree's nodes: 31
+
+def order_edges(spark: SparkSession, d: str, orders: bool = True) -> DataFrame:
+    """Regions, their nations, customers and orders: a tree that grows with the tables."""
+
+    def edges(name: str, parent, node: str, pos: str) -> DataFrame:
+        return table(spark, d, name).select(parent.alias("parent"), F.concat(F.lit(node), F.col(pos).cast("string")).alias("node"), F.col(pos).cast("int").alias("pos"))
+
+    def above(kind: str, key: str):
+        return F.concat(F.lit(kind), F.col(key).cast("string"))
+
+    out = edges("region", F.lit(None).cast("string"), "R", "r_regionkey").unionByName(edges("nation", above("R", "n_regionkey"), "N", "n_nationkey")).unionByName(edges("customer", above("N", "c_nationkey"), "C", "c_custkey"))
+    return out.unionByName(edges("orders", above("C", "o_custkey"), "O", "o_orderkey")) if orders else out
+
+
+_ORDER_TREE = """WITH t AS (SELECT 'R' || r_regionkey AS node, 0 AS depth, r_regionkey AS r, -1 AS n, -1 AS c, -1 AS o FROM region
+  UNION ALL SELECT 'N' || n_nationkey, 1, n_regionkey, n_nationkey, -1, -1 FROM nation
+  UNION ALL SELECT 'C' || c_custkey, 2, n_regionkey, n_nationkey, c_custkey, -1 FROM customer JOIN nation ON c_nationkey = n_nationkey{})
+"""
+
+
+@query(_ORDER_TREE.format(" UNION ALL SELECT 'O' || o_orderkey, 3, n_regionkey, n_nationkey, c_custkey, o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey") + """SELECT node, depth::BIGINT AS depth, row_number() OVER (ORDER BY r, n, c, o) - 1 AS "order",
+CASE depth WHEN 0 THEN count(*) OVER (PARTITION BY r) WHEN 1 THEN count(*) OVER (PARTITION BY n) WHEN 2 THEN count(*) OVER (PARTITION BY c) ELSE 1 END AS size FROM t""")
+def tree_places(spark, d):
+    return hierarchy.places(order_edges(spark, d)).select("node", "depth", "order", "size")
+
+
+@query(_ORDER_TREE.format("") + """, p AS (SELECT node, depth, r, row_number() OVER (ORDER BY r, n, c) - 1 AS pre, row_number() OVER (ORDER BY r, CASE n WHEN -1 THEN 1000000000 ELSE n END, CASE c WHEN -1 THEN 1000000000 ELSE c END) - 1 AS place,
+  lag(depth) OVER (PARTITION BY r ORDER BY CASE n WHEN -1 THEN 1000000000 ELSE n END, CASE c WHEN -1 THEN 1000000000 ELSE c END) AS before FROM t)
+SELECT min(pre) OVER (PARTITION BY r) AS root, place, CASE WHEN before IS NULL THEN '' WHEN depth < before THEN ')' ELSE ',' END || repeat('(', greatest(depth - coalesce(before, 0), 0)) || node || CASE depth WHEN 0 THEN ';' ELSE '' END AS piece FROM p""")
+def tree_text(spark, d):
+    return hierarchy.newick_pieces(order_edges(spark, d, orders=False), small=500)
+
+
+@query("""SELECT 'tree' AS "check", 'error' AS severity, 'C' || c_custkey AS file, 'node ''C' || c_custkey || ''' is not below any root' AS message FROM customer WHERE c_nationkey % 5 = 0
+UNION ALL SELECT 'tree', 'error', 'N' || n_nationkey, 'node ''N' || n_nationkey || ''' is not below any root' FROM nation WHERE n_nationkey % 5 = 0""")
+def tree_cycles(spark, d):
+    """Every fifth nation is put below its last customer, or below an unknown place if it has none."""
+    last = table(spark, d, "customer").groupBy("c_nationkey").agg(F.max("c_custkey").alias("last"))
+    moved = table(spark, d, "nation").where("n_nationkey % 5 = 0").join(last, F.col("n_nationkey") == F.col("c_nationkey"), "left")
+    moved = moved.select(F.coalesce(F.concat(F.lit("C"), F.col("last").cast("string")), F.lit("?")).alias("parent"), F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("node"), F.lit(0).alias("pos"))
+    edges = order_edges(spark, d, orders=False)
+    return hierarchy.cycle_findings(edges.join(moved.select("node"), "node", "left_anti").unionByName(moved), "tree", small=100)
 
 
 @query(_TREE + "SELECT s_suppkey, coalesce(path, '') AS path FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN t ON n_name = node")

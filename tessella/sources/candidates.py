@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions import variants as V
 from ..functions.semantics import present
 from ..operators import linkage
 
@@ -110,20 +111,24 @@ def from_articles(df: DataFrame, schema: dict, compat: bool = True) -> DataFrame
 
 
 def entity_fields(entities: DataFrame, labels: DataFrame) -> DataFrame:
-    """``subject, qid, type_species, diet, parent_taxon, mass`` of ``subject, qid, claims`` (JSON),
-    with claims that name another entity resolved to its label (``labels``: ``qid, label``)."""
+    """``subject, qid, type_species, diet, parent_taxon, mass`` of ``subject, qid, claims`` (a VARIANT,
+    or JSON), with claims that name another entity resolved to its label (``labels``: ``qid, label``).
+
+    Claims that can't be decoded, or have another shape, give nulls.
+    """
     # Properties of an entity.
     targets = {"type_species": "P427", "diet": "P186", "parent_taxon": "P171"}
+    claims = F.col("claims") if entities.schema["claims"].dataType.typeName() == "variant" else F.try_parse_json("claims")
+    first = {p: V.at(claims, f"$.{p}[0].mainsnak") for p in (*targets.values(), "P2067")}
 
-    def claim(p: str, path: str) -> Column:
-        return F.get_json_object("claims", f"$.{p}[0].mainsnak.{path}")
+    def value(p: str, path: str, kind: str | None = None) -> Column:
+        snak = first[p]
+        known = V.at(snak, "$.snaktype", "string") == "value"
+        if kind:
+            known &= F.coalesce(V.at(snak, "$.datavalue.type", "string"), F.lit(kind)) == kind
+        return F.when(known, V.at(snak, f"$.datavalue.value.{path}", "string"))
 
-    out = entities.select(
-        "subject",
-        "qid",
-        *[F.when(claim(p, "snaktype") == "value", claim(p, "datavalue.value.id")).alias(n) for n, p in targets.items()],
-        F.when(claim("P2067", "snaktype") == "value", T.mass_text(claim("P2067", "datavalue.value.amount"), claim("P2067", "datavalue.value.unit"))).alias("mass"),
-    )
+    out = entities.select("subject", "qid", *[value(p, "id", "wikibase-entityid").alias(n) for n, p in targets.items()], T.mass_text(value("P2067", "amount"), value("P2067", "unit")).alias("mass"))
     for name in targets:
         names = labels.select(F.col("qid").alias(name), F.col("label").alias("_label"))
         out = out.join(names, name, "left").withColumn(name, F.col("_label")).drop("_label")
@@ -156,3 +161,59 @@ def first_record(df: DataFrame, key: str, order: str) -> DataFrame:
 def type_species_of(children: DataFrame) -> DataFrame:
     """``subject, name``: of a taxon's children (``subject, rank, name, pos``) the first species."""
     return children.where("rank = 'species'").groupBy("subject").agg(F.min_by("name", "pos").alias("name"))
+
+
+# --- captured answers -----------------------------------------------------------
+
+
+#: Gives the captured answers of a service (``folders.answers`` with its name), loaded for each call.
+Answers = Callable[[str], DataFrame]
+
+
+def _records(answers: Answers, service: str) -> DataFrame:
+    """``subject, pos, v`` of a service's records."""
+    return answers(service).where(F.col("record").isNotNull()).select("subject", "pos", F.parse_json("record").alias("v"))
+
+
+def taxa_of(answers: Answers) -> DataFrame:
+    """The columns of ``TAXON`` from captured answers: each subject's first taxon,
+    the first species among its children, and its first occurrence. Subjects without a taxon have no row."""
+    # Names of a record's fields.
+    taxon = {"authority": "taxon_attr", "diet": "diet", "early_interval": "early_interval", "late_interval": "late_interval", "family": "family"}
+    place = {"formation": "formation", "country": "cc", "region": "state", "latitude": "lat", "longitude": "lng"}
+
+    def fields(names: dict[str, str]) -> list[Column]:
+        return [F.coalesce(V.shown(V.at(F.col("v"), f"$.{old}")), F.lit("")).alias(new) for new, old in names.items()]
+
+    found = _records(answers, "taxa").where("pos = 0").select("subject", *fields(taxon))
+    children = _records(answers, "children").select("subject", V.at(F.col("v"), "$.accepted_rank", "string").alias("rank"), V.at(F.col("v"), "$.accepted_name", "string").alias("name"), "pos")
+    species = type_species_of(children).withColumnRenamed("name", "type_species")
+    at = _records(answers, "occurrences").where("pos = 0").select("subject", *fields(place))
+    out = found.join(species, "subject", "left").join(at, "subject", "left")
+    return out.select("subject", "type_species", *taxon, *place)
+
+
+def entities_of(answers: Answers) -> tuple[DataFrame, DataFrame]:
+    """``subject, qid, claims`` of each subject's first hit of the search, and ``qid, label``: what
+    ``entity_fields`` takes."""
+    hits = _records(answers, "search").where("pos = 0").select("subject", V.at(F.col("v"), "$.id", "string").alias("qid"))
+    entities = _records(answers, "entities").withColumnRenamed("subject", "qid")
+    claims = hits.join(entities, "qid").select("subject", "qid", V.at(F.col("v"), "$.claims").alias("claims"))
+    labels = entities.select("qid", V.at(F.col("v"), "$.labels.en.value", "string").alias("label")).where("label IS NOT NULL")
+    return claims, labels
+
+
+def articles_of(answers: Answers) -> DataFrame:
+    """``subject, wikitext, sections, html, extract``, what ``article_fields`` takes. An answer that
+    reports an error gives no row."""
+    v = F.col("v")
+    page = _records(answers, "articles").where(V.at(v, "$.error").isNull())
+    page = page.select(
+        "subject",
+        F.coalesce(V.at(v, "$.parse.wikitext['*']", "string"), F.lit("")).alias("wikitext"),
+        V.at(v, "$.parse.sections", "array<struct<line:string,level:string>>").alias("sections"),
+        F.coalesce(V.at(v, "$.parse.text['*']", "string"), F.lit("")).alias("html"),
+    )
+    first = F.get(F.map_values(V.members(V.at(v, "$.query.pages"))), F.lit(0))
+    extracts = _records(answers, "extracts").select("subject", V.at(first, "$.extract", "string").alias("extract"))
+    return page.join(extracts, "subject", "left")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -31,20 +33,24 @@ GENUS = (
 CLADE = f"clade string, description string, described int, authors string, diagnostic_features array<string>, references array<{REFERENCE}>"
 
 
-def load_yaml(text: str):
-    """A document under the rules in which only true and false are booleans: NO and ON stay text."""
+@cache
+def _loader() -> type:
+    """A loader, made once a process, under the rules in which only true and false are booleans: NO and ON stay text."""
     import yaml
 
-    class Loader(yaml.SafeLoader):
-        pass
+    base = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
+    loader = type("Loader", (base,), {})
+    left_out = ("tag:yaml.org,2002:bool", "tag:yaml.org,2002:timestamp")
+    loader.yaml_implicit_resolvers = {k: [(tag, rx) for tag, rx in v if tag not in left_out] for k, v in base.yaml_implicit_resolvers.items()}
+    loader.add_implicit_resolver(left_out[0], re.compile(r"^(?:true|True|TRUE|false|False|FALSE)$"), list("tTfF"))
+    return loader
+
 
-    Loader.yaml_implicit_resolvers = {
-        k: [(tag, rx) for tag, rx in v if tag not in ("tag:yaml.org,2002:bool", "tag:yaml.org,2002:timestamp")] for k, v in yaml.SafeLoader.yaml_implicit_resolvers.items()
-    }
-    import re
+def load_yaml(text: str):
+    """A document; what looks like a date stays text."""
+    import yaml
 
-    Loader.add_implicit_resolver("tag:yaml.org,2002:bool", re.compile(r"^(?:true|True|TRUE|false|False|FALSE)$"), list("tTfF"))
-    return yaml.load(text, Loader)
+    return yaml.load(text, _loader())
 
 
 def _text(x) -> str | None:
@@ -86,29 +92,31 @@ def _fit(x, t: T.DataType):
     return _text(x)
 
 
-def _decoder(schema: T.StructType):
+def decoded(text: str, schema: T.StructType) -> tuple[dict | None, str | None, str | None]:
+    """A document in the shape of the schema, its other fields as JSON, and the error if there is one."""
     flag = "paleoenvironment_is_list"
+    try:
+        doc = load_yaml(text)
+        fitted = _fit(doc, schema) if isinstance(doc, dict) else None
+        if fitted is not None and flag in fitted:
+            fitted[flag] = isinstance(doc.get("paleoenvironment"), list)
+        extra = {k: v for k, v in doc.items() if k not in schema.names} if isinstance(doc, dict) else {}
+        return fitted, json.dumps(extra, default=str), None
+    except Exception as e:  # a file that can't be decoded is a row of its own
+        return None, None, str(e)
+
 
+def _decoder(schema: T.StructType):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = []
-            for text in frame["value"]:
-                try:
-                    doc = load_yaml(text)
-                    fitted = _fit(doc, schema) if isinstance(doc, dict) else None
-                    if fitted is not None and flag in fitted:
-                        fitted[flag] = isinstance(doc.get("paleoenvironment"), list)
-                    extra = {k: v for k, v in doc.items() if k not in schema.names} if isinstance(doc, dict) else {}
-                    rows.append((json.dumps(fitted), json.dumps(extra, default=str), None))
-                except Exception as e:  # a file that can't be decoded is a row of its own
-                    rows.append((None, None, str(e)))
+            rows = [(None if x is None else json.dumps(x), y, z) for x, y, z in (decoded(text, schema) for text in frame["value"])]
             out = pd.DataFrame(rows, columns=["_json", "_extra", "_error"])
             yield pd.concat([frame[["_path"]].reset_index(drop=True), out], axis=1)
 
     return run
 
 
-_ADDED = "_extra string, _file string, _stem string, _folder string, _error string"
+ADDED = "_extra string, _file string, _stem string, _folder string, _error string"
 
 
 def decode_documents(texts: DataFrame, schema: str, root: str = "", *, mode: str = "PERMISSIVE") -> DataFrame:
@@ -130,7 +138,7 @@ def read_documents(spark: SparkSession, folder: str, schema: str, *, mode: str =
     """``decode_documents`` of each .yml or .yaml file below ``folder``; a missing folder gives no rows."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        return spark.createDataFrame([], T.StructType([*T._parse_datatype_string(schema).fields, *T._parse_datatype_string(_ADDED).fields]))
+        return spark.createDataFrame([], T.StructType([*T._parse_datatype_string(schema).fields, *T._parse_datatype_string(ADDED).fields]))
     files = spark.read.text(folder, wholetext=True, recursiveFileLookup=recursive, pathGlobFilter="*.{yml,yaml}")
     return decode_documents(files.select("value", F.col("_metadata.file_path").alias("_path")), schema, folder.removeprefix("file://"), mode=mode)
 
