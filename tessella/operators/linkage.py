@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.semantics import present
+from ..scratch import written
 
 
 def first_match(text: Column, terms: Sequence[tuple[str, str]]) -> Column:
@@ -21,10 +24,81 @@ def first_match(text: Column, terms: Sequence[tuple[str, str]]) -> Column:
     return F.get(F.filter(pairs, lambda p: F.contains(low, p["t"])), F.lit(0))["v"] if terms else F.lit(None).cast("string")
 
 
-def first_match_join(df: DataFrame, text: str, terms: DataFrame, name: str) -> DataFrame:
-    """The same for a dictionary in a table ``term, value, pos`` that is too long for a plan, keyed by ``_row``."""
-    hits = df.join(terms, F.contains(F.lower(F.col(text)), F.lower(F.col("term")))).groupBy("_row").agg(F.min_by("value", "pos").alias(name))
-    return df.join(hits, "_row", "left")
+TERM_BYTES = 64 << 20  # of terms and values that one automaton holds
+
+_automata: dict[str, tuple] = {}  # the last automaton of this worker, which serves all its tasks
+
+
+def _automaton(name: str, entries: list[tuple]) -> tuple:
+    """An automaton over ``term, pos, value``, what an empty term gives, and the least place of all."""
+    if name not in _automata:
+        import ahocorasick
+
+        tree, empty = ahocorasick.Automaton(), None
+        for term, pos, value in entries:
+            if term:
+                tree.add_word(term, (pos, value))
+            else:
+                empty = (pos, value)
+        if len(tree):
+            tree.make_automaton()
+        _automata.clear()
+        _automata[name] = tree, empty, min(e[1] for e in entries)
+    return _automata[name]
+
+
+def _found(tree, text: str, empty: tuple | None, least: int) -> tuple | None:
+    best = empty
+    if len(tree):
+        for _, hit in tree.iter(text):
+            if best is None or hit < best:
+                best = hit
+                if best[0] == least and (empty is None or best <= empty):
+                    break
+    return best
+
+
+def _matched(name: str, shared):
+    """Rows whose last three columns are the lowered text and the ``pos, value`` found so far."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tree, empty, least = _automaton(name, shared.value)
+            at = batch.num_columns - 3
+            pos, value = [], []
+            for text, p, v in zip(*(batch.column(at + k).to_pylist() for k in range(3)), strict=True):
+                hit = None if text is None else _found(tree, text, empty, least)
+                if hit is not None and (p is None or hit < (p, v)):
+                    p, v = hit
+                pos.append(p)
+                value.append(v)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: at + 1], pa.array(pos, pa.int64()), pa.array(value, pa.string())], schema=batch.schema)
+
+    return run
+
+
+def first_match_join(df: DataFrame, text: str, terms: DataFrame, name: str, *, most_bytes: int = TERM_BYTES) -> DataFrame:
+    """``df`` with ``name``: the value of the first term (of ``term, value, pos``, by ``pos``, then value)
+    that the text holds, upper or lower case; null where it holds none, or is null.
+
+    The terms become an automaton that reads each text once, whatever their number, in batches of
+    the scan's own stage; no text is paired with a term. Terms of over ``most_bytes`` in all are
+    dealt to several automata, so what is broadcast is bounded, and texts pass them in turn. An empty
+    term is in every text; null terms are in none; of equal terms the first counts.
+    """
+    spark = df.sparkSession
+    low = terms.where("term IS NOT NULL").groupBy(F.lower("term").alias("term")).agg(F.min(F.struct(F.col("pos").cast("long").alias("pos"), F.col("value").cast("string").alias("value"))).alias("m"))
+    low = low.select("term", "m.pos", "m.value")
+    size = low.agg(F.sum(F.octet_length("term") + F.coalesce(F.octet_length("value"), F.lit(0)) + 16)).first()[0]
+    out = df.withColumns({"_low": F.lower(F.col(text)), "_pos": F.lit(None).cast("long"), name: F.lit(None).cast("string")})
+    shards = -(-(size or 0) // most_bytes)
+    for k in range(shards):
+        entries = [tuple(r) for r in low.where(F.pmod(F.xxhash64("term"), F.lit(shards)) == k).collect()]
+        if entries:
+            shared = spark.sparkContext.broadcast(entries)
+            out = out.mapInArrow(_matched(uuid.uuid4().hex, shared), out.schema)
+            out = written(out, "matches") if k + 1 < shards else out  # one automaton at a time in a worker
+    return out.drop("_low", "_pos")
 
 
 def match_name(df: DataFrame, column: str, names: DataFrame, name: str = "matched") -> DataFrame:

@@ -258,7 +258,7 @@ def substring_first_match(spark, d):
 
 @query("""SELECT c_custkey, first(n_name ORDER BY n_nationkey) AS n_name FROM customer LEFT JOIN nation ON contains(lower(c_name || ' ' || c_mktsegment), lower(left(n_name, 2))) GROUP BY c_custkey""")
 def substring_join(spark, d):
-    c = table(spark, d, "customer").select("c_custkey", F.concat_ws(" ", "c_name", "c_mktsegment").alias("text"), F.col("c_custkey").alias("_row"))
+    c = table(spark, d, "customer").select("c_custkey", F.concat_ws(" ", "c_name", "c_mktsegment").alias("text"))
     terms = table(spark, d, "nation").select(F.left("n_name", F.lit(2)).alias("term"), F.col("n_name").alias("value"), F.col("n_nationkey").alias("pos"))
     return linkage.first_match_join(c, "text", terms, "n_name").select("c_custkey", "n_name")
 
