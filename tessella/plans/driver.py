@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from ..functions import semantics as S
 from ..functions import text as T
+from ..functions import variants as V
 from ..operators import forms, hierarchy, linkage, rules
-from ..sinks import exports
+from ..scratch import fresh_path
+from ..sinks import exports, ordered
 from ..sources import candidates, documents
-from . import taxonomy
+from . import captured, taxonomy
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -339,6 +341,50 @@ def entity_fields(spark, d):
     return candidates.entity_fields(part.select(key.alias("subject"), F.concat(F.lit("Q"), key).alias("qid"), claims.alias("claims")), labels)
 
 
+@query(captured.FOUND_SQL)
+def captured_candidates(spark, d):
+    return captured.found(spark, d)
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 8 WHEN 0 THEN 'number' WHEN 1 THEN 'string' WHEN 2 THEN 'boolean' WHEN 3 THEN 'list' WHEN 4 THEN 'object' WHEN 5 THEN 'null' WHEN 6 THEN 'number' END AS kind,
+CASE o_orderkey % 8 WHEN 0 THEN o_orderkey::VARCHAR WHEN 1 THEN o_orderstatus WHEN 2 THEN 'true' WHEN 3 THEN o_orderkey || ',' || o_orderstatus WHEN 4 THEN '[object Object]' WHEN 6 THEN '2.5' END AS shown FROM orders""")
+def variant_kinds(spark, d):
+    k = F.col("o_orderkey").cast("string")
+    quoted = F.concat(F.lit('"'), "o_orderstatus", F.lit('"'))
+    texts = [F.concat(k, F.lit(".0")), quoted, F.lit("true"), F.concat(F.lit("["), k, F.lit(","), quoted, F.lit("]")), F.lit('{"a": 1}'), F.lit("null"), F.lit("2.5")]
+    value = F.concat(F.lit('{"v": '), F.get(F.array(*texts), (F.col("o_orderkey") % 8).cast("int")), F.lit("}"))
+    v = V.at(F.parse_json(F.coalesce(value, F.lit("{}"))), "$.v")
+    return table(spark, d, "orders").select("o_orderkey", V.kind(v).alias("kind"), V.shown(v).alias("shown"))
+
+
+@query("""SELECT 'customers' AS kind, 'C' || c_custkey AS key, c_name AS name, c_nationkey::BIGINT AS nation FROM customer UNION ALL SELECT 'suppliers', 'S' || s_suppkey, s_name, s_nationkey FROM supplier""")
+def document_written(spark, d):
+    """Two tables as one document of JSON, written by many tasks, put together and read again."""
+    def rows(name: str, section: int, kind: str, p: str) -> DataFrame:
+        record = F.to_json(F.struct(F.col(f"{p}_name").alias("name"), F.col(f"{p}_nationkey").alias("nation")))
+        key = "c_custkey" if p == "c" else "s_suppkey"
+        return table(spark, d, name).select(F.lit(section).alias("section"), F.concat(F.lit(kind), F.col(key).cast("string")).alias("key"), record.alias("value"))
+
+    path = fresh_path(spark, "document")
+    sections = ("customers", "suppliers")
+    ordered.write_document(rows("customer", 0, "C", "c").unionByName(rows("supplier", 1, "S", "s")), f"{path}/parts", exports._json_sections(sections, ""))
+    ordered.assemble(spark, f"{path}/parts", f"{path}/whole.json")
+    kept = "map<string, struct<name: string, nation: bigint>>"
+    whole = spark.read.schema(", ".join(f"{s} {kept}" for s in sections)).json(f"{path}/whole.json", multiLine=True)
+    each = [whole.select(F.lit(s).alias("kind"), F.explode(s).alias("key", "r")) for s in sections]
+    return each[0].unionByName(each[1]).select("kind", "key", "r.name", "r.nation")
+
+
+@query("""WITH t AS (SELECT DISTINCT word, -length(word) AS pos FROM (SELECT unnest(string_split(text, ' ')) AS word FROM benchmark) WHERE length(word) > 5),
+d AS (SELECT doc_id, lower(text) AS low FROM documents)
+SELECT doc_id, first(word ORDER BY pos, word) FILTER (word IS NOT NULL) AS term FROM d LEFT JOIN t ON contains(low, lower(word)) GROUP BY doc_id""")
+def dictionary_match(spark, d):
+    """The longest word of the benchmark that a document holds."""
+    words = table(spark, d, "benchmark").select(F.explode(F.split("text", " ")).alias("term")).where("length(term) > 5").distinct()
+    terms = words.select("term", F.col("term").alias("value"), (-F.length("term")).alias("pos"))
+    return linkage.first_match_join(table(spark, d, "documents").select("doc_id", "text"), "text", terms, "term").select("doc_id", "term")
+
+
 @query("""SELECT (SELECT count(DISTINCT c_custkey) FROM customer) AS genus_count, (SELECT count(DISTINCT p_type) FROM part) AS clade_count, 'us' AS attribution,
 '2025-03-01T00:00:00.000Z' AS built_at, 'CC-BY-4.0' AS license, '1.0.0' AS schema_version, '2025.03' AS version""")
 def metadata_counts(spark, d):

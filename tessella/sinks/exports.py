@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.semantics import present
 from ..functions.text import surnames
-from ..operators import hierarchy
+from ..operators import hierarchy, rules
 from ..operators.linkage import first_wins
+from . import ordered
+from .ordered import plain as _plain
+from .ordered import yaml_text as to_yaml
 
 # --- tree ---------------------------------------------------------------------
 
@@ -55,6 +59,13 @@ def bibliography(genera: DataFrame, clades: DataFrame) -> DataFrame:
     return distinct_references(genera, clades).orderBy("src", "_file", "pos").select(bibtex_entry().alias("value"))
 
 
+def write_bibliography(genera: DataFrame, clades: DataFrame, path: str, header: Sequence[str] = ()) -> None:
+    """The bibliography as one document, behind lines of comment."""
+    top = "".join(f"% {line}\n" for line in header) + ("\n" if header else "")
+    rows = distinct_references(genera, clades).select("src", "_file", "pos", bibtex_entry().alias("value"))
+    write_lines(rows, path, ("src", "_file", "pos"), top)
+
+
 # --- words --------------------------------------------------------------------
 
 # Terms that the word list always holds.
@@ -173,18 +184,26 @@ def word_list(genera: DataFrame, clades: DataFrame, edges: DataFrame, stages: Da
     return every.where(present(F.col("word"))).distinct().orderBy(F.collate("word", "UNICODE"), "word")
 
 
+def write_word_list(words: DataFrame, path: str, header: Sequence[str] = ()) -> None:
+    """A word list (``word``) as one document in the language's order, behind lines of comment."""
+    rows = words.select("word", F.collate("word", "UNICODE").alias("at"), F.concat("word", F.lit("\n")).alias("value"))
+    write_lines(rows, path, ("at", "word"), "".join(f"# {line}\n" for line in header))
+
+
 # --- lookup lists and the whole -----------------------------------------------
 
 # The lists of the lookup file, in order.
 LISTS = ("status", "diet", "locomotion", "completeness", "integument", "integument_evidence", "paleoenvironments", "periods", "identifier_sources")
 
 
-def lookup_lists(schema: dict, edges: DataFrame) -> dict:
-    """Sorted lists, countries by code, stages as they are, and the tree's clades: a schema's size."""
+def lookup_lists(schema: dict, edges: DataFrame | None = None) -> dict:
+    """Sorted lists, countries by code and stages as they are: a schema's size. With ``edges`` the tree's
+    names too, for a tree as small as a schema; ``write_lookups`` writes those of any tree."""
     out: dict = {k: sorted(schema[k]) for k in LISTS if isinstance(schema.get(k), list)}
     out["countries"] = dict(sorted((schema.get("countries") or {}).items()))
     out["stages"] = schema.get("stages")
-    out["clades"] = sorted(r.node for r in hierarchy.all_paths(edges).select("node").toLocalIterator())
+    if edges is not None:
+        out["clades"] = sorted(r.node for r in hierarchy.places(edges).select("node").toLocalIterator())
     return out
 
 
@@ -199,14 +218,6 @@ def metadata(genera: DataFrame, clades: DataFrame, built: dt.datetime, attributi
     )
 
 
-def _plain(x):
-    if isinstance(x, dict):
-        return {k: _plain(v) for k, v in x.items() if v is not None}
-    if isinstance(x, list):
-        return [_plain(v) for v in x]
-    return int(x) if isinstance(x, float) and x.is_integer() else x
-
-
 def _placed(genera: DataFrame, clades: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     from ..sources.documents import keyed_last
 
@@ -247,14 +258,61 @@ def to_json(data: dict) -> str:
     return json.dumps(data, indent=2, ensure_ascii=False) + "\n"
 
 
-def to_yaml(data: dict) -> str:
-    import yaml
+# --- whole documents ------------------------------------------------------------
+
+
+def _json_sections(names: Sequence[str], header: str, item: bool = False) -> ordered.Layout:
+    """A document of JSON whose members after the header are objects (or lists) by these names."""
+    begin, end = ("[", "]") if item else ("{", "}")
+    sections = tuple(ordered.Section(f'  "{n}": {begin}\n', f"\n  {end}", ",\n", f'  "{n}": {begin}{end}') for n in names)
+    return ordered.Layout(sections, "{\n" + header, "\n}\n", ",\n", "item" if item else "json")
+
+
+def _members(data: dict) -> str:
+    """The lines of some members of a document of JSON, with a comma after each."""
+    text = json.dumps(data, indent=2, ensure_ascii=False)
+    return text[2:-2] + ",\n" if data else ""
+
+
+def _dataset_rows(genera: DataFrame, clades: DataFrame, edges: DataFrame) -> DataFrame:
+    g, c = _placed(genera, clades, edges)
+    section = F.when(F.col("kind") == "clade", 0).otherwise(1).alias("section")
+    both = _lines(c, "clade").withColumn("kind", F.lit("clade")).unionByName(_lines(g, "genus").withColumn("kind", F.lit("genus")))
+    return both.select(section, "key", "value")
+
+
+def write_dataset(genera: DataFrame, clades: DataFrame, tree: dict, built: dt.datetime, attribution: str, path: str, form: str = "json") -> None:
+    """The whole data set as one document, JSON or YAML: metadata, tree, and all records by name with
+    their paths. Records are written by the tasks that have them; the driver gives the header alone,
+    whose tree it is given."""
+    edges = hierarchy.edge_frame(genera.sparkSession, tree)
+    header = {"_metadata": metadata(genera, clades, built, attribution).first().asDict(), "tree": tree}
+    if form == "json":
+        layout = _json_sections(("clades", "genera"), _members(header))
+    else:
+        sections = tuple(ordered.Section(f"{n}:\n", empty=f"{n}: {{}}\n") for n in ("clades", "genera"))
+        layout = ordered.Layout(sections, to_yaml(header), form="yaml", indent=2)
+    ordered.write_document(_dataset_rows(genera, clades, edges), path, layout)
+
+
+def write_lookups(schema: dict, edges: DataFrame, path: str) -> None:
+    """The lookup file as one document: the schema's lists, then the tree's names in order, a list of any length."""
+    names = hierarchy.places(edges).select(F.lit(0).alias("section"), F.col("node").alias("key"), F.to_json(F.struct("node")).alias("j"))
+    rows = names.select("section", "key", F.expr("substr(j, 9, length(j) - 9)").alias("value"))
+    ordered.write_document(rows, path, _json_sections(("clades",), _members(lookup_lists(schema)), item=True))
+
+
+def write_lines(rows: DataFrame, path: str, order: Sequence[str], header: str = "") -> None:
+    """``value`` of each row below a header, in order: bibliographies, word lists and reports of any length."""
+    lines = rows.select(F.lit(0).alias("section"), F.lit("").alias("key"), "value", *[c for c in order if c != "value"])
+    ordered.write_document(lines, path, ordered.Layout(header=header), order)
 
-    class Dumper(yaml.SafeDumper):
-        def ignore_aliases(self, _):
-            return True
 
-    return yaml.dump(data, Dumper=Dumper, width=float("inf"), sort_keys=False, allow_unicode=True)
+def write_report(findings: DataFrame, checks: Sequence[str], path: str) -> int:
+    """The report of ``rules.report_lines`` as one document, and the exit code: 1 if there is an error."""
+    lines = rules.report_lines(findings, checks).select("pos", F.concat("line", F.lit("\n")).alias("value"))
+    write_lines(lines, path, ("pos", "value"))
+    return int(not findings.where(F.col("severity") == rules.ERROR).isEmpty())
 
 
 def write_text(df: DataFrame, path: str) -> None:

@@ -90,6 +90,8 @@ def test_two_keys_of_an_existing_name(spark):
     got = {r.s: r.problem for r in forms.new_name(new.where("g IS NOT NULL"), "s", old, "edit", {"g": "genus"}).collect()}
     assert got == {"Fragilis": '"fragilis" already exists under Allo — use the edit flow instead', "atrox": None}
     assert forms.new_name(new, "s", old, "edit").where("problem LIKE '%in the dataset%'").count() == 2
+    twice = spark.createDataFrame([("allo", "fragilis"), ("ALLO", "Fragilis")], "genus string, name string")
+    assert [r.problem[:10] for r in forms.new_name(new.where("s = 'Fragilis'"), "s", twice, "edit").collect()] == ['"Fragilis"']
 
 
 def test_required_before_format_and_hidden_fields(spark):

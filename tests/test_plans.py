@@ -8,7 +8,7 @@ import pytest
 from tessella.plans import driver
 
 DATA = "/root/testdata/sf0.001"
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "labels", "conversations")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "benchmark", "pages", "labels", "conversations")
 EMPTY_HERE: set[str] = set()
 
 
