@@ -151,20 +151,23 @@ def parse(text: Words, at: np.ndarray, ref: Reference) -> tuple[list[tuple[int,
     belongs to the first seed of smallest hash in it. If the factor through that seed doesn't
     hold the window, it crosses the factor's boundary, and no occurrence of the window anywhere
     is in the reference at this place: such windows are returned. Long factors are compared byte
-    by byte, or word by word where the space between words differs.
+    by byte, or word by word where the space between words differs, and cut at the first difference.
     """
     place = ref.place[np.searchsorted(ref.value, text.grams[at])]
     first, last = text.edge[text.row[at]], text.edge[text.row[at] + 1]
     sums = text.sums()
     low = at - _common(sums, at, ref.total, place, np.minimum(at - first, place - ref.edge[ref.row[place]]), True)
     high = at + _common(sums, at, ref.total, place, np.minimum(last - at, ref.edge[ref.row[place] + 1] - place), False)
+    shift, apart = place - at, {}
+    for s in np.flatnonzero(high - low >= ref.window).tolist():
+        i, j, q = int(low[s]), int(high[s]), int(low[s] + shift[s])
+        if (i, j, q) not in apart:
+            same = text.stretch(i, j) == ref.stretch(q, q + j - i)
+            apart[i, j, q] = [] if same else [i + k for k in range(j - i) if text.stretch(i + k, i + k + 1) != ref.stretch(q + k, q + k + 1)]
+        if apart[i, j, q]:  # different stretches of equal sums: cut at the first difference on either side
+            low[s], high[s] = max((k + 1 for k in apart[i, j, q] if k < at[s]), default=i), min((k for k in apart[i, j, q] if k >= at[s]), default=j)
     long = high - low >= ref.window
-    factors = []
-    for i, j, q in set(zip(low[long].tolist(), high[long].tolist(), (place - at + low)[long].tolist(), strict=True)):
-        x, y = text.stretch(i, j), ref.stretch(q, q + j - i)
-        if x != y and x.split() != y.split():
-            raise ArithmeticError("two different stretches of words have the same hash")
-        factors.append((i, j - i, q))
+    factors = [(i, j - i, q) for i, j, q in set(zip(low[long].tolist(), high[long].tolist(), (shift + low)[long].tolist(), strict=True))]
     reach = ref.window - ref.seed + 1
     start = at[:, None] + np.arange(1 - reach, 1)
     inside = (start >= first[:, None]) & (start + ref.window <= last[:, None])

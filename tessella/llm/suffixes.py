@@ -160,6 +160,7 @@ def compare(text: Bytes, at: np.ndarray, ref: Reference, length: int) -> tuple[l
     texts have in common with the reference through the seeds at ``at``, and the strings to check
     elsewhere.
 
+    Stretches are found by sums and then compared byte by byte, and cut where sums were equal by accident.
     A string belongs to the first seed of smallest hash in it. If the stretch through that seed
     doesn't hold the string, no occurrence of it anywhere is in the reference at this place.
     """
@@ -171,12 +172,16 @@ def compare(text: Bytes, at: np.ndarray, ref: Reference, length: int) -> tuple[l
     first, last = text.edge[row], text.edge[row + 1]
     low = at - common(text, at, ref, place, np.minimum(at - first, place - ref.edge[ref_row]), True)
     high = at + common(text, at, ref, place, np.minimum(last - at, ref.edge[ref_row + 1] - place), False)
+    shift, same = place - at, {}
+    for s in np.flatnonzero(high - low >= length).tolist():
+        i, j, q = int(low[s]), int(high[s]), int(low[s] + shift[s])
+        if (i, j, q) not in same:
+            same[i, j, q] = np.array_equal(text.raw[i:j], ref.raw[q : q + j - i])
+        if not same[i, j, q]:  # different stretches of equal sums: cut at the first difference on either side
+            apart = np.flatnonzero(text.raw[i:j] != ref.raw[q : q + j - i]) + i
+            low[s], high[s] = max(apart[apart < at[s]], default=i - 1) + 1, min(apart[apart >= at[s]], default=j)
     long = high - low >= length
-    found = []
-    for i, j, q in set(zip(low[long].tolist(), high[long].tolist(), (place - at + low)[long].tolist(), strict=True)):
-        if not np.array_equal(text.raw[i:j], ref.raw[q : q + j - i]):
-            raise ArithmeticError("two different stretches have the same hash")
-        found.append((i, j - i, q))
+    found = [(i, j - i, q) for i, j, q in set(zip(low[long].tolist(), high[long].tolist(), (shift + low)[long].tolist(), strict=True))]
     start = at[:, None] + np.arange(1 - reach, 1)
     inside = (start >= first[:, None]) & (start + length <= last[:, None])
     inside &= (start < low[:, None]) | (start + length > high[:, None])

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -206,3 +207,49 @@ def test_hot_seeds_and_windows_combine_before_the_shuffle(spark, monkeypatch):
     assert {tuple(f) for r in got if r.doc_id for f in r.rlz_factors} == {(0, 20, 0, 0)}
     assert not [p for p in plans if "Window" in p]
     assert sum("partial_min(doc_id" in p and "partial_max(doc_id" in p for p in plans) == 2  # seeds, windows
+
+
+def thue_morse(a, b, n=10):
+    x, y = [a], [b]
+    for _ in range(n):
+        x, y = x + y, y + x
+    return x, y
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_strings_whose_sums_are_equal_by_accident(spark, seed):
+    """A shared passage, then a sequence and its complement, of equal sums modulo a power of two."""
+    r = random.Random(seed)
+    passages = []
+    for _ in range(6):  # each ends 1024 letters behind a seed, so that the search for a stretch's end probes that of the sequence
+        base = "".join(r.choice("abcdefgh ") for _ in range(3000))
+        _, at = suffixes.chosen(np.frombuffer(base.encode(), np.uint8), 400)
+        passages.append(base[: int(at[(at > 800) & (at < 1500)][0]) + 1024])
+    x, y = ("".join(t) for t in thue_morse("a", "b"))
+    texts = [t for p in passages for t in (p + x, p + y, x + p + "z", y + p + "y")]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = list(cut_by_hand(texts, 400))
+    for row in suffixes.cut_repeats(rows).collect():
+        assert (row.sa_bytes, [tuple(s) for s in row.sa_spans], bytes(row.sa_kept)) == want[row.doc_id]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_words_whose_sums_are_equal_by_accident(spark, seed):
+    r = random.Random(seed)
+    passages = []
+    for _ in range(6):
+        base = [r.choice("abcdefgh") + str(r.randint(0, 99)) for _ in range(1300)]
+        grams = rlz.Words([np.frombuffer(" ".join(base).encode(), np.uint8)], 8)
+        at = rlz.minimizers(grams.grams, grams.row, 6)
+        passages.append(base[: int(at[(at > 50) & (at < 200)][0]) + 1024])
+    x, y = thue_morse("a", "b")
+    split = [t for p in passages for t in (p + x, p + y, x + p + ["z"], y + p + ["y"])]
+    first = {}
+    for i, w in enumerate(split):
+        for j in range(len(w) - 12):
+            first.setdefault(tuple(w[j : j + 13]), i)
+    rows = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(split)], "doc_id long, text string")
+    for row in rlz.substring_dedup(rows).collect():
+        w = split[row.doc_id]
+        gone = {k for j in range(len(w) - 12) if first[tuple(w[j : j + 13])] < row.doc_id for k in range(j, j + 13)}
+        assert row.rlz_removed == len(gone) and row.rlz_kept == " ".join(v for k, v in enumerate(w) if k not in gone)
