@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import refuse_names, staged
+from .common import discard, refuse_names, staged
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -68,7 +68,8 @@ def mix_sources(
     rank) first, and only the bucket that holds the cut is ordered, 1 / ``buckets`` of a source.
 
     Null ids rank like the text "null"; null texts have size 0; a null source is a source of its
-    own. Rows equal in id and text rank alike and are taken or left together. Empty tables give
+    own. Rows equal in id and text rank alike; where the cut falls among them, as many as fit are
+    taken, whichever these are. Empty tables give
     empty results; other columns pass through, and the added columns carry the prefix ``mix_``: one of
     an added name raises ``ValueError``.
     """
@@ -102,14 +103,24 @@ def mix_sources(
         .agg(F.min(F.struct("bucket", (F.col("upto") - F.col("words")).alias("below"))).alias("c"))
         .select("c_source", F.col("c.bucket").alias("c_bucket"), F.col("c.below").alias("below"))
     )
-    order = Window.partitionBy("source").orderBy("q", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     edge = ranked.join(cut_bucket, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("bucket") == F.col("c_bucket")))
-    edge = edge.withColumn("upto", F.col("below") + F.sum("size").over(order))
+    equal = edge.groupBy("source", "need", "below", "q", "tie", "size").agg(F.count("*").alias("rows"))
+    earlier = Window.partitionBy("source").orderBy("q", "tie").rowsBetween(Window.unboundedPreceding, -1)
+    equal = equal.withColumn("start", F.col("below") + F.coalesce(F.sum(F.col("rows") * F.col("size")).over(earlier), F.lit(0)))
+
+    def fits(k: Column) -> Column:
+        return (F.col("start") + k * F.col("size") - F.col("size") / 2 <= F.col("need")) & (k <= F.col("rows"))
+
+    guess = F.least(F.greatest(F.floor((F.col("need") - F.col("start")) / F.col("size") + 0.5), F.lit(0)), F.col("rows"))
+    k = F.when(F.col("size") == 0, F.when(F.col("start") <= F.col("need"), F.col("rows")).otherwise(0)).otherwise(
+        F.when(fits(guess + 1), guess + 1).when((guess == 0) | fits(guess), guess).otherwise(guess - 1)
+    )
     last = (
-        edge.where(F.col("upto") - F.col("size") / 2 <= F.col("need"))
+        equal.withColumn("k", k)
+        .where("k > 0")
         .groupBy("source")
-        .agg(F.max(F.struct("q", "tie")).alias("last"))
-        .select(F.col("source").alias("l_source"), F.col("last.q").alias("last_q"), F.col("last.tie").alias("last_tie"))
+        .agg(F.max(F.struct("q", "tie", "k", "rows")).alias("last"))
+        .select(F.col("source").alias("l_source"), F.col("last.q").alias("last_q"), F.col("last.tie").alias("last_tie"), F.col("last.k").alias("last_k"), F.col("last.rows").alias("last_rows"))
     )
     plan = (
         due.join(cut_bucket, F.col("source").eqNullSafe(F.col("c_source")), "left")
@@ -123,22 +134,46 @@ def mix_sources(
             F.col("c_bucket").alias("_m_bucket"),
             F.col("last_q").alias("_m_q"),
             F.col("last_tie").alias("_m_tie"),
+            F.col("last_k").alias("_m_k"),
+            F.col("last_rows").alias("_m_rows"),
         )
     )
     plan = staged(plan, "mix-plan")
+    discard(small, targets)
     q = _rank(_uniform(id_col, seed), F.col("_m_p"))
     bucket = F.floor(q / (1 + q) * buckets)
-    within = F.col("_m_q").isNotNull() & ((q < F.col("_m_q")) | ((q == F.col("_m_q")) & (_tie(id_col, text_col) <= F.col("_m_tie"))))
+    tie = _tie(id_col, text_col)
+    within = F.col("_m_q").isNotNull() & ((q < F.col("_m_q")) | ((q == F.col("_m_q")) & (tie <= F.col("_m_tie"))))
     extra = F.when(
         (F.col("_m_p") > 0) & (F.col("_m_bucket").isNull() | (bucket < F.col("_m_bucket")) | ((bucket == F.col("_m_bucket")) & within)), 1
     ).otherwise(0)
-    return docs.join(plan, spark_src.eqNullSafe(F.col("_m_source"))).select(
-        *[docs[f"`{c}`"] for c in docs.columns],
-        n_words(F.col(f"`{text_col}`")).alias("mix_size"),
-        "mix_source_size",
-        "mix_target",
-        (F.col("_m_base") + extra).cast("int").alias("mix_copies"),
-    )
+    due_docs = docs.join(plan, spark_src.eqNullSafe(F.col("_m_source")))
+
+    def out(df: DataFrame, more: Column) -> DataFrame:
+        return df.select(
+            *[F.col(f"`{c}`") for c in docs.columns],
+            n_words(F.col(f"`{text_col}`")).alias("mix_size"),
+            "mix_source_size",
+            "mix_target",
+            (F.col("_m_base") + more).cast("int").alias("mix_copies"),
+        )
+
+    if plan.where("_m_k < _m_rows").isEmpty():
+        return out(due_docs, extra)
+    at_cut = F.coalesce((F.col("_m_k") < F.col("_m_rows")) & (F.col("_m_p") > 0) & (q == F.col("_m_q")) & (tie == F.col("_m_tie")), F.lit(False))
+    return out(due_docs.where(~at_cut), extra).unionByName(out(_numbered(due_docs.where(at_cut)), F.when(F.col("_m_no") <= F.col("_m_k"), 1).otherwise(0)))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Equal rows of a source with their number ``_m_no``: counted by partition first, so that many of
+    them are numbered in many tasks."""
+    kept = staged(rows.withColumn("_m_part", F.spark_partition_id()), "mix-equal")
+    per = kept.groupBy("_m_source", "_m_part").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("_m_source").orderBy("_m_part").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(F.col("_m_source").alias("_p_source"), F.col("_m_part").alias("_p_part"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_m_before"))
+    own = F.row_number().over(Window.partitionBy("_m_source", "_m_part").orderBy(F.lit(0)))
+    numbered = kept.withColumn("_m_own", own).join(per, F.col("_m_source").eqNullSafe(F.col("_p_source")) & (F.col("_m_part") == F.col("_p_part")))
+    return numbered.withColumn("_m_no", F.col("_m_own") + F.col("_m_before"))
 
 
 def _uniform(id_col: str, seed: str) -> Column:

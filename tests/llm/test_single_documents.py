@@ -3,8 +3,11 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
+import duckdb
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -145,6 +148,21 @@ def test_quality_of_odd_texts_and_without_labels(spark):
     assert (out.quality_score[out.text.isna()] == 0).all()
 
 
+@pytest.mark.parametrize("times", [1, 50, 400])
+def test_mixing_takes_as_many_of_equal_rows_as_fit(spark, times):
+    """Four documents in many equal rows each, beside sources that leave them a target of their own."""
+    rows = [(i, f"a b c d e{i}", "t") for i in range(4)] * times + [(100 + i, " ".join(f"w{j}" for j in range(7)), "u") for i in range(times)] + [(None, "x y z", None)] * (3 * times)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    got = mixing.mix_sources(df).toPandas()
+    assert len(got) == len(rows)
+    for _, g in got.groupby("source", dropna=False):
+        assert abs((g.mix_copies * g.mix_size).sum() - g.mix_target.iloc[0]) <= g.mix_size.max() / 2
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text", "source"]).astype({"doc_id": "Int64"}))
+    want = Counter((str(r[0]), r[1], r[4]) for r in con.sql(mixing.OP7_SQL).fetchall())
+    assert Counter(("None" if pd.isna(r.doc_id) else str(int(r.doc_id)), r.mix_size, r.mix_copies * r.mix_size) for r in got.itertuples()) == want
+
+
 def test_mixing_meets_targets(spark):
     r = random.Random(3)
     rows = [(i, " ".join(["w"] * r.randint(0, 40)), r.choice(["a", "b", "c", "d", None])) for i in range(800)]
