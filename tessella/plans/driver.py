@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import semantics as S
 from ..functions import text as T
 from ..functions import variants as V
-from ..operators import forms, hierarchy, linkage, rules
+from ..operators import forms, hierarchy, linkage, rules, search
 from ..scratch import fresh_path
 from ..sinks import exports, ordered
 from ..sources import candidates, documents
@@ -252,6 +252,16 @@ def search_top50(spark, d):
     return documents.search_names(table(spark, d, "part").select("p_partkey", "p_name"), "p_name", "Ring", "p_partkey")
 
 
+@query("""SELECT * FROM (SELECT 'ring' AS text, p_partkey AS key, p_name AS name FROM part WHERE contains(lower(p_name), 'ring') ORDER BY p_partkey LIMIT 50)
+UNION ALL SELECT * FROM (SELECT 'ME', p_partkey, p_name FROM part WHERE contains(lower(p_name), 'me') ORDER BY p_partkey LIMIT 50) UNION ALL SELECT * FROM (SELECT 'spring r', p_partkey, p_name FROM part WHERE contains(lower(p_name), 'spring r') ORDER BY p_partkey LIMIT 50)""")
+def search_indexed(spark, d):
+    """Three searches in one table of grams."""
+    path = fresh_path(spark, "grams")
+    search.build_index(table(spark, d, "part"), "p_name", "p_partkey", path)
+    hits = [search.search(spark, path, text).select(F.lit(text).alias("text"), "key", "name") for text in ("ring", "ME", "spring r")]
+    return hits[0].unionByName(hits[1]).unionByName(hits[2])
+
+
 @query("""SELECT doc_id, CASE WHEN contains(lower(text), 'thing') THEN 'thing' WHEN contains(lower(text), 'tion') THEN 'tion' WHEN contains(lower(text), 'der ') THEN 'der' END AS term FROM documents""")
 def substring_first_match(spark, d):
     terms = [("thing", "thing"), ("tion", "tion"), ("der ", "der")]
