@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import semantics as S
 from ..functions import text as T
 from ..functions import variants as V
-from ..operators import forms, hierarchy, linkage, rules, search
+from ..operators import flows, forms, hierarchy, linkage, rules, search
 from ..scratch import fresh_path
 from ..sinks import exports, ordered
 from ..sources import candidates, documents
@@ -457,6 +457,40 @@ def preview_numbers(spark, d):
     return table(spark, d, "part").select("p_partkey", S.preview(F.col("p_name"), 6).alias("preview"), S.number_text(F.col("p_retailprice")).alias("price"))
 
 
+FORM = {
+    "label": "Customer",
+    "steps": [
+        {"name": "who", "fields": [{"header": "Segment", "type": "select", "required": True, "optionsKey": "segments"}, {"header": "Nation", "type": "number", "validate": "positiveNumber"}]},
+        {"name": "what", "fields": [
+            {"header": "Balance", "type": "text", "validate": "positiveNumber", "showWhen": {"field": "Segment", "value": "BUILDING"}},
+            {"header": "Note", "type": "textarea", "required": True, "showWhen": {"field": "Segment", "notEmpty": True, "notValue": "MACHINERY"}},
+            {"header": "Marks", "type": "checkboxes", "required": True, "optionsKey": "marks"},
+        ]},
+    ],
+}
+
+
+@query("""WITH c AS (SELECT c_custkey, c_nationkey, c_acctbal, CASE WHEN c_custkey % 11 = 0 THEN '' ELSE c_mktsegment END AS seg FROM customer), p AS (
+SELECT c_custkey, 'Segment' AS header, 'This field is required' AS message FROM c WHERE seg = '' UNION ALL SELECT c_custkey, 'Nation', 'Must be a positive number' FROM c WHERE c_nationkey = 0
+UNION ALL SELECT c_custkey, 'Balance', 'Must be a positive number' FROM c WHERE seg = 'BUILDING' AND c_acctbal <= 0 UNION ALL SELECT c_custkey, 'Note', 'This field is required' FROM c WHERE seg NOT IN ('', 'MACHINERY') AND c_custkey % 3 = 0
+UNION ALL SELECT c_custkey, 'Marks', 'This field is required' FROM c WHERE c_custkey % 5 = 0) SELECT * FROM p""")
+def flow_problems(spark, d):
+    c = table(spark, d, "customer")
+    given = {
+        "Segment": F.when(F.col("c_custkey") % 11 == 0, "").otherwise(F.col("c_mktsegment")), "Nation": F.col("c_nationkey").cast("string"),
+        "Balance": F.col("c_acctbal").cast("string"), "Note": F.when(F.col("c_custkey") % 3 > 0, "n"),
+    }
+    values = F.create_map(*[x for h, v in given.items() for x in (F.lit(h), v)])
+    marks = F.when(F.col("c_custkey") % 5 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("a")))
+    found = flows.problems(c.select("c_custkey", values.alias("values"), F.create_map(F.lit("Marks"), marks).alias("checked")), FORM, flows.rules([]))
+    return found.select("c_custkey", F.explode("problems").alias("header", "message"))
+
+
+@query(taxonomy.VALUES_SQL)
+def taxonomy_values(spark, d):
+    return taxonomy.values(spark, d, place_edges(spark, d))
+
+
 @query("""SELECT conv_id, string_agg('### ' || role || e'\n\n' || text, e'\n\n' ORDER BY turn) AS body FROM conversations WHERE text <> '' GROUP BY conv_id""")
 def section_body(spark, d):
     c = table(spark, d, "conversations")

@@ -12,6 +12,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import paths
 from ..operators import checks, forms
 from ..sinks import exports
 from ..sources import documents
@@ -170,3 +171,15 @@ PREFILLED_SQL = _ROWS + """SELECT genus, header, value FROM (SELECT f, CASE WHEN
 unnest([CASE WHEN f = 2 THEN 'No ' ELSE '' END || nation, 'Supplier ' || k, CASE WHEN f = 1 THEN 'fungivore' ELSE 'herbivore' END, CASE WHEN f = 14 THEN 'hops' ELSE 'bipedal' END,
 CASE WHEN f = 16 THEN 'wool' ELSE 'scales' END, 'direct', CASE WHEN f = 17 THEN 'river, sea' ELSE 'river' END, CASE WHEN f = 18 THEN 'x: ' ELSE 'pbdb: ' END || k]) AS value FROM g)
 WHERE NOT (f = 4 AND header = 'Genus description')"""
+
+
+def values(spark: SparkSession, d: str, edges: DataFrame) -> DataFrame:
+    """Values at some paths into each genus document: fields, and lists of fields joined."""
+    good = taxonomy(spark, d, edges).genera.where("_error IS NULL")
+    found = paths.path_set({"Parent": "parent", "Names": "species.name", "References": "references.id", "Environment": ("paleoenvironment", "; "), "Identifiers": ("identifiers", "\n", "{source}: {id}")})
+    pairs = F.array(*[F.struct(F.lit(h).alias("header"), read(good.schema, None).alias("value")) for h, read in found.items()])
+    return good.select("_file", F.explode(pairs).alias("x")).select(F.col("_file").alias("file"), "x.header", "x.value")
+
+
+VALUES_SQL = _ROWS + """SELECT file, unnest(['Parent', 'Names', 'References', 'Environment', 'Identifiers']) AS header, unnest([CASE WHEN f = 2 THEN 'No ' ELSE '' END || nation, 'S' || k || ' primus, S' || k || ' alter',
+CASE WHEN f = 9 THEN 'z, z, ' ELSE '' END || 'r' || k % 30, CASE WHEN f = 17 THEN 'river; sea' ELSE 'river' END, CASE WHEN f = 18 THEN 'x: ' ELSE 'pbdb: ' END || k]) AS value FROM g"""
