@@ -178,9 +178,12 @@ def _reference_rules() -> list[RowRule]:
     return [*out, RowRule(check, r.isNotNull() & none, _fmt("reference '{}': must have at least one of 'journal' or 'book'", name))]
 
 
-def check_taxonomy(t: Taxonomy) -> DataFrame:
+def check_taxonomy(t: Taxonomy, *, names: DataFrame | None = None, stems: DataFrame | None = None) -> DataFrame:
     """``check, severity, file, message`` of all 23 checks.
 
+    Where ``t`` has some of the documents only, ``names`` are the species names (``value``) and ``stems``
+    the clade files (``value``) of all of them.
+
     Checks that look at one record are folded into one pass over genera, one over their species,
     and one over references; lists of the schema are part of those plans. Only lookups in other
     records (tree, species names) and duplicates are joins or aggregates of their own.
@@ -199,14 +202,15 @@ def check_taxonomy(t: Taxonomy) -> DataFrame:
     out.append(rules.vocabulary_findings(good, "parent", tree, CHECKS[2], file, _fmt("parent clade '{}' not found in tree.yml", F.col("parent"))))
     spark = t.genera.sparkSession
     scaffold = spark.createDataFrame([(c,) for c in SCAFFOLD], "value string")
-    bare = tree.join(scaffold, "value", "left_anti").join(t.clades.select(F.col("_stem").alias("value")), "value", "left_anti")
+    bare = tree.join(scaffold, "value", "left_anti").join(t.clades.select(F.col("_stem").alias("value")) if stems is None else stems, "value", "left_anti")
     out.append(rules._finding(bare, CHECKS[3], WARNING, F.lit("(global)"), _fmt("clade '{}' in tree.yml has no corresponding file in clades/", F.col("value"))))
     out.append(rules.vocabulary_findings(t.clades, "_stem", tree, CHECKS[4], file, _fmt("clade file exists but '{}' is not in tree.yml", F.col("_stem"))))
     refs = good.select("_file", F.posexplode("references").alias("pos", "r")).unionByName(clades.select("_file", F.posexplode("references").alias("pos", "r")))
     out.append(rules.row_findings(refs, _reference_rules(), file))
     named = refs.where(present(F.col("r.id"))).select("_file", "pos", F.col("r.id").alias("id"))
     out.append(rules.uniqueness_findings(named, ["_file", "id"], ["pos"], CHECKS[11], file, _fmt("duplicate reference id '{}'", F.col("id"))))
-    names = species.select(F.col("s.name").alias("value")).where(present(F.col("value"))).distinct()
+    if names is None:
+        names = species.select(F.col("s.name").alias("value")).where(present(F.col("value"))).distinct()
     synonyms = species.where("s.status = 'synonym'").select("_file", F.coalesce("s.name", F.lit("?")).alias("name"), F.col("s.synonym_of").alias("of"))
     out.append(rules.vocabulary_findings(synonyms, "of", names, CHECKS[16], file, _fmt("species '{}': synonym_of '{}' not found in any genus file", F.col("name"), F.col("of"))))
     allowed = list(map(str, t.schema.get("paleoenvironments") or []))
