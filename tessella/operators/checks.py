@@ -202,7 +202,8 @@ def check_taxonomy(t: Taxonomy, *, names: DataFrame | None = None, stems: DataFr
     out.append(rules.vocabulary_findings(good, "parent", tree, CHECKS[2], file, _fmt("parent clade '{}' not found in tree.yml", F.col("parent"))))
     spark = t.genera.sparkSession
     scaffold = spark.createDataFrame([(c,) for c in SCAFFOLD], "value string")
-    bare = tree.join(scaffold, "value", "left_anti").join(t.clades.select(F.col("_stem").alias("value")) if stems is None else stems, "value", "left_anti")
+    stems = t.clades.select(F.col("_stem").alias("value")) if stems is None else stems
+    bare = rules.uncovered(tree, "value", scaffold, stems)
     out.append(rules._finding(bare, CHECKS[3], WARNING, F.lit("(global)"), _fmt("clade '{}' in tree.yml has no corresponding file in clades/", F.col("value"))))
     out.append(rules.vocabulary_findings(t.clades, "_stem", tree, CHECKS[4], file, _fmt("clade file exists but '{}' is not in tree.yml", F.col("_stem"))))
     refs = good.select("_file", F.posexplode("references").alias("pos", "r")).unionByName(clades.select("_file", F.posexplode("references").alias("pos", "r")))

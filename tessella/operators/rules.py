@@ -56,6 +56,13 @@ def _finding(df: DataFrame, check: str, severity: str, file: Column, message: Co
     return df.select(F.lit(check).alias("check"), F.lit(severity).alias("severity"), file.cast("string").alias("file"), message.alias("message"))
 
 
+def uncovered(df: DataFrame, key: str, *covered: DataFrame) -> DataFrame:
+    """Rows whose key none of the tables (``value``) has."""
+    for c in covered:
+        df = df.join(c.select(F.col("value").alias(key)), key, "left_anti")
+    return df
+
+
 def vocabulary_findings(df: DataFrame, column: str, vocab: DataFrame, check: str, file: Column, message: Column, severity: str = ERROR) -> DataFrame:
     """Present values that ``vocab.value`` doesn't have; a missing value is no finding."""
     bad = df.where(present(F.col(column))).join(vocab.select(F.col("value").alias(column)), column, "left_anti")

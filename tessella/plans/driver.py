@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+import importlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,26 +15,8 @@ from ..operators import flows, forms, hierarchy, linkage, rules, search
 from ..scratch import fresh_path
 from ..sinks import exports, ordered
 from ..sources import candidates, documents
-from . import captured, taxonomy
-
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f: Query) -> Query:
-        _QUERIES[f.__name__] = f
-        if sql is not None:
-            _SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
-
+from . import captured, registry, taxonomy
+from .registry import Query, query, table
 
 # --- hierarchy -----------------------------------------------------------------
 
@@ -146,8 +128,9 @@ def fk_clean(spark, d):
 @query("""SELECT n_name FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_acctbal < -900) AND n_nationkey NOT IN (0, 1, 2)""")
 def coverage_anti(spark, d):
     nation, customer = table(spark, d, "nation"), table(spark, d, "customer")
-    low = customer.where("c_acctbal < -900").select(F.col("c_nationkey").alias("n_nationkey")).distinct()
-    return nation.where(~F.col("n_nationkey").isin(0, 1, 2)).join(low, "n_nationkey", "left_anti").select("n_name")
+    exempt = spark.createDataFrame([(0,), (1,), (2,)], "value int")
+    low = customer.where("c_acctbal < -900").select(F.col("c_nationkey").alias("value"))
+    return rules.uncovered(nation, "n_nationkey", exempt, low).select("n_name")
 
 
 @query("""SELECT 'event type' AS "check", 'error' AS severity, event_id::VARCHAR AS file, 'invalid type ' || event_type AS message FROM events WHERE event_type NOT IN ('click', 'view') AND event_type <> ''
@@ -306,10 +289,7 @@ def dictionary(spark, d):
     part = table(spark, d, "part")
     words = [part.select(F.explode(F.split(c, r"(?U)\s+")).alias("word")) for c in ("p_name", "p_type")]
     words += [table(spark, d, "nation").select("n_name"), table(spark, d, "region").select("r_name"), spark.createDataFrame([("clade",), ("genus",)], "word string")]
-    every = words[0]
-    for w in words[1:]:
-        every = every.union(w)
-    return every.where(S.present(F.col("word"))).distinct().orderBy(F.collate("word", "UNICODE"), "word")
+    return exports.distinct_words(words)
 
 
 @query("""SELECT c_custkey, 'balance' AS header, CASE WHEN c_custkey % 3 = 0 THEN 'a' WHEN c_custkey % 2 = 0 THEN 'b' ELSE 'c' END AS value FROM customer""")
@@ -510,8 +490,10 @@ def lookup_fallback(spark, d):
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    importlib.import_module(f"{__package__}.written")  # registers its own
+    return dict(registry.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    queries()
+    return dict(registry.SQL)

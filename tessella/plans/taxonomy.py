@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import paths
 from ..operators import checks, forms
+from ..scratch import written
 from ..sinks import exports
 from ..sources import documents
 
@@ -107,11 +108,10 @@ def taxonomy(spark: SparkSession, d: str, edges: DataFrame) -> checks.Taxonomy:
 def findings(spark: SparkSession, d: str, edges: DataFrame) -> DataFrame:
     """All findings; what a parser says of a broken text isn't fixed, so it is left out.
 
-    The checks read the documents a dozen times, so these are kept (in memory, else on disk; lost
-    blocks are decoded again) until the session clears its cache.
+    The checks read the documents a dozen times, so decoded ones are tables of their own, until the driver ends.
     """
     t = taxonomy(spark, d, edges)
-    kept = replace(t, genera=t.genera.persist(), clades=t.clades.persist())
+    kept = replace(t, genera=written(t.genera, "genera"), clades=written(t.clades, "clades"))
     return checks.check_taxonomy(kept).withColumn("message", F.regexp_replace("message", r"(?s)^(YAML parse error).*", "$1"))
 
 

@@ -178,7 +178,12 @@ def word_list(genera: DataFrame, clades: DataFrame, edges: DataFrame, stages: Da
     if compat:
         letters = words(clades.select(F.split("authors", "").alias("a")), F.col("a"))
         parts.append(letters.select(F.when(F.col("word") != ",", F.element_at(surnames(F.col("word")), 1)).otherwise(F.lit("")).alias("word")))
-    every = parts[0]
+    return distinct_words(parts)
+
+
+def distinct_words(parts: Sequence[DataFrame]) -> DataFrame:
+    """``word``: the distinct words of some tables' one column, in the order of the language's collation."""
+    every = parts[0].toDF("word")
     for p in parts[1:]:
         every = every.union(p)
     return every.where(present(F.col("word"))).distinct().orderBy(F.collate("word", "UNICODE"), "word")
