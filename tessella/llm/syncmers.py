@@ -42,9 +42,10 @@ def anchors(raw: bytes, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate(hashes), np.concatenate(places)
 
 
-def fingerprint(raw: bytes, k: int = K, s: int = S, keep: int = KEEP) -> str:
+def fingerprint(raw: bytes, k: int = K, s: int = S, keep: int | None = KEEP) -> str:
     """The anchors of hash below ``LOW``, or the ``keep`` of smallest hash if those are more, as
     hash and first place in hexadecimal: an eighth of a long text's anchors, however long it is.
+    Without ``keep`` all anchors.
 
     Equal texts have equal fingerprints. A text without an anchor (shorter than k, say) has one
     made of the hash of all of it; the empty text's fingerprint is empty.
@@ -56,7 +57,7 @@ def fingerprint(raw: bytes, k: int = K, s: int = S, keep: int = KEEP) -> str:
         return hashlib.sha256(raw).hexdigest()[:8] + "0" * 8
     low = np.flatnonzero(h < np.uint64(LOW))
     h2, first = np.unique(h[low], return_index=True)
-    if len(h2) >= keep:
+    if keep is not None and len(h2) >= keep:
         at = at[low][first]
     else:
         h2, first = np.unique(h, return_index=True)
@@ -67,12 +68,12 @@ def fingerprint(raw: bytes, k: int = K, s: int = S, keep: int = KEEP) -> str:
     return out.tobytes().hex()
 
 
-def _whole_to(x: np.ndarray, keep: int) -> int:
+def _whole_to(x: np.ndarray, keep: int | None) -> int:
     """The largest hash (its upper half) up to which a fingerprint holds all anchors of its text."""
-    return 0xFFFFFFFF if len(x) < keep else max(int(x[-1, 0]), (LOW >> 32) - 1)
+    return 0xFFFFFFFF if keep is None or len(x) < keep else max(int(x[-1, 0]), (LOW >> 32) - 1)
 
 
-def likeness(a: str, b: str, keep: int = KEEP) -> float:
+def likeness(a: str, b: str, keep: int | None = KEEP) -> float:
     """0 to 1, from two fingerprints alone: the share of anchors that both texts hold, in the same
     order (twice the common ones over the sum of both), judged on the hashes up to which both
     fingerprints hold every anchor.
@@ -112,10 +113,10 @@ _OUT = pa.schema(
 )
 
 
-def _row(doc_id, text: str, own: str, nxt: str, nxt_own: str) -> tuple:
+def _row(doc_id, text: str, own: str, nxt: str, nxt_own: str, keep: int | None) -> tuple:
     raw = _edited(text, nxt).encode()
-    fp = fingerprint(raw)
-    return doc_id, len(text), hashlib.sha256(raw).hexdigest(), own, fp, likeness(own, fp), likeness(own, nxt_own)
+    fp = fingerprint(raw, keep=keep)
+    return doc_id, len(text), hashlib.sha256(raw).hexdigest(), own, fp, likeness(own, fp, keep), likeness(own, nxt_own, keep)
 
 
 def _batch(rows: list) -> pa.RecordBatch:
@@ -123,29 +124,37 @@ def _batch(rows: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _OUT, strict=True)], schema=_OUT)
 
 
-def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _chain(keep: int | None):
     """Each row but the last of a sorted partition, beside the row after it."""
-    held = None
-    for batch in batches:
-        rows, size = [], 0
-        for doc_id, x in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-            text = x.as_py()
-            own = fingerprint(text.encode())
-            if held is not None:
-                rows.append(_row(*held, text, own))
-                size += len(text)
-            held = doc_id, text, own
-            if size > 1 << 22:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            rows, size = [], 0
+            for doc_id, x in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+                text = x.as_py()
+                own = fingerprint(text.encode(), keep=keep)
+                if held is not None:
+                    rows.append(_row(*held, text, own, keep))
+                    size += len(text)
+                held = doc_id, text, own
+                if size > 1 << 22:
+                    yield _batch(rows)
+                    rows, size = [], 0
+            if rows:
                 yield _batch(rows)
-                rows, size = [], 0
-        if rows:
-            yield _batch(rows)
+
+    return run
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for r in batch.to_pylist():
-            yield _batch([_row(r["doc_id"], r["text"], fingerprint(r["text"].encode()), r["next_text"], fingerprint(r["next_text"].encode()))])
+def _pairs(keep: int | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                own, nxt = (fingerprint(r[c].encode(), keep=keep) for c in ("text", "next_text"))
+                yield _batch([_row(r["doc_id"], r["text"], own, r["next_text"], nxt, keep)])
+
+    return run
 
 
 def _key(bounds: list[int]) -> list[Column]:
@@ -157,7 +166,7 @@ def _key(bounds: list[int]) -> list[Column]:
     ]
 
 
-def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep: int | None = KEEP) -> DataFrame:
     """Each document's fingerprint and that of its edited text, whose second half (of code points)
     is the beginning of the next document in descending id, the first following the last.
 
@@ -165,6 +174,8 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     its range with one document in hand; the document after a range's last is the head of the
     next range, fetched for these rows alone (two ids a range, a bounded number).
 
+    ``keep=None`` keeps all anchors: fingerprints as long as texts, and likeness without sampling.
+
     Null texts are empty. Null ids come after all others; rows of equal id are ordered by a hash
     of the text, and equal rows are interchangeable. A single row is its own next. No rows give
     no rows. Other columns are not read.
@@ -193,7 +204,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     heads = texts.select(F.col("bucket").alias("h_bucket"), F.col("k").alias("h_k"), F.col("tie").alias("h_tie"), F.col("text").alias("next_text"))
     last = tails.join(texts, ["bucket", "k", "tie"]).join(heads, ["h_bucket", "h_k", "h_tie"]).select("doc_id", "text", "next_text")
     inner = keyed.repartitionById(n + 2, F.col("bucket")).sortWithinPartitions("bucket", "k", "tie").select("doc_id", "text")
-    return inner.mapInArrow(_chain, SCHEMA).unionByName(last.mapInArrow(_pairs, SCHEMA))
+    return inner.mapInArrow(_chain(keep), SCHEMA).unionByName(last.mapInArrow(_pairs(keep), SCHEMA))
 
 
 def op9_fingerprints(spark, sf_dir: str) -> DataFrame:
