@@ -178,8 +178,8 @@ def values_of(vocab: DataFrame, name: str) -> DataFrame:
 
 
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A document of JSON over several lines, kept in memory for the lookups that follow."""
-    return spark.read.schema(schema).option("multiLine", True).json(path).cache()
+    """A document of JSON over several lines. Who looks things up in it often may ``cache`` it, and release it."""
+    return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
 def search_names(df: DataFrame, column: str, text: str, order: str, most: int = 50) -> DataFrame:

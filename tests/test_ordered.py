@@ -68,6 +68,9 @@ def test_the_data_set_as_json_and_yaml(spark, tmp_path):
     assert text_of(tmp_path / "json") == exports.to_json(want)
     exports.write_lookups({"diet": ["b", "a"], "countries": {"Z": "z", "A": "a"}}, hierarchy.edge_frame(spark, tree), str(tmp_path / "l"))
     assert text_of(tmp_path / "l") == exports.to_json({"diet": ["a", "b"], "countries": {"A": "a", "Z": "z"}, "stages": None, "clades": ["Aaa", "Bbb", "Life"]})
+    ordered.assemble(spark, str(tmp_path / "l"), str(tmp_path / "lookups.json"))
+    back = documents.read_json(spark, str(tmp_path / "lookups.json"), "diet array<string>, countries map<string,string>, clades array<string>, absent string").collect()
+    assert [tuple(r) for r in back] == [(["a", "b"], {"A": "a", "Z": "z"}, ["Aaa", "Bbb", "Life"], None)]
 
 
 def test_lists_below_a_header(spark, tmp_path):
