@@ -158,14 +158,15 @@ def parse(text: Words, at: np.ndarray, ref: Reference) -> tuple[list[tuple[int,
     sums = text.sums()
     low = at - _common(sums, at, ref.total, place, np.minimum(at - first, place - ref.edge[ref.row[place]]), True)
     high = at + _common(sums, at, ref.total, place, np.minimum(last - at, ref.edge[ref.row[place] + 1] - place), False)
-    shift, apart = place - at, {}
-    for s in np.flatnonzero(high - low >= ref.window).tolist():
-        i, j, q = int(low[s]), int(high[s]), int(low[s] + shift[s])
-        if (i, j, q) not in apart:
-            same = text.stretch(i, j) == ref.stretch(q, q + j - i)
-            apart[i, j, q] = [] if same else [i + k for k in range(j - i) if text.stretch(i + k, i + k + 1) != ref.stretch(q + k, q + k + 1)]
-        if apart[i, j, q]:  # different stretches of equal sums: cut at the first difference on either side
-            low[s], high[s] = max((k + 1 for k in apart[i, j, q] if k < at[s]), default=i), min((k for k in apart[i, j, q] if k >= at[s]), default=j)
+    shift, long = place - at, np.flatnonzero(high - low >= ref.window)
+    one = np.stack([low[long], high[long], shift[long]])  # seeds of one factor follow each other
+    edge = np.flatnonzero(np.r_[True, (one[:, 1:] != one[:, :-1]).any(0), True]) if len(long) else []
+    for p, q in zip(edge[:-1], edge[1:], strict=True):
+        i, j, k = one[:, p].tolist()
+        if text.stretch(i, j) != ref.stretch(i + k, j + k):
+            apart = [w for w in range(i, j) if text.stretch(w, w + 1) != ref.stretch(w + k, w + k + 1)]  # none if the space between words differs
+            for s in long[p:q].tolist() if apart else ():  # equal sums by accident: cut at the first difference on either side
+                low[s], high[s] = max((w + 1 for w in apart if w < at[s]), default=i), min((w for w in apart if w >= at[s]), default=j)
     long = high - low >= ref.window
     factors = [(i, j - i, q) for i, j, q in set(zip(low[long].tolist(), high[long].tolist(), (shift + low)[long].tolist(), strict=True))]
     reach = ref.window - ref.seed + 1

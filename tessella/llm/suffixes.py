@@ -172,14 +172,15 @@ def compare(text: Bytes, at: np.ndarray, ref: Reference, length: int) -> tuple[l
     first, last = text.edge[row], text.edge[row + 1]
     low = at - common(text, at, ref, place, np.minimum(at - first, place - ref.edge[ref_row]), True)
     high = at + common(text, at, ref, place, np.minimum(last - at, ref.edge[ref_row + 1] - place), False)
-    shift, same = place - at, {}
-    for s in np.flatnonzero(high - low >= length).tolist():
-        i, j, q = int(low[s]), int(high[s]), int(low[s] + shift[s])
-        if (i, j, q) not in same:
-            same[i, j, q] = np.array_equal(text.raw[i:j], ref.raw[q : q + j - i])
-        if not same[i, j, q]:  # different stretches of equal sums: cut at the first difference on either side
-            apart = np.flatnonzero(text.raw[i:j] != ref.raw[q : q + j - i]) + i
-            low[s], high[s] = max(apart[apart < at[s]], default=i - 1) + 1, min(apart[apart >= at[s]], default=j)
+    shift, long = place - at, np.flatnonzero(high - low >= length)
+    one = np.stack([low[long], high[long], shift[long]])  # seeds of one stretch follow each other
+    edge = np.flatnonzero(np.r_[True, (one[:, 1:] != one[:, :-1]).any(0), True]) if len(long) else []
+    for p, q in zip(edge[:-1], edge[1:], strict=True):
+        i, j, k = one[:, p].tolist()
+        if not np.array_equal(text.raw[i:j], ref.raw[i + k : j + k]):  # equal sums by accident: cut at the first difference on either side
+            apart = np.flatnonzero(text.raw[i:j] != ref.raw[i + k : j + k]) + i
+            for s in long[p:q].tolist():
+                low[s], high[s] = max(apart[apart < at[s]], default=i - 1) + 1, min(apart[apart >= at[s]], default=j)
     long = high - low >= length
     found = [(i, j - i, q) for i, j, q in set(zip(low[long].tolist(), high[long].tolist(), (shift + low)[long].tolist(), strict=True))]
     start = at[:, None] + np.arange(1 - reach, 1)
