@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,15 +50,27 @@ def places(edges: DataFrame, *, small: int = SMALL) -> DataFrame:
     in a cycle, see ``cycle_findings``) have no place; a cycle that a root leads to is an error.
 
     Up to ``small`` edges are walked in the driver, a bounded table. Of more, no step needs a node's
-    relatives together: ancestors at distance 1, 2, 4, .. are found by joins of the table with
-    itself, and sizes, depths and places in order are sums over these, so the number of rounds
-    is the logarithm of the depth.
+    relatives together: ancestors at distance 1, 2, 4, .. are found by joins of the nodes that have
+    children with themselves, and sizes, depths and places in order are sums over these, so the
+    number of rounds is the logarithm of the depth. Leaves take no part in the rounds: they are
+    counted for their parents, put in order among their siblings, and joined to their parent at the end.
     """
     edges = edges.select("parent", "node", "pos")
+    if (near := _few(edges, small)) is not None:
+        return edges.sparkSession.createDataFrame(_walked(near), _PLACE)
+    e = written(edges.join(_with_children(edges), "node", "left").withColumn("id", F.monotonically_increasing_id()), "edges")
+    return _in_order(e, _ranked(_occurrences(e.where("children IS NOT NULL"))))
+
+
+def _few(edges: DataFrame, small: int) -> list[tuple] | None:
+    """The edges, if there are no more than ``small``."""
     near = edges.limit(small + 1).collect()
-    if len(near) <= small:
-        return edges.sparkSession.createDataFrame(_walked([tuple(r) for r in near]), _PLACE)
-    return _in_order(_ranked(_occurrences(edges)))
+    return [tuple(r) for r in near] if len(near) <= small else None
+
+
+def _with_children(edges: DataFrame) -> DataFrame:
+    """``node, children``: how many edges name a node as their parent."""
+    return edges.where("parent IS NOT NULL").groupBy(F.col("parent").alias("node")).agg(F.count("*").alias("children"))
 
 
 def _walked(edges: list[tuple]) -> list[tuple]:
@@ -82,52 +95,57 @@ def _walked(edges: list[tuple]) -> list[tuple]:
     return [tuple(x) for x in out]
 
 
-def _occurrences(edges: DataFrame) -> DataFrame:
-    """``id, up, node, parent, pos``: each edge with that of its parent; ``up`` is null where there is none.
+def _occurrences(inner: DataFrame) -> DataFrame:
+    """``id, up, edge, node, parent, pos, size`` of edges ``id, node, parent, pos, children`` to nodes that have
+    children: each with that of its parent; ``up`` is null where there is none. ``size`` counts the leaves
+    below a node and itself.
 
-    Where inner names have several parents, occurrences are made from the roots down, level by level.
+    Where such names have several parents, occurrences are made from the roots down, level by level.
     """
-    e = written(edges.withColumn("id", F.monotonically_increasing_id()), "edges")
-    inner = e.where("parent IS NOT NULL").select(F.col("parent").alias("node")).distinct()
-    named = e.join(inner, "node", "left_semi").groupBy("node").agg(F.min("id").alias("up"), F.count("*").alias("n"))
+    within = inner.where("parent IS NOT NULL").groupBy(F.col("parent").alias("node")).agg(F.count("*").alias("within"))
+    size = F.col("children") - F.coalesce("within", F.lit(0)) + 1
+    e = written(inner.join(within.hint("merge"), "node", "left").select("id", "node", "parent", "pos", size.alias("size")), "inner")
+    rest = ["node", "parent", "pos", "size"]
+    named = written(e.groupBy("node").agg(F.min("id").alias("up"), F.count("*").alias("n")), "names")
     if named.where("n > 1").isEmpty():
-        out = written(e.join(named.select(F.col("node").alias("parent"), "up"), "parent", "left").select("id", "up", "node", "parent", "pos"), "occurrences")
-        drop(e)
+        above = named.select(F.col("node").alias("parent"), "up")
+        out = written(e.join(above.hint("merge"), "parent", "left").select("id", "up", F.col("id").alias("edge"), *rest), "occurrences")
+        drop(e, named)
         return out
-    most, levels = inner.count() + 1, []
-    level = e.where("parent IS NULL").select(F.col("id"), F.lit(None).cast("long").alias("up"), "node", "parent", "pos")
+    most, levels = named.count() + 1, []
+    level = e.where("parent IS NULL").select(F.lit(None).cast("long").alias("up"), F.col("id").alias("edge"), *rest)
     while True:
         k = len(levels)
-        level = written(level.withColumn("id", F.monotonically_increasing_id() + F.lit(k << 52)), "level")
+        level = written(level.select((F.monotonically_increasing_id() + F.lit(k << 52)).alias("id"), "up", "edge", *rest), "level")
         if level.isEmpty():
             break
         if k > most:
             raise ValueError("a node is below itself")
         levels.append(level)
         above = level.select(F.col("id").alias("up"), F.col("node").alias("parent"))
-        level = e.select("node", "parent", "pos").join(above, "parent").select(F.lit(0).cast("long").alias("id"), "up", "node", "parent", "pos")
-    out = levels[0]
+        level = e.join(above.hint("merge"), "parent").select("up", F.col("id").alias("edge"), *rest)
+    out = levels[0] if levels else level
     for x in levels[1:]:
         out = out.unionByName(x)
     out = written(out, "occurrences")
-    drop(e, *levels)
+    drop(e, named, *levels)
     return out
 
 
 def _ranked(rows: DataFrame) -> DataFrame:
-    """``rows`` below roots, with ``root, depth, size``.
+    """``rows`` below roots, with ``root, depth``, and ``size`` summed over all below.
 
     After k rounds ``far`` is the ancestor at distance 2**k, or the topmost one, ``depth`` the distance
     to it, and ``size`` counts what is less than 2**k below. What lies at 2**k or more is below one
     of those that have this node as their ancestor at just that distance.
     """
-    state = written(rows.select("*", F.coalesce("up", "id").alias("far"), F.when(F.col("up").isNull(), 0).otherwise(1).cast("long").alias("depth"), F.lit(1).cast("long").alias("size")), "ranks")
+    state = written(rows.select("*", F.coalesce("up", "id").alias("far"), F.when(F.col("up").isNull(), 0).otherwise(1).cast("long").alias("depth")), "ranks")
     step, most = 1, 2 * rows.count()
     while step <= most and not state.where(F.col("depth") == step).isEmpty():
         above = state.select(F.col("id").alias("far"), F.col("far").alias("farther"), F.col("depth").alias("more"))
         below = state.where(F.col("depth") == step).groupBy(F.col("far").alias("id")).agg(F.sum("size").alias("held"))
-        nxt = state.join(above, "far").join(below, "id", "left")
-        nxt = nxt.select("id", "up", "node", "parent", "pos", F.col("farther").alias("far"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("size") + F.coalesce("held", F.lit(0))).alias("size"))
+        nxt = state.join(above.hint("merge"), "far").join(below.hint("merge"), "id", "left")
+        nxt = nxt.select("id", "up", "edge", "node", "parent", "pos", F.col("farther").alias("far"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("size") + F.coalesce("held", F.lit(0))).alias("size"))
         nxt = written(nxt, "ranks")
         drop(state)
         state, step = nxt, step * 2
@@ -137,42 +155,74 @@ def _ranked(rows: DataFrame) -> DataFrame:
     return out
 
 
-def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``id, up, size`` in order with the sum of the sizes before each within its task, and the task's number."""
-    total, task = 0, TaskContext.get().partitionId()
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order of parents with the task's number, the sum of the sizes before each within its task
+    (``before``), and of those of one parent alone (``offset``). Both are equal for the parent that a task
+    begins with, and for no other."""
+    total, start, last, task = 0, 0, None, TaskContext.get().partitionId()
     for b in batches:
-        size = b.column("size").to_numpy()
-        ends = total + np.cumsum(size)
-        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("up"), pa.array(ends - size), pa.array(np.full(len(size), task)), b.column("size")], names=["id", "up", "before", "task", "size"])
-        total = int(ends[-1]) if len(ends) else total
-
+        parent, size = b.column("parent"), b.column("size").to_numpy()
+        if not len(size):
+            continue
+        x, y = parent.slice(1), parent.slice(0, len(parent) - 1)
+        new = pc.coalesce(pc.not_equal(x, y), pc.xor(pc.is_null(x), pc.is_null(y))).to_numpy(zero_copy_only=False)
+        new = np.r_[total > 0 and parent[0].as_py() != last, new]
+        before = total + np.cumsum(size) - size
+        at = np.maximum.accumulate(np.where(new, np.arange(len(size)), -1))
+        offset = before - np.where(at >= 0, before[at], start)
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(before), pa.array(offset), pa.array(np.full(len(size), task))], names=[*b.schema.names, "before", "offset", "task"])
+        total, start, last = int(before[-1] + size[-1]), int(before[-1] - offset[-1]), parent[-1].as_py()
+
+
+def _among_siblings(edges: DataFrame) -> DataFrame:
+    """``id, parent, node, pos, size, offset`` of edges ``id, parent, node, pos, size``: the sum of the sizes of
+    earlier siblings.
+
+    Edges are sorted by parents in ranges, so the children of one node may be spread over many
+    tasks. What the siblings in earlier tasks come to is a number a task, which passes the driver.
+    """
+    spark = edges.sparkSession
+    keys = [F.asc_nulls_first("parent"), F.asc_nulls_first("pos"), F.asc("node"), F.asc("id")]
+    ranges = edges.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys).sortWithinPartitions(*keys)
+    run = written(ranges.mapInArrow(_runs, "id long, parent string, node string, pos int, size long, before long, offset long, task long"), "runs")
+    tasks = run.groupBy("task").agg(F.min_by("parent", "before").alias("first"), F.max_by("parent", "before").alias("last"), F.max_by(F.col("offset") + F.col("size"), "before").alias("held"), F.max_by(F.col("offset") == F.col("before"), "before").alias("one"))
+    carried, starts, last = 0, [], None
+    for r in sorted(tasks.collect(), key=lambda r: r["task"]):
+        carry = carried if starts and r["first"] == last else 0
+        starts.append((r["task"], carry))
+        carried, last = r["held"] + (carry if r["one"] else 0), r["last"]
+    carry = F.when(F.col("offset") == F.col("before"), F.col("carry")).otherwise(0)
+    out = run.join(F.broadcast(spark.createDataFrame(starts, "task long, carry long")), "task").select("id", "parent", "node", "pos", "size", (F.col("offset") + carry).alias("offset"))
+    out.written_at = run.written_at
+    return out
 
-def _in_order(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``order``: an occurrence stands one after the one above it, and after all that lies
-    below earlier siblings; these offsets are added up along the way to the root.
 
-    Sums over siblings are differences of sums over all rows in order of parents, in ranges, so
-    the children of one node may be spread over many tasks. A number a task passes the driver.
+def _in_order(e: DataFrame, inner: DataFrame) -> DataFrame:
+    """All places, of the edges and the ranked occurrences of nodes that have children: an occurrence stands
+    one after the one above it, and after all that lies below earlier siblings; these offsets are
+    added up along the way to the root. The ``id`` of a leaf is its place in order, below 0.
     """
-    spark = rows.sparkSession
-    keys = [F.asc_nulls_first("up"), F.asc_nulls_first("pos"), F.asc("node"), F.asc("id")]
-    ranges = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys).sortWithinPartitions(*keys)
-    run = written(ranges.select("id", "up", "size").mapInArrow(_running, "id long, up long, before long, task long, size long"), "running")
-    total, starts = 0, []
-    for task, size in sorted(tuple(r) for r in run.groupBy("task").agg(F.sum("size")).collect()):
-        starts.append((task, total))
-        total += size
-    at = run.join(F.broadcast(spark.createDataFrame(starts, "task long, start long")), "task").select("id", F.coalesce("up", F.lit(-1)).alias("up"), (F.col("before") + F.col("start")).alias("at"))
-    first = at.groupBy("up").agg(F.min("at").alias("least"))
-    offset = at.join(first, "up").select("id", (F.col("at") - F.col("least") + F.when(F.col("up") == -1, 0).otherwise(1)).alias("order"))
-    state = written(rows.select("id", F.col("up").alias("far")).join(offset, "id"), "offsets")
+    sizes = inner.groupBy("node").agg(F.first("size").alias("size"))
+    large = e.where("children IS NOT NULL").join(sizes.hint("merge"), "node", "left").select("id", "parent", "node", "pos", F.coalesce("size", F.lit(1)).cast("long").alias("size"))
+    leaf = e.where("children IS NULL").select(F.lit(None).cast("long").alias("id"), "parent", "node", "pos", F.lit(1).cast("long").alias("size"))
+    at = _among_siblings(leaf.unionByName(large))
+    offset = at.where("id IS NOT NULL").select(F.col("id").alias("edge"), "offset")
+    first = F.col("offset") + F.when(F.col("up").isNull(), 0).otherwise(1)
+    state = written(inner.join(offset.hint("merge"), "edge").select("id", F.col("up").alias("far"), first.alias("order")), "offsets")
     while not state.where("far IS NOT NULL").isEmpty():
         above = state.select(F.col("id").alias("far"), F.col("far").alias("farther"), F.col("order").alias("more"))
-        nxt = written(state.join(above, "far", "left").select("id", F.col("farther").alias("far"), (F.col("order") + F.coalesce("more", F.lit(0))).alias("order")), "offsets")
+        nxt = written(state.join(above.hint("merge"), "far", "left").select("id", F.col("farther").alias("far"), (F.col("order") + F.coalesce("more", F.lit(0))).alias("order")), "offsets")
         drop(state)
         state = nxt
-    out = written(rows.join(state.select("id", "order"), "id").select(*_COLUMNS), "places")
-    drop(rows, run, state)
+    top = written(inner.join(state.select("id", "order").hint("merge"), "id").select(*_COLUMNS), "top")
+    drop(e, inner, state)
+    leaf = at.where("id IS NULL").drop("id")
+    above = top.select(F.col("node").alias("parent"), F.col("id").alias("up"), "root", (F.col("depth") + 1).alias("depth"), (F.col("order") + 1).alias("least"))
+    below = leaf.join(above, "parent").withColumn("order", F.col("least") + F.col("offset")).withColumn("id", -1 - F.col("order"))
+    alone = leaf.where("parent IS NULL").withColumn("order", F.col("offset")).withColumn("id", -1 - F.col("order"))
+    alone = alone.withColumn("up", F.lit(None).cast("long")).withColumn("root", F.col("id")).withColumn("depth", F.lit(0).cast("long"))
+    out = written(top.unionByName(below.select(*_COLUMNS)).unionByName(alone.select(*_COLUMNS)), "places")
+    drop(top, at)
     return out
 
 

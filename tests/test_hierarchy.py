@@ -87,3 +87,20 @@ def test_a_wide_tree_is_numbered_without_gaps(spark):
     assert at.join(above, "up").where((F.col("order") <= F.col("o")) | (F.col("order") + F.col("size") > F.col("o") + F.col("s")) | (F.col("depth") != F.col("d") + 1)).isEmpty()
     assert [r.node for r in at.where("parent = '0000001'").orderBy("order").limit(3).collect()] == ["0000002", "0000003", "0000004"]
     at.unpersist()
+
+
+def test_leaves_take_no_part_in_the_rounds(spark, monkeypatch):
+    rows = [(None, "r", 0), *[("r", f"n{i}", i) for i in range(5)], *[(f"n{i % 5}", f"leaf{i:03}", i) for i in range(300)], (None, "alone", 1), ("x", "y", 0), ("y", "x", 0), ("y", "z", 0)]
+    e = spark.createDataFrame(rows, EDGES)
+    sizes = {}
+
+    def watched(df, label, held=H.written):
+        out = held(df, label)
+        sizes[label] = max(sizes.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(H, "written", watched)
+    at = H.places(e, small=3)
+    assert sorted((r.order, r.node, r.depth, r["size"]) for r in at.collect()) == [(o, n, d, s) for n, _, o, d, s in walked(rows)]
+    assert sizes["ranks"] == 8 and sizes["offsets"] == 6
+    assert at.select("id").distinct().count() == at.count() == 307
