@@ -100,6 +100,8 @@ def test_leaves_take_no_part_in_the_rounds(spark, monkeypatch):
         return out
 
     monkeypatch.setattr(H, "written", watched)
+    assert {r.file for r in H.cycle_findings(e, "tree", small=3).collect()} == {"x", "y", "z"}
+    assert max(sizes.values()) == 8  # nodes with children
     at = H.places(e, small=3)
     assert sorted((r.order, r.node, r.depth, r["size"]) for r in at.collect()) == [(o, n, d, s) for n, _, o, d, s in walked(rows)]
     assert sizes["ranks"] == 8 and sizes["offsets"] == 6
