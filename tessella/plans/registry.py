@@ -23,3 +23,9 @@ def query(sql: str | None = None):
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` dealt evenly to as many tasks as a shuffle has: a small file is read by few tasks, however
+    much work each of its rows is."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

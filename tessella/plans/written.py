@@ -12,7 +12,7 @@ from ..scratch import fresh_path
 from ..sinks import exports, ordered
 from ..sources import candidates
 from . import driver, taxonomy
-from .registry import query, table
+from .registry import dealt, query, table
 
 
 def lines_of(spark: SparkSession, write) -> DataFrame:
@@ -132,7 +132,7 @@ def article_candidates(spark, d):
     sections = F.when(F.col("p_partkey") % 5 > 0, F.array(F.struct(F.lit("Etymology").alias("line"), F.lit("2").alias("level"))))
     html = F.when(F.col("p_partkey") % 7 == 0, F.concat(F.lit('<span class="IPA nowrap" lang="en-fonipa"><a href="x">/<b>p'), k, F.lit("</b>/</a></span>")))
     extract = F.when(F.col("p_partkey") % 2 == 0, "Short (  ) text.\nmore")
-    pages = table(spark, d, "part").select(F.concat(F.lit("P "), k).alias("subject"), page.alias("wikitext"), sections.alias("sections"), html.alias("html"), extract.alias("extract"))
+    pages = dealt(table(spark, d, "part").select("p_partkey", "p_name")).select(F.concat(F.lit("P "), k).alias("subject"), page.alias("wikitext"), sections.alias("sections"), html.alias("html"), extract.alias("extract"))
     return candidates.from_articles(candidates.article_fields(pages), {"periods": ["Jurassic"]}).select("subject", "header", "value")
 
 
