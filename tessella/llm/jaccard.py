@@ -20,6 +20,7 @@ REMEMBERED = 200_000
 ROUNDS = 2  # of tests against hubs, before what is left apart is paired
 HELD_BY_TASK = 1024  # sets that are compared with one other in a task
 IN_BLOCK = 2048  # sets of one signature, of several components, that are paired in a task
+FIRST = 16  # of a set's signatures, known to all, by which a pair is left to the first that both have
 
 # --- sets ------------------------------------------------------------------
 
@@ -309,6 +310,10 @@ def across(allowed):
     through: called with a group's table, it gives a function of a row and some others, with a score
     (less is nearer) for each that may be linked, and -1 for the rest.
 
+    A pair is left to another group if both rows have that group's signature among their ``first`` ones
+    and it is less than their own: of the groups that a pair shares one gives it out, or a few if the
+    first signatures of its rows have none in common.
+
     With ``nearest`` each row of the smaller of two labels is paired with the nearest of the larger
     one alone, so that a row is not paired with every member of a component it belongs to.
     """
@@ -318,6 +323,12 @@ def across(allowed):
         t = pa.Table.from_batches(held)
         node, label = (t.column(c).to_numpy() for c in ("node", "label"))
         scores = allowed(t)
+        sig, lists = held[0].column("sig")[0].as_py(), t.column("first").combine_chunks()
+        whose, value = lists.value_parent_indices().to_numpy(), lists.flatten().to_numpy()
+        whose, value = whose[value < sig], value[value < sig]
+        _, value = np.unique(value, return_inverse=True)
+        has = np.zeros((len(node), int(value.max(initial=-1)) + 1), bool)
+        has[whose, value] = True
         _, own, size = np.unique(label, return_inverse=True, return_counts=True)
         rank = size[own] * len(size) + own  # labels by size, then by name
         order = np.argsort(rank, kind="stable")
@@ -326,6 +337,9 @@ def across(allowed):
             others = np.arange(place[x], len(node))  # of larger labels
             if not len(others):
                 break
+            others = others[~has[order[others]][:, has[order[x]]].any(1)]
+            if not len(others):
+                continue
             score = scores(order[x], order[others])
             others, score = others[score >= 0], score[score >= 0]
             if nearest and len(others):
@@ -480,8 +494,8 @@ def joined(members: DataFrame, sets: DataFrame, words: int, least: int, of: int,
     whose sets form one component by then are done. For the others other hubs follow, a set of each
     component for the largest component beside it. What is still apart after ``ROUNDS`` is paired up
     across components, within a signature and in blocks, where sizes and sketches allow a link: first
-    each set with the nearest of a component, then, of what that leaves apart, with all. No link
-    between components is lost.
+    each set with the nearest of a component, then, of what that leaves apart, with all. A pair is given
+    out by the first of the signatures its sets share. No link between components is lost.
     """
     labels = None
     for k in range(ROUNDS):
@@ -505,7 +519,8 @@ def joined(members: DataFrame, sets: DataFrame, words: int, least: int, of: int,
         named = _named(members, labels).withColumn("blocks", F.ceil(F.col("in_sig") / IN_BLOCK))
         named = named.withColumn("x", F.pmod(F.xxhash64("node"), "blocks")).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         rows = named.select("node", "sig", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "label").join(sets.select("node", "n", "sketch"), "node")
-        sorted_rows = rows.select("sig", "i", "j", "node", "label", "n", "sketch").repartition(n_parts, "sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+        rows = rows.join(members.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("sig")), 1, FIRST).alias("first")), "node")
+        sorted_rows = rows.select("sig", "i", "j", "node", "label", "n", "sketch", "first").repartition(n_parts, "sig", "i", "j").sortWithinPartitions("sig", "i", "j")
         left = staged(sorted_rows.mapInArrow(across(nearest), "a long, b long").distinct(), "left")
         labels, links = _linked_more(labels, left, sets, words, least, of, near)
         if nearest and links:
