@@ -295,3 +295,15 @@ def test_empty_pages(spark, tmp_path):
     folder = f"file://{tmp_path}/none"
     assert warc.write_archives(df, folder) == 0
     assert warc.read_archives(spark, folder).count() == 0
+
+
+def test_seeds_and_texts_leave_a_task_in_few_batches():
+    import pyarrow as pa
+
+    from tessella.llm import suffixes
+
+    texts = [f"{i} " + "some words of a text " * 25 for i in range(50)]
+    given = pa.RecordBatch.from_pydict({"key": list(range(50)), "tag": [0] * 50, "text": texts})
+    seeds, packed = list(suffixes._seeds(400)(iter([given]))), list(suffixes._packed(iter([given])))
+    assert len(seeds) == len(packed) == 1
+    assert set(seeds[0].column("key").to_pylist()) == set(packed[0].column("key").to_pylist()) == set(range(50))
