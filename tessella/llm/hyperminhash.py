@@ -12,13 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bucketed, discard, mix, pieces, signed, staged, text_bytes
+from .jaccard import _bands as size_bands
 from .jaccard import _batch, across, apart_by, joined, labelled, rooted_classes, set_ids, shingle_sets
 from .jaccard import sketch as parities
 
 WORDS, LEAST, OF = 5, 85, 100
 BUCKETS = 128  # registers of a sketch, a power of two
 MANTISSA = 10  # bits kept behind the leading one of a bucket's smallest hash
-BAND = 4  # registers of a band; they fill 64 bits
+BAND = 4  # registers of a band of large sets; they fill 64 bits
+SPARE = 1  # bands of small sets that may be empty while another is sure to be shared
 LOST = 1e-11  # chance that the estimate rules out a linked pair
 _RANK = 53  # bits of a hash that ranks and mantissas are taken from
 
@@ -56,6 +58,52 @@ def bands(regs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mix(packed[row, at] ^ mix(at.astype(np.uint64) + np.uint64(1))), row
 
 
+@cache
+def _wide(least: int, of: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bands of sizes of ``jaccard._bands``, low to high, and for pairs whose larger set is in one,
+    into how many bands the registers are dealt: ``SPARE`` + 1 more than linked sets differ in elements,
+    none where only equal sets link, and -1 where these bands would be narrower than ``BAND``."""
+    low, high = size_bands(least, of)
+    k = 2 * high * (of - least) // (of + least)
+    parts = np.where(k > 0, k + 1 + SPARE, 0)
+    return low, high, np.where(parts * BAND > BUCKETS, -1, parts)
+
+
+def band_keys(regs: np.ndarray, n: np.ndarray, least: int, of: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of the bands of sets of n elements, and their rows of ``regs``.
+
+    Large sets have the keys of ``bands``. Of small sets, whose registers are mostly empty, such a band
+    is often one element, which many sets have that are not linked; they have fewer, wider bands, as
+    many as their size needs, in the scheme of their own band of sizes and, if a linked set may lie in
+    the next, in that one's too. An element in which two sets differ changes one band, so linked sets
+    have more than ``SPARE`` equal bands for sure. Bands without an element have a key only in sets that
+    have more than ``SPARE`` of them: two such sets share these, any other pair one with elements.
+    """
+    if least >= of or not len(n):  # only equal sets link
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    low, high, parts_of = _wide(least, of)
+    own = np.searchsorted(high, n)
+    next_too = (n > 0) & (n * of >= low[own + 1] * least)
+    large = np.flatnonzero((n > 0) & ((parts_of[own] < 0) | (next_too & (parts_of[own + 1] < 0))))
+    key, row = bands(regs[large]) if len(large) else (np.zeros(0, np.uint64), large)
+    keys, rows = [key], [large[row]]
+    small = np.flatnonzero(n * (parts_of[own] >= 0) > 0)
+    scrambled = mix(regs[small].astype(np.uint64) + (np.arange(BUCKETS, dtype=np.uint64) << np.uint64(16)))
+    for band in range(int(own[small].max(initial=-1)) + 2):
+        parts = int(parts_of[band])
+        at = np.flatnonzero((own[small] == band) | (next_too[small] & (own[small] + 1 == band)))
+        if parts < 1 or not len(at):
+            continue
+        edge = np.arange(parts) * BUCKETS // parts
+        some = np.logical_or.reduceat(regs[small[at]] > 0, edge, 1)
+        given = some | ((~some).sum(1) > SPARE)[:, None]
+        name = np.uint64(band << 40) + np.arange(parts, dtype=np.uint64)
+        key = mix(np.add.reduceat(scrambled[at], edge, 1) ^ mix(name + np.uint64(1 << 32)))
+        keys.append(key[given])
+        rows.append(np.broadcast_to(small[at][:, None], given.shape)[given])
+    return np.concatenate(keys), np.concatenate(rows)
+
+
 @cache
 def _fewest(least: int, of: int) -> np.ndarray:
     """For n registers that either of two sets has, the fewest equal ones of a linked pair, but for
@@ -116,12 +164,16 @@ def _rows(sketches: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join([s[: 2 * BUCKETS] for s in sketches]), np.uint16).reshape(len(sketches), BUCKETS)
 
 
-def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _banded(least: int, of: int):
     out = pa.schema([("sig", pa.int64()), ("node", pa.int64())])
-    for batch in batches:
-        if batch.num_rows:
-            key, row = bands(_rows(batch.column(1).to_pylist()))
-            yield _batch(out, signed(key), batch.column(0).to_numpy()[row])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                key, row = band_keys(_rows(batch.column(1).to_pylist()), batch.column(2).to_numpy(), least, of)
+                yield _batch(out, signed(key), batch.column(0).to_numpy()[row])
+
+    return run
 
 
 def _most_apart(n, m, least: int, of: int):
@@ -176,11 +228,12 @@ def hyperminhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col
     Documents link when ``of * intersection >= least * union`` of their sets of ``words``-word
     shingles; ``component_id`` is the smallest id that links lead to, and the document of that id is
     ``kept``. Texts of equal sets are one class, told apart by 128 bits, with one sketch, so copies
-    are never paired. Classes that share a band of registers are candidates. Estimates rule out most
+    are never paired. Classes that share a band of registers are candidates; bands are as wide as a
+    set's size allows, so that small sets are none for one element in common. Estimates rule out most
     of those that are not linked, and parities of the sets (``jaccard.sketch``, which never rule out a
     link) most of the others; the rest is compared on all elements (64 bits each), by hubs, as
-    ``jaccard.joined`` says. A linked pair at the threshold shares no band with a chance of 6e-11 and
-    is ruled out by the estimate with one of 1e-11; ``least`` far below 85 would need more bands.
+    ``jaccard.joined`` says. A linked pair of small sets always shares a band. One of large sets at the
+    threshold shares none with a chance of 6e-11, and any is ruled out by the estimate with one of 1e-11; ``least`` far below 85 would need more bands.
 
     Null and blank texts have no shingles and stand alone. A null id is never the smallest; a
     component of null ids alone has a null ``component_id`` and keeps its rows. Repeated rows are
@@ -197,7 +250,7 @@ def hyperminhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col
     sets = bucketed(grouped.select("hi", "lo", "least_id", "copies", F.monotonically_increasing_id().alias("node"), F.col("m.n_shingles").alias("n"), "m.sketch", "m.z", "m.size"), "sets", "node")
     classes = staged(sets.select("hi", "lo", "least_id", "copies", "node"), "classes")
     discard(whole)
-    banded = staged(sets.select("node", "sketch").mapInArrow(_banded, "sig long, node long"), "banded")
+    banded = staged(sets.select("node", "sketch", "n").mapInArrow(_banded(least, of), "sig long, node long"), "banded")
     sizes = banded.groupBy("sig").agg(F.count("*").alias("in_sig")).where("in_sig > 1")
     members = staged(banded.join(sizes, "sig"), "members")
     discard(banded)

@@ -97,3 +97,37 @@ def test_bands_of_small_sets_have_elements():
     x = np.arange(3, dtype=np.uint64)
     key, row = H.bands(H.registers(x, np.array([0, 0, 3])))
     assert len(key) <= 3 and set(row.tolist()) == {1}
+
+
+@pytest.mark.parametrize(("least", "n"), [(85, n) for n in (6, 7, 8, 12, 20, 25, 26, 60, 93, 94, 120, 153)] + [(70, 30), (97, 140)])
+def test_linked_small_sets_share_a_key(least, n):
+    r = np.random.default_rng(n)
+    for other in range(n * least // 100, n + 1):
+        both = -(-least * (n + other) // (100 + least))  # the fewest of a linked pair
+        if both > other:
+            continue
+        for _ in range(20):
+            union = r.integers(0, 1 << 64, n + other - both, np.uint64)
+            x, y = union[:n], np.r_[union[:both], union[n:]]
+            key, row = H.band_keys(H.registers(np.r_[x, y], np.array([0, n, n + other])), np.array([n, other]), least, 100)
+            assert set(key[row == 0].tolist()) & set(key[row == 1].tolist())
+
+
+def test_keys_of_equal_sets_only_and_of_no_sets():
+    regs = H.registers(np.arange(9, dtype=np.uint64), np.array([0, 9, 9]))
+    assert [len(x) for x in H.band_keys(regs, np.array([9, 0]), 100, 100)] == [0, 0]
+    assert [len(x) for x in H.band_keys(regs[:0], np.zeros(0, np.int64), 85, 100)] == [0, 0]
+    assert set(H.band_keys(regs, np.array([9, 0]), 85, 100)[1].tolist()) == {0}
+
+
+def test_a_common_passage_makes_no_candidates_of_short_texts(spark, monkeypatch):
+    seen = []
+
+    def counted(members, sets, *_):
+        seen.append(members.count())
+
+    monkeypatch.setattr(H, "joined", counted)
+    passage = " ".join(f"p{i}" for i in range(9))
+    texts = [" ".join(f"w{i}_{j}" for j in range(size)) + " " + passage for i in range(60) for size in (16, 30, 55)]
+    H.hyperminhash_components(spark.createDataFrame([(i, t, 0, 0) for i, t in enumerate(texts)], SCHEMA)).collect()
+    assert seen[0] < len(texts) // 4
